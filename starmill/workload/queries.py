@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill import fixed_values as fixed
 from starmill.functions import numbers
-from starmill.operators.members import remap_orphans
+from starmill.operators import members
 from starmill.operators.quality import (
     Reference,
     combined,
@@ -285,16 +285,16 @@ def fx_convert(spark, sf_dir):
 
 
 @query
-def remap_orphaned_customers(spark, sf_dir):
+def remap_orphans(spark, sf_dir):
     items = clean(spark, sf_dir, "order_items").select(*LINE, "customer_id", "product_id")
-    return remap_orphans(items, customers_dimension(spark, sf_dir), "customer_id", fixed.UNKNOWN_KEY)
+    return members.remap_orphans(items, customers_dimension(spark, sf_dir), "customer_id", fixed.UNKNOWN_KEY)
 
 
 @query
 def reconcile_revenue(spark, sf_dir):
     """Rows and revenue before and after orphans move to the unknown member."""
     before = measured_items(spark, sf_dir).select("customer_id", "total_amount")
-    after = remap_orphans(before, customers_dimension(spark, sf_dir), "customer_id", fixed.UNKNOWN_KEY)
+    after = members.remap_orphans(before, customers_dimension(spark, sf_dir), "customer_id", fixed.UNKNOWN_KEY)
     totals = reconciliation(before, after, "total_amount")
     return as_doubles(totals.withColumn("agrees", F.expr("total_amount_before = total_amount_after")))
 
@@ -447,6 +447,3 @@ def full_refresh_rerun(spark, sf_dir):
         .select("run", "layer", "table_name", "row_count", (F.col("mark") == F.col("first_mark")).alias("same_rows"))
     )
 
-
-# The published name of the query is the operator's own name.
-QUERIES["remap_orphans"] = QUERIES.pop("remap_orphaned_customers")
