@@ -8,12 +8,13 @@ frequent keys are repeated for each of them.  Both ways give the same rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_SALT, _HASH = "__salt", "__hash"
+_SALT, _HASH, _FAN = "__salt", "__hash", "__fan"
 
 
 @dataclass(frozen=True)
@@ -36,22 +37,18 @@ class BroadcastBudget:
 DEFAULT_BUDGET = BroadcastBudget()
 
 
-def _key_hash(columns: list[Column]) -> Column:
-    return F.xxhash64(*columns)
+def frequent_keys(df: DataFrame, key: list[Column], tracked: int = 65536, listed: int = 2048) -> list[tuple[int, float]]:
+    """``(hash of the key, share of the rows)`` of the keys that hold the most rows.
 
-
-def frequent_key_hashes(df: DataFrame, key: list[Column], tracked: int = 4096, listed: int = 256) -> list[int]:
-    """Hashes of the keys that take a noticeable share of the rows.
-
-    One pass with a frequent-items sketch: each task sends a sketch of bounded size,
-    and at most ``listed`` numbers reach the driver.  The list only steers where rows
-    go; a key missing from it, or a hash collision, cannot change a join's result.
+    One pass with a frequent-items sketch: every task sends a sketch of bounded size,
+    and at most ``listed`` pairs reach the driver, among them each key holding more
+    than 1/``listed`` of the rows.  The list only steers where rows go; a key missing
+    from it, or a hash collision, cannot change a join's result.
     """
-    present = df.where(_all_present(key)).select(_key_hash(key).alias(_HASH))
+    present = df.where(_all_present(key)).select(F.xxhash64(*key).alias(_HASH))
     top = F.expr(f"approx_top_k({_HASH}, {listed}, {tracked})")
     seen = present.agg(top.alias("top"), F.count(F.lit(1)).alias("rows")).first()
-    floor = seen["rows"] / tracked
-    return [item["item"] for item in seen["top"] or [] if item["count"] > floor]
+    return [(item["item"], item["count"] / seen["rows"]) for item in seen["top"] or []]
 
 
 def _all_present(key: list[Column]) -> Column:
@@ -66,7 +63,6 @@ def left_lookup(
     lookup: DataFrame,
     on: Mapping[str, Column],
     budget: BroadcastBudget = DEFAULT_BUDGET,
-    fan: int = 64,
 ) -> DataFrame:
     """LEFT JOIN ``fact`` to ``lookup`` and append the lookup's other columns.
 
@@ -79,23 +75,44 @@ def left_lookup(
     )
     if budget.admits(keyed):
         return _joined(fact, F.broadcast(keyed), on)
+    return _spread_join(fact, keyed, on)
 
-    fact_key = list(on.values())
-    types = dict(keyed.dtypes)
-    same_type = [part.cast(types[f"__on_{c}"]) for c, part in on.items()]
-    frequent = frequent_key_hashes(fact, same_type)
 
-    # The partition number separates exact copies of a row; it is fixed per task, so
-    # a retried task repeats its placement.
-    scatter = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns]), F.lit(fan)).cast("int")
-    spread = _key_hash(same_type).isin(frequent) | ~_all_present(fact_key)
-    salted_fact = fact.withColumn(_SALT, F.when(spread, scatter).otherwise(F.lit(0)))
+def _spread_join(fact: DataFrame, keyed: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+    """Shuffle join in which no key is bound to a single partition.
 
+    A frequent key gets a number of places in proportion to its share of the rows: its
+    fact rows are divided among them and its lookup rows repeated in each.  The copies
+    add up to about twice the number of partitions, whatever the data.
+    """
+    spark = fact.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    types = dict(keyed.dtypes)
+    fact_key = [part.cast(types[f"__on_{c}"]) for c, part in on.items()]
+    fans = [
+        (key_hash, math.ceil(2 * share * partitions))
+        for key_hash, share in frequent_keys(fact, fact_key)
+        if share * partitions > 0.5
+    ]
+    heavy = F.broadcast(spark.createDataFrame(fans, f"{_HASH} long, {_FAN} int"))
+
+    # The partition number separates exact copies of a row.  It is fixed per task, so a
+    # retried task repeats its placement.
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
+    whole = _all_present(fact_key)
+    places = F.when(whole, F.coalesce(F.col(_FAN), F.lit(1))).otherwise(F.lit(2 * partitions))
+    salted_fact = (
+        fact.join(heavy, F.when(whole, F.xxhash64(*fact_key)) == F.col(_HASH), "left")
+        .withColumn(_SALT, F.pmod(row_hash, places).cast("int"))
+        .drop(_HASH, _FAN)
+    )
     lookup_key = [F.col(f"__on_{c}") for c in on]
-    copies = F.when(_key_hash(lookup_key).isin(frequent), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(
-        F.array(F.lit(0))
+    last_place = F.coalesce(F.col(_FAN), F.lit(1)) - 1
+    salted_lookup = (
+        keyed.join(heavy, F.xxhash64(*lookup_key) == F.col(_HASH), "left")
+        .withColumn(f"__on_{_SALT}", F.explode(F.sequence(F.lit(0), last_place)))
+        .drop(_HASH, _FAN)
     )
-    salted_lookup = keyed.withColumn(f"__on_{_SALT}", F.explode(copies))
     return _joined(salted_fact, salted_lookup, {**on, _SALT: F.col(_SALT)}).drop(_SALT)
 
 

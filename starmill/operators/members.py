@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget, left_lookup
+from starmill.session import written
 
-_KNOWN = "__known"
+_FLAG = "__flag"
 
 
 def with_unknown_member(dimension: DataFrame, values: Mapping[str, str]) -> DataFrame:
@@ -34,10 +35,25 @@ def remap_orphans(
 ) -> DataFrame:
     """Point fact rows whose key is NULL or not in the dimension at the unknown member.
 
-    No row is lost.  As with any lookup join, a dimension with repeated keys would
-    repeat fact rows: check its grain first.
+    No row is lost or repeated.  The fact stays in place whenever either the dimension's
+    keys or the orphaned keys are few enough to broadcast: for a large dimension the
+    fact's distinct keys are compared with it first, and only that one column is
+    shuffled.  When both are large the fact is joined by shuffle, spread against skew.
     """
-    members = dimension.select(key, F.lit(True).alias(_KNOWN))
-    flagged = left_lookup(fact, members, {key: F.col(key)}, budget)
-    resolved = F.when(F.col(_KNOWN), F.col(key)).otherwise(F.lit(orphan_key))
-    return flagged.withColumn(key, resolved).drop(_KNOWN)
+    members = dimension.select(key).dropna().distinct()
+    if budget.admits(members):
+        known = left_lookup(fact, members.withColumn(_FLAG, F.lit(True)), {key: F.col(key)}, budget)
+        return _resolved(known, key, F.col(_FLAG).isNull(), orphan_key)
+
+    used = fact.select(key).dropna().distinct()
+    strays = written(fact.sparkSession, used.join(members, key, "left_anti"), "strays")
+    if budget.admits(strays):
+        stray = left_lookup(fact, strays.withColumn(_FLAG, F.lit(True)), {key: F.col(key)}, budget)
+        return _resolved(stray, key, F.col(_FLAG).isNotNull() | F.col(key).isNull(), orphan_key)
+
+    known = left_lookup(fact, members.withColumn(_FLAG, F.lit(True)), {key: F.col(key)}, budget)
+    return _resolved(known, key, F.col(_FLAG).isNull(), orphan_key)
+
+
+def _resolved(flagged: DataFrame, key: str, orphaned: Column, orphan_key: str) -> DataFrame:
+    return flagged.withColumn(key, F.when(orphaned, F.lit(orphan_key)).otherwise(F.col(key))).drop(_FLAG)

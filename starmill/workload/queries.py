@@ -75,8 +75,8 @@ def calendar_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_calendar(clean(spark, sf_dir, "calendar"))
 
 
-def fact(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
-    customers = customers_dimension(spark, sf_dir) if customers is None else customers
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = customers_dimension(spark, sf_dir)
     return gold.fact_order_items(clean(spark, sf_dir, "order_items"), rates(spark), customers)
 
 
@@ -332,11 +332,13 @@ def fact_order_items(spark, sf_dir):
 
 
 def _dimensions(spark: SparkSession, sf_dir: str) -> dict:
-    return {
+    """The three dimensions, stored once so that every check reads files."""
+    plans = {
         DIM_PRODUCTS: products_dimension(spark, sf_dir),
         DIM_CUSTOMERS: customers_dimension(spark, sf_dir),
         DIM_CALENDAR: calendar_dimension(spark, sf_dir),
     }
+    return {contract: written(spark, df, contract.name) for contract, df in plans.items()}
 
 
 def _key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,23 +371,31 @@ def check_grain_composite(spark, sf_dir):
 @query
 def check_referential(spark, sf_dir):
     """References of the raw order lines, with orphans, and of the published fact, without."""
-    dimensions = {c.name: df for c, df in _dimensions(spark, sf_dir).items()}
-    references = [Reference(k.column, dimensions[k.table], k.member) for k in FACT.foreign_keys]
+    dimensions = _dimensions(spark, sf_dir)
+    references = _fact_references(dimensions)
     lines = raw.bronze(spark, sf_dir, "order_items").transform(silver.parse_times).transform(gold.with_date_key)
+    items = clean(spark, sf_dir, "order_items")
     return combined(
         reference_report(lines, "raw_order_items", references),
-        reference_report(fact(spark, sf_dir, dimensions[DIM_CUSTOMERS.name]), FACT.name, references),
+        reference_report(
+            gold.fact_order_items(items, rates(spark), dimensions[DIM_CUSTOMERS]), FACT.name, references
+        ),
     )
 
 
+def _fact_references(dimensions: dict) -> list[Reference]:
+    by_name = {contract.name: df for contract, df in dimensions.items()}
+    return [Reference(k.column, by_name[k.table], k.member) for k in FACT.foreign_keys]
+
+
 @query
 def dq_report(spark, sf_dir):
     """Every check of a refresh as one report over stored tables."""
     items = written(spark, clean(spark, sf_dir, "order_items"), "items")
-    dimensions = {c: written(spark, df, c.name) for c, df in _dimensions(spark, sf_dir).items()}
-    published = written(spark, fact(spark, sf_dir, dimensions[DIM_CUSTOMERS]), FACT.name)
-    by_name = {c.name: df for c, df in dimensions.items()}
-    references = [Reference(k.column, by_name[k.table], k.member) for k in FACT.foreign_keys]
+    dimensions = _dimensions(spark, sf_dir)
+    published = written(
+        spark, gold.fact_order_items(items, rates(spark), dimensions[DIM_CUSTOMERS]), FACT.name
+    )
     return combined(
         *[key_report(df, c.name, c.grain) for c, df in dimensions.items()],
         *[
@@ -393,7 +403,7 @@ def dq_report(spark, sf_dir):
             for entity, code in (("category", "category_code"), ("brands", "brand_code"))
         ],
         key_report(published, FACT.name, FACT.grain),
-        reference_report(published, FACT.name, references),
+        reference_report(published, FACT.name, _fact_references(dimensions)),
         parse_report(raw.bronze(spark, sf_dir, "order_items"), BRONZE["order_items"].name, silver.item_parsers()),
         reconciliation_report(items, published, FACT.name, "tax_amount"),
     )

@@ -130,21 +130,35 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines recur across batches (the test table repeats its line keys), numbers carry
     symbols or are spelled out, order times come in two layouts.
     """
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    # Text that depends on one side only is built there, once per row of that side.
+    orders = (
+        table(spark, sf_dir, "orders")
+        .selectExpr("o_orderkey", "o_custkey", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS dt")
+        .withColumn(
+            "turned", F.expr("substring(dt, 9, 2) || '-' || substring(dt, 6, 2) || '-' || substring(dt, 1, 4)")
+        )
+    )
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .withColumn("cents", F.expr("CAST(round(l_extendedprice * 100) AS BIGINT)"))
+        .withColumn("tax_parts", F.expr("cents * CAST(round(l_tax * 100) AS BIGINT)"))
+        .withColumns(
+            {
+                "price": F.expr("(cents DIV 100) || '.' || lpad(CAST(cents % 100 AS STRING), 2, '0')"),
+                "tax": F.expr("(tax_parts DIV 10000) || '.' || lpad(CAST(tax_parts % 10000 AS STRING), 4, '0')"),
+                "batch": F.expr("CAST(CAST(l_shipdate AS DATE) AS STRING)"),
+                "at": F.expr(
+                    "lpad(CAST(l_orderkey % 24 AS STRING), 2, '0') || ':' ||"
+                    " lpad(CAST(l_linenumber * 7 AS STRING), 2, '0')"
+                ),
+            }
+        )
     )
-    cents = "CAST(l_extendedprice AS DECIMAL(18,2))"
-    tax = f"CAST(CAST({cents} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS STRING)"
-    day = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
-    hour = "lpad(CAST(l_orderkey % 24 AS STRING), 2, '0')"
-    minute = "lpad(CAST(l_linenumber * 7 AS STRING), 2, '0')"
-    second = "lpad(CAST(l_partkey % 60 AS STRING), 2, '0')"
-    turned = f"substring({day}, 9, 2) || '-' || substring({day}, 6, 2) || '-' || substring({day}, 1, 4)"
-    return lines.selectExpr(
-        f"{day} AS dt",
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "dt",
         "CASE WHEN l_orderkey % 101 = 0 THEN 'not a time' WHEN l_orderkey % 103 = 0 THEN NULL"
-        f" WHEN l_orderkey % 2 = 0 THEN {day} || ' ' || {hour} || ':' || {minute} || ':' || {second}"
-        f" ELSE {turned} || ' ' || {hour} || ':' || {minute} END AS order_ts",
+        " WHEN l_orderkey % 2 = 0 THEN dt || ' ' || at || ':' || lpad(CAST(l_partkey % 60 AS STRING), 2, '0')"
+        " ELSE turned || ' ' || at END AS order_ts",
         "CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE 'C' || o_custkey END AS customer_id",
         "CAST(l_orderkey AS STRING) AS order_id",
         "CAST(l_linenumber AS STRING) AS item_seq",
@@ -152,13 +166,13 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE CAST(l_quantity AS INT) WHEN 1 THEN 'One' WHEN 2 THEN 'Two' WHEN 3 THEN 'Three' WHEN 4 THEN 'Four'"
         " ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantity",
         _pick(CURRENCY_SPELLINGS, "o_custkey % 9") + " AS unit_price_currency",
-        f"CASE WHEN l_partkey % 2 = 0 THEN '$' || {cents} ELSE CAST({cents} AS STRING) END AS unit_price",
-        "CAST(l_discount * 100 AS DECIMAL(4,0)) || CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE '%' END AS discount_pct",
-        f"CASE WHEN l_suppkey % 41 = 0 THEN 'n.a.' WHEN l_returnflag = 'R' THEN '-' || {tax}"
-        f" WHEN l_suppkey % 4 = 0 THEN 'Tax ' || {tax} ELSE {tax} END AS tax_amount",
+        "CASE WHEN l_partkey % 2 = 0 THEN '$' || price ELSE price END AS unit_price",
+        "CAST(round(l_discount * 100) AS INT) || CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE '%' END AS discount_pct",
+        "CASE WHEN l_suppkey % 41 = 0 THEN 'n.a.' WHEN l_returnflag = 'R' THEN '-' || tax"
+        " WHEN l_suppkey % 4 = 0 THEN 'Tax ' || tax ELSE tax END AS tax_amount",
         _pick(["web", "app", "Store"], "l_orderkey % 4") + " AS channel",
         _pick([" SAVE10 ", "   ", "welcome"], "l_orderkey % 5") + " AS coupon_code",
-        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS batch",
+        "batch",
     )
 
 
