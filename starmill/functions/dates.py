@@ -12,8 +12,22 @@ def to_day(text: Column, layout: str) -> Column:
 
 
 def to_moment(text: Column, *layouts: str) -> Column:
-    """The first layout that parses wins; NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in layouts])
+    """The first layout that parses wins; NULL when none does.
+
+    A failed parse costs far more than a good one (it raises inside the JVM), so the
+    layout whose length and first separator the text has is tried before the others.
+    """
+    parsed = [F.try_to_timestamp(text, F.lit(layout)) for layout in layouts]
+    choice = F
+    for layout, attempt in zip(layouts, parsed):
+        others = [p for p in parsed if p is not attempt]
+        choice = choice.when(_has_shape(text, layout), F.coalesce(attempt, *others))
+    return choice.otherwise(F.coalesce(*parsed))
+
+
+def _has_shape(text: Column, layout: str) -> Column:
+    position, separator = next((i, c) for i, c in enumerate(layout) if not c.isalpha())
+    return (F.length(text) == len(layout)) & (F.substring(text, position + 1, 1) == separator)
 
 
 def date_key(day: Column) -> Column:

@@ -69,22 +69,23 @@ def left_lookup(
     ``on`` maps each key column of the lookup to the fact expression it must equal.
     The lookup's key columns are not kept.  A NULL key matches nothing.
     """
-    keyed = lookup.select(
-        *[F.col(c).alias(f"__on_{c}") for c in on],
-        *[F.col(c) for c in lookup.columns if c not in on],
-    )
-    if budget.admits(keyed):
-        return _joined(fact, F.broadcast(keyed), on)
-    return _spread_join(fact, keyed, on)
+    join = broadcast_lookup if budget.admits(lookup) else spread_lookup
+    return join(fact, lookup, on)
+
+
+def broadcast_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+    """``left_lookup`` for a lookup already measured as small: the fact stays in place."""
+    return _joined(fact, F.broadcast(_keyed(lookup, on)), on)
 
 
-def _spread_join(fact: DataFrame, keyed: DataFrame, on: Mapping[str, Column]) -> DataFrame:
-    """Shuffle join in which no key is bound to a single partition.
+def spread_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+    """``left_lookup`` by shuffle, in which no key is bound to a single partition.
 
     A frequent key gets a number of places in proportion to its share of the rows: its
     fact rows are divided among them and its lookup rows repeated in each.  The copies
     add up to about twice the number of partitions, whatever the data.
     """
+    keyed = _keyed(lookup, on)
     spark = fact.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     types = dict(keyed.dtypes)
@@ -116,6 +117,14 @@ def _spread_join(fact: DataFrame, keyed: DataFrame, on: Mapping[str, Column]) ->
     return _joined(salted_fact, salted_lookup, {**on, _SALT: F.col(_SALT)}).drop(_SALT)
 
 
+def _keyed(lookup: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+    """The lookup with its key columns renamed, so that they cannot clash with the fact's."""
+    return lookup.select(
+        *[F.col(c).alias(f"__on_{c}") for c in on],
+        *[F.col(c) for c in lookup.columns if c not in on],
+    )
+
+
 def _joined(fact: DataFrame, keyed: DataFrame, on: Mapping[str, Column]) -> DataFrame:
     condition = F.lit(True)
     for name, part in on.items():

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget, left_lookup
+from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget, broadcast_lookup, spread_lookup
 from starmill.session import written
 
 _FLAG = "__flag"
@@ -40,19 +40,19 @@ def remap_orphans(
     fact's distinct keys are compared with it first, and only that one column is
     shuffled.  When both are large the fact is joined by shuffle, spread against skew.
     """
-    members = dimension.select(key).dropna().distinct()
-    if budget.admits(members):
-        known = left_lookup(fact, members.withColumn(_FLAG, F.lit(True)), {key: F.col(key)}, budget)
-        return _resolved(known, key, F.col(_FLAG).isNull(), orphan_key)
+    on = {key: F.col(key)}
+    listed = dimension.select(key).where(F.col(key).isNotNull())
+    members = listed.distinct().withColumn(_FLAG, F.lit(True))
+    if budget.admits(listed):
+        return _resolved(broadcast_lookup(fact, members, on), key, F.col(_FLAG).isNull(), orphan_key)
 
-    used = fact.select(key).dropna().distinct()
+    used = fact.select(key).where(F.col(key).isNotNull()).distinct()
     strays = written(fact.sparkSession, used.join(members, key, "left_anti"), "strays")
     if budget.admits(strays):
-        stray = left_lookup(fact, strays.withColumn(_FLAG, F.lit(True)), {key: F.col(key)}, budget)
-        return _resolved(stray, key, F.col(_FLAG).isNotNull() | F.col(key).isNull(), orphan_key)
+        flagged = broadcast_lookup(fact, strays.withColumn(_FLAG, F.lit(True)), on)
+        return _resolved(flagged, key, F.col(_FLAG) | F.col(key).isNull(), orphan_key)
 
-    known = left_lookup(fact, members.withColumn(_FLAG, F.lit(True)), {key: F.col(key)}, budget)
-    return _resolved(known, key, F.col(_FLAG).isNull(), orphan_key)
+    return _resolved(spread_lookup(fact, members, on), key, F.col(_FLAG).isNull(), orphan_key)
 
 
 def _resolved(flagged: DataFrame, key: str, orphaned: Column, orphan_key: str) -> DataFrame:

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Column calls otherwise record their call sites, at several driver round trips each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

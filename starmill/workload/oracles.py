@@ -367,7 +367,7 @@ _STATEMENTS = {
         SELECT order_id, item_seq, product_id, {_CHANNEL} AS channel, lower(trim(coupon_code)) AS coupon_code
         FROM raw_items """,
     "dedup_latest": "SELECT * FROM latest_items ",
-    "silver_order_items": "SELECT * FROM items ",
+    "silver_order_items": "SELECT *, TRUE AS has_processing_time FROM items ",
     "revenue_measures": """
         SELECT order_id, item_seq, quantity, unit_price, CAST(gross_amount AS DOUBLE) AS gross_amount,
                CAST(discount_amount AS DOUBLE) AS discount_amount, CAST(net_amount AS DOUBLE) AS net_amount,

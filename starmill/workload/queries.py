@@ -14,7 +14,6 @@ from starmill.operators.quality import (
     Reference,
     combined,
     key_report,
-    parse_report,
     reconciliation,
     reconciliation_report,
     reference_report,
@@ -30,7 +29,7 @@ from starmill.plans.contracts import (
     RAW,
     SILVER,
 )
-from starmill.plans.refresh import Layers, full_refresh
+from starmill.plans.refresh import Layers, advisory_report, full_refresh
 from starmill.session import scratch_path, written
 from starmill.sinks.tables import publish
 from starmill.sources.files import INGESTED_AT, SOURCE_FILE, scan_csv, with_audit
@@ -256,7 +255,9 @@ def dedup_latest(spark, sf_dir):
 
 @query
 def silver_order_items(spark, sf_dir):
-    return zoneless(clean(spark, sf_dir, "order_items").drop(silver.PROCESSED_AT))
+    stamped = clean(spark, sf_dir, "order_items")
+    flagged = stamped.withColumn("has_processing_time", F.col(silver.PROCESSED_AT).isNotNull())
+    return zoneless(flagged.drop(silver.PROCESSED_AT))
 
 
 # Measures and keys ----------------------------------------------------------
@@ -398,14 +399,14 @@ def dq_report(spark, sf_dir):
     )
     return combined(
         *[key_report(df, c.name, c.grain) for c, df in dimensions.items()],
-        *[
-            key_report(clean(spark, sf_dir, entity).where(F.col(code).isNotNull()), SILVER[entity].name, [code])
-            for entity, code in (("category", "category_code"), ("brands", "brand_code"))
-        ],
         key_report(published, FACT.name, FACT.grain),
         reference_report(published, FACT.name, _fact_references(dimensions)),
-        parse_report(raw.bronze(spark, sf_dir, "order_items"), BRONZE["order_items"].name, silver.item_parsers()),
         reconciliation_report(items, published, FACT.name, "tax_amount"),
+        advisory_report(
+            raw.bronze(spark, sf_dir, "order_items"),
+            clean(spark, sf_dir, "category"),
+            clean(spark, sf_dir, "brands"),
+        ),
     )
 
 

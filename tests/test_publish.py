@@ -20,13 +20,15 @@ def _unique(table):
     return key_report(table, CONTRACT.name, CONTRACT.grain)
 
 
-def test_overwrite_is_repeatable_and_leaves_one_version(spark, database):
+def test_overwrite_is_repeatable_and_old_versions_go(spark, database):
     assert not is_published(spark, database, "things")
     for count in (5, 5, 7):
         publish(_things(spark, count), database, CONTRACT, _unique)
     assert is_published(spark, database, "things")
     assert spark.table(f"{database}.things").count() == 7
-    assert spark.sql(f"SHOW TABLES IN {database}").count() == 2  # the view and its one version
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 3  # the view, its version, the one before
+    publish(_things(spark, 7), database, CONTRACT, _unique, keep=0)
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 2
 
 
 def test_a_failed_check_leaves_the_old_rows(spark, database):
@@ -38,6 +40,13 @@ def test_a_failed_check_leaves_the_old_rows(spark, database):
     assert spark.sql(f"SHOW TABLES IN {database}").count() == 2
 
 
+def test_a_running_query_survives_the_next_refresh(spark, database):
+    publish(_things(spark, 5), database, CONTRACT)
+    reader = spark.table(f"{database}.things")
+    publish(_things(spark, 7), database, CONTRACT)
+    assert reader.count() == 5
+
+
 def test_changed_schema_is_refused(spark, database):
     publish(_things(spark, 5), database, CONTRACT)
     with pytest.raises(SchemaDrift, match="grp: agreed int, got bigint"):
