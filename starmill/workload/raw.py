@@ -181,15 +181,6 @@ def typed(df: DataFrame, entity: str) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW[entity].fields])
 
 
-def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """A raw relation as its bronze table holds it, without the run stamp."""
-    raw = RELATIONS[entity](spark, sf_dir)
-    if entity == "order_items":
-        named = F.concat(F.lit("landing/order_items_"), F.col("batch"), F.lit(".csv"))
-        return raw.withColumn("_source_file", named).drop("batch")
-    return typed(raw, entity)
-
-
 RELATIONS = {
     "brands": brands,
     "category": category,
@@ -199,24 +190,45 @@ RELATIONS = {
     "order_items": order_items,
 }
 
-_landed: dict[tuple, str] = {}
+_written: dict[tuple, str] = {}
 
 
-def landing(spark: SparkSession, sf_dir: str, entity: str) -> str:
-    """The glob of an entity's CSV files, written once per session and scale.
+def _once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
+    """The folder a writer filled, filled on first use per session and scale."""
+    wanted = (spark.conf.get("spark.app.id", ""), sf_dir, label)
+    if wanted not in _written:
+        path = scratch_path(spark, label)
+        write(path)
+        _written[wanted] = path
+    return _written[wanted]
 
-    Order items fall into one folder per ship month, like batch drops.
+
+def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """A raw relation as its bronze table holds it, without the run stamp.
+
+    It is stored like the table it stands for, so that silver plans start from files.
     """
-    wanted = (spark.conf.get("spark.app.id", ""), sf_dir, entity)
-    if wanted not in _landed:
-        path = scratch_path(spark, f"landing-{entity}")
-        rows = RELATIONS[entity](spark, sf_dir)
-        keep_spaces = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-        if entity == "order_items":
-            batches = rows.withColumn("batch", F.substring("batch", 1, 7)).hint("rebalance", "batch")
-            batches.write.partitionBy("batch").options(**keep_spaces).csv(path)
-            _landed[wanted] = f"{path}/*/*.csv"
-        else:
-            rows.write.options(**keep_spaces).csv(path)
-            _landed[wanted] = f"{path}/*.csv"
-    return _landed[wanted]
+    rows = RELATIONS[entity](spark, sf_dir)
+    if entity == "order_items":
+        named = F.concat(F.lit("landing/order_items_"), F.col("batch"), F.lit(".csv"))
+        rows = rows.withColumn("_source_file", named).drop("batch")
+    else:
+        rows = typed(rows, entity)
+    # Rebalancing evens out files: the source may hold all rows in one row group.
+    path = _once(spark, sf_dir, f"bronze-{entity}", rows.hint("rebalance").write.parquet)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def landing(spark: SparkSession, sf_dir: str, entity: str) -> str:
+    """The glob of an entity's CSV files.  Order items fall into one folder per ship
+    month, like batch drops."""
+    keep_spaces = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows = RELATIONS[entity](spark, sf_dir)
+    batched = entity == "order_items"
+    if batched:
+        rows = rows.withColumn("batch", F.substring("batch", 1, 7)).hint("rebalance", "batch")
+    writer = rows.write.options(**keep_spaces)
+    path = _once(
+        spark, sf_dir, f"landing-{entity}", writer.partitionBy("batch").csv if batched else writer.csv
+    )
+    return f"{path}/*/*.csv" if batched else f"{path}/*.csv"
