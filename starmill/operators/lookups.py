@@ -37,18 +37,31 @@ class BroadcastBudget:
 DEFAULT_BUDGET = BroadcastBudget()
 
 
-def frequent_keys(df: DataFrame, key: list[Column], tracked: int = 65536, listed: int = 2048) -> list[tuple[int, float]]:
+def frequent_keys(
+    df: DataFrame, key: list[Column], tracked: int = 16384, listed: int = 2048, merges: int = 256
+) -> list[tuple[int, float]]:
     """``(hash of the key, share of the rows)`` of the keys that hold the most rows.
 
-    One pass with a frequent-items sketch: every task sends a sketch of bounded size,
-    and at most ``listed`` pairs reach the driver, among them each key holding more
-    than 1/``listed`` of the rows.  The list only steers where rows go; a key missing
-    from it, or a hash collision, cannot change a join's result.
+    One pass with a frequent-items sketch of bounded size per task.  The sketches are
+    merged in two steps, first in ``merges`` groups of tasks and then those, so that no
+    task takes in all of them; at most ``listed`` pairs reach the driver, among them
+    each key holding more than 1/``listed`` of the rows.  The list only steers where
+    rows go; a key missing from it, or a hash collision, cannot change a join's result.
     """
-    present = df.where(_all_present(key)).select(F.xxhash64(*key).alias(_HASH))
-    top = F.expr(f"approx_top_k({_HASH}, {listed}, {tracked})")
-    seen = present.agg(top.alias("top"), F.count(F.lit(1)).alias("rows")).first()
-    return [(item["item"], item["count"] / seen["rows"]) for item in seen["top"] or []]
+    sketch = F.expr(f"approx_top_k_accumulate({_HASH}, {tracked})")
+    per_group = (
+        df.where(_all_present(key))
+        .select(F.xxhash64(*key).alias(_HASH))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(merges)).alias("task_group"))
+        .agg(sketch.alias("sketch"), F.count(F.lit(1)).alias("rows"))
+    )
+    seen = (
+        per_group.groupBy(F.lit(True).alias("all_groups"))  # grouped: no rows give no line
+        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("rows").alias("rows"))
+        .select(F.expr(f"approx_top_k_estimate(sketch, {listed})").alias("top"), "rows")
+        .first()
+    )
+    return [(item["item"], item["count"] / seen["rows"]) for item in seen["top"]] if seen else []
 
 
 def _all_present(key: list[Column]) -> Column:
@@ -87,7 +100,8 @@ def spread_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column])
     """
     keyed = _keyed(lookup, on)
     spark = fact.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    partitions = int(setting) if setting.isdigit() else 200  # some platforms allow "auto"
     types = dict(keyed.dtypes)
     fact_key = [part.cast(types[f"__on_{c}"]) for c, part in on.items()]
     fans = [

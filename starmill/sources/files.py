@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SOURCE_FILE, INGESTED_AT = "_source_file", "_ingested_at"
-AUDIT_COLUMNS = (SOURCE_FILE, INGESTED_AT)
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",") -> DataFrame:

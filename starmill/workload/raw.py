@@ -88,7 +88,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "customer").join(
-        F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return named.selectExpr(
         "CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE 'C' || c_custkey END AS customer_id",
