@@ -49,7 +49,7 @@ BLOCK = LANES * STEPS * 2
 SEGMENT = 1 << 18  # ids after which a segment is closed, at the end of a document
 WORDS, PIECES_KEPT = 400_000, 600_000  # entries of a worker's caches before they start anew
 # Control characters that Python takes for white space and Unicode does not.
-ODD = regex.compile("[\x1c-\x1f]")
+ODD = "\x1c\x1d\x1e\x1f"
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
@@ -101,9 +101,9 @@ class WordTokens:
         if len(self.pieces) > PIECES_KEPT:
             self.pieces = {}
         known, piece = self.known, self._piece
-        split = [[t] if ODD.search(t) else t.split() for t in texts]
+        odd = {t for t in texts if any(c in t for c in ODD)}
+        split = [[t] if t in odd else t.split() for t in texts] if odd else [t.split() for t in texts]
         new = {w for words in split for w in words if w not in known}
-        odd = {t for t in texts if ODD.search(t)}
         together = "\n".join(new)
         if any(s in together for s in self.special):
             odd |= {w for w in new if any(s in w for s in self.special)}
@@ -112,7 +112,12 @@ class WordTokens:
         plain = list(new - odd)
         if plain:
             for w, text in zip(plain, self.library.normalizer.normalize_str(" ".join(plain)).split(" "), strict=True):
-                known[w] = b"".join(map(piece, PIECES.findall(text)))
+                if text.isalpha():  # one piece, by the first letter rule
+                    known[w] = piece(text)
+                elif text[:-1].isalpha() and text[-1] in ".,":
+                    known[w] = piece(text[:-1]) + piece(text[-1])
+                else:
+                    known[w] = b"".join(map(piece, PIECES.findall(text)))
         for words in split:
             yield b"".join([known[w] for w in words])
         for w in new:
