@@ -165,7 +165,12 @@ class Vocabulary:
         return found
 
     def _word(self, word: str) -> bytes:
-        found = b"".join(map(self._piece, PIECES.findall(word)))
+        if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
+            found = self._piece(word)
+        elif word[1:-1].isalpha() and word[0] == " " and word[-1] in ".,":
+            found = self._piece(word[:-1]) + self._piece(word[-1])
+        else:
+            found = b"".join(map(self._piece, PIECES.findall(word)))
         if len(word) <= 64:
             if len(self.words) > CACHED:
                 self.words.clear()

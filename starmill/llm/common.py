@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,16 @@ from pyspark.sql import functions as F
 from starmill.session import written
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is a checkout and not installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, environment.get("PYTHONPATH", "")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,20 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import bpe, rans
+from starmill.llm import bpe, minmax, quality, rans
 from starmill.llm.common import table
 
 
+def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents to keep, with expected grade and probability of the top grade."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, quality.graded(table(spark, sf_dir, "labels")))
+    return quality.scored(docs.select("doc_id", "text"), model).where(f"tail_probability >= {quality.KEEP}").drop("text")
+
+
 def op5_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_min_max_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.groups(table(spark, sf_dir, "documents"))
+
+
 def op9_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ordinal_quality": op3_ordinal_quality,
     "op5_rans_token_files": op5_rans_token_files,
+    "op6_min_max_groups": op6_min_max_groups,
     "op9_backtracking_bpe": op9_backtracking_bpe,
 }
 ORACLES: dict[str, str] = {}
