@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import bpe, minmax, quality, rans
+from starmill.llm import bpe, decontaminate, minmax, quality, rans, secrets
 from starmill.llm.common import table
 
 
+def op2_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, with the benchmark item and the overlap."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
+
+
 def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents to keep, with expected grade and probability of the top grade."""
     docs = table(spark, sf_dir, "documents")
@@ -25,14 +30,20 @@ def op6_min_max_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.groups(table(spark, sf_dir, "documents"))
 
 
+def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op9_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_spaced_seed_leaks": op2_spaced_seed_leaks,
     "op3_ordinal_quality": op3_ordinal_quality,
     "op5_rans_token_files": op5_rans_token_files,
     "op6_min_max_groups": op6_min_max_groups,
+    "op7_linked_secrets": op7_linked_secrets,
     "op9_backtracking_bpe": op9_backtracking_bpe,
 }
 ORACLES: dict[str, str] = {}
