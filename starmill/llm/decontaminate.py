@@ -9,7 +9,7 @@ An overlap counts when it has ``MATCHED`` equal words, or ``WHOLE`` of all words
 item.  Items of fewer words than the shorter seed spans are too short to tell from ordinary
 text and match nothing.
 
-How it scales: a Bloom filter of fixed size (``BITS``) over the benchmark's hashes is all that is
+How it scales: a Bloom filter of fixed size over the benchmark's hashes is all that is
 broadcast, whatever the benchmark's size.  Only documents with a window that passes it are kept
 with their words; the exact joins then run over those.  Equal items and equal texts are
 compared once.
@@ -29,15 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import arrow_map, free_name, stored
+from starmill.llm.common import arrow_map, bloom, free_name, passing, stored
 
 # Places that count, by span; long seeds for items of at least 13 words, short ones below.
 LONG = ("1110110010111", "1101011101101", "1011101110011")
 SHORT = ("111011", "110111")
 MATCHED, WHOLE = 12, 0.8
 DROP = 4  # an overlap ends where mismatches outweigh matches by so much
-BITS = 1 << 26
-_PART = 1 << 16  # bits of a part of the filter
 _WORDS = re.compile(r"\w+")
 _FACTORS = np.random.default_rng(2).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _GROUP = 100_000  # words hashed together
@@ -62,11 +60,6 @@ def seeded(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def _bits(hashes: np.ndarray) -> list[np.ndarray]:
-    """Three places of each hash in the filter."""
-    return [((hashes * _FACTORS[13 + i]) >> np.uint64(38)).astype(np.int64) for i in range(3)]
-
-
 def _masks(n: int) -> list[tuple[int, str]]:
     return list(enumerate(LONG)) if n >= len(LONG[0]) else [(10 + i, m) for i, m in enumerate(SHORT)]
 
@@ -112,28 +105,6 @@ def _seeds(items: DataFrame) -> DataFrame:
     return arrow_map(items, make, "hash long, item binary, item_id long, at int")
 
 
-def bloom(seeds: DataFrame) -> np.ndarray:
-    """The filter as bytes; its parts reach the driver, ``BITS / 8`` bytes in all at most."""
-
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            places = np.unique(np.concatenate(_bits(batch.column("hash").to_numpy().view(np.uint64))))
-            return pa.RecordBatch.from_arrays([pa.array(places // _PART, pa.int64()), pa.array(places % _PART, pa.int32())], names=["part", "bit"])
-
-        return step
-
-    def join(table: pa.Table) -> pa.Table:
-        bits = np.zeros(_PART, np.uint8)
-        bits[table["bit"].to_numpy()] = 1
-        return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
-
-    parts = arrow_map(seeds.select("hash"), make, "part long, bit int").distinct().groupBy("part").applyInArrow(join, "part long, bits binary")
-    out = np.zeros(BITS // 8, np.uint8)
-    for r in parts.toLocalIterator():
-        out[r["part"] * (_PART // 8) : (r["part"] + 1) * (_PART // 8)] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
 def _hits(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
     """Documents with windows that pass the filter: ``mark``, ``doc_id``, words, hits."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
@@ -142,14 +113,6 @@ def _hits(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
     def make():
         bits = shared.value
 
-        def passed(h: np.ndarray) -> np.ndarray:
-            """Indices of hashes in the filter; later bits are looked up only where earlier ones are set."""
-            left = np.arange(len(h))
-            for factor in range(3):
-                at = _bits_of(h[left], factor)
-                left = left[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-            return left
-
         def scan(texts: list[list[int]]) -> list[tuple[list[int], list[int]]]:
             sizes = np.array([len(t) for t in texts])
             ends = np.cumsum(sizes)
@@ -158,7 +121,7 @@ def _hits(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
             found: list[tuple[list[int], list[int]]] = [([], []) for _ in texts]
             for number, mask in masks:
                 h = seeded(words, mask, number)
-                for i in passed(h):
+                for i in passing(bits, h):
                     k = owner[i]
                     if i + len(mask) <= ends[k]:  # not across two texts
                         found[k][0].append(int(h[i].view(np.int64)))
@@ -191,10 +154,6 @@ def _hits(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
     return arrow_map(marked, make, "mark long, doc_id long, doc binary, hashes array<long>, places array<int>")
 
 
-def _bits_of(hashes: np.ndarray, i: int) -> np.ndarray:
-    return ((hashes * _FACTORS[13 + i]) >> np.uint64(38)).astype(np.int64)
-
-
 def row_mark():
     """One number for id and text, which also tells rows without an id apart."""
     return F.xxhash64(F.col("doc_id"), F.col("text"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import arrow_map, free_name, stored
+from starmill.llm.common import arrow_map, bloom, free_name, passing, stored
 
 PERMUTATIONS, ROWS = 40, 4
 CHUNK_SETS, CHUNK_SHINGLES = 1024, 400_000  # average bounds of a chunk of a bucket
@@ -96,10 +96,19 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
     return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "doc_id long, n_shingles long, key binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Digest and set of the documents that ``wanted`` (``doc``) names, and of few others.
+
+    A Bloom filter of the ids, of fixed size, picks them, so the texts need no shuffle.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("doc").alias("hash"))))
+
     def make():
+        bits = shared.value
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingle_set(t, size) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text")
+            sets = [shingle_set(texts[int(i)].as_py(), size) for i in passing(bits, batch.column("hash").to_numpy().view(np.uint64))]
             return pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["key", "hashes"],
@@ -107,7 +116,8 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
         return step
 
-    return arrow_map(docs.select("text"), make, "key binary, hashes binary")
+    rows = docs.where("doc_id IS NOT NULL").select(F.xxhash64(F.col("doc_id").cast("long")).alias("hash"), "text")
+    return arrow_map(rows, make, "key binary, hashes binary")
 
 
 def _members(classes: DataFrame) -> DataFrame:
@@ -177,10 +187,8 @@ def _forest(keys: list[bytes], pairs: np.ndarray) -> list[tuple[bytes, bytes]]:
 
 def _links(members: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """A spanning forest of the verified links of every tile."""
-    wanted = members.select("doc").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(wanted, "doc", "left_semi")
     tiles = (
-        members.join(_sets(texts, size), "key")
+        members.join(_sets(docs, members.select("doc"), size), "key")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("band", "value", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "key", "hashes")
     )
