@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import bpe, decontaminate, minmax, quality, rans, secrets
+from starmill.llm import bpe, decontaminate, extract, minmax, quality, rans, secrets, urls
 from starmill.llm.common import table
 
 
+def op1_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op2_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated documents, with the benchmark item and the overlap."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
@@ -22,6 +26,10 @@ def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs.select("doc_id", "text"), model).where(f"tail_probability >= {quality.KEEP}").drop("text")
 
 
+def op4_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(table(spark, sf_dir, "documents"))
 
@@ -39,8 +47,10 @@ def op9_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_words": op1_url_words,
     "op2_spaced_seed_leaks": op2_spaced_seed_leaks,
     "op3_ordinal_quality": op3_ordinal_quality,
+    "op4_crf_main_text": op4_crf_main_text,
     "op5_rans_token_files": op5_rans_token_files,
     "op6_min_max_groups": op6_min_max_groups,
     "op7_linked_secrets": op7_linked_secrets,
