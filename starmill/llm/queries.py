@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import bpe, decontaminate, extract, minmax, quality, rans, secrets, urls
+from starmill.llm import bpe, decontaminate, extract, minmax, mtree, quality, rans, secrets, urls
 from starmill.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op9_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_m_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_words": op1_url_words,
     "op2_spaced_seed_leaks": op2_spaced_seed_leaks,
@@ -55,5 +59,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_min_max_groups": op6_min_max_groups,
     "op7_linked_secrets": op7_linked_secrets,
     "op9_backtracking_bpe": op9_backtracking_bpe,
+    "op10_m_tree_top_k": op10_m_tree_top_k,
 }
 ORACLES: dict[str, str] = {}
