@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import bpe, decontaminate, extract, minmax, mtree, quality, rans, secrets, urls
+from starmill.llm import bpe, decontaminate, extract, minmax, mtree, quality, rans, secrets, surrogates, urls
 from starmill.llm.common import table
 
 
@@ -42,6 +42,11 @@ def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text after replacement, and the number of mentions."""
+    return surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_replaced")
+
+
 def op9_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_rans_token_files": op5_rans_token_files,
     "op6_min_max_groups": op6_min_max_groups,
     "op7_linked_secrets": op7_linked_secrets,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_backtracking_bpe": op9_backtracking_bpe,
     "op10_m_tree_top_k": op10_m_tree_top_k,
 }
