@@ -35,7 +35,7 @@ PIECES = regex.compile(
 )
 # Where a blank is followed by white space or the end, cutting at blanks could split a piece.
 UNSAFE = regex.compile(rf" (?:[{SPACE}]|\Z)")
-CACHED = 300_000  # entries of a worker's cache before it starts anew; only speed depends on it
+CACHED = 150_000  # entries of a worker's cache before it starts anew; only speed depends on it
 
 
 def byte_letters() -> list[str]:

@@ -32,14 +32,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return written(df.sparkSession, df, label)
 
 
+ROWS_AT_ONCE = 1000
+
+
 def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
-    """Apply ``make()``, called once per task, to every non-empty Arrow batch."""
+    """Apply ``make()``, called once per task, to a thousand rows of an Arrow batch at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                out = step(batch)
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                # Rebuilt, so that offsets of lists and texts start at the slice.
+                out = step(pa.concat_batches([batch.slice(first, ROWS_AT_ONCE)]) if batch.num_rows > ROWS_AT_ONCE else batch)
                 if out is not None and out.num_rows:
                     yield out
 
