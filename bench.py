@@ -3,7 +3,7 @@
 BENCH_SF_DIR    table folder (default /root/testdata/sf0.1)
 BENCH_CPUS      local cores (default 8)
 BENCH_REPEAT    timed runs per query after one warm-up; the median counts (default 3,
-                one where the warm-up took over five seconds)
+                for every query)
 BENCH_QUERIES   comma-separated names, or "all"
 """
 
@@ -33,7 +33,6 @@ HEADLINE = [
     "dq_report",
     "full_refresh_rerun",
 ]
-SLOW = 5.0
 
 
 def seconds(spark, name: str, sf_dir: str) -> float:
@@ -53,8 +52,8 @@ def main() -> None:
     spark = local_session(cores, partitions=int(cores) if cores.isdigit() else 8)
     times = {}
     for name in names:
-        runs = 1 if seconds(spark, name, sf_dir) > SLOW else repeat
-        times[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(runs)), 3)
+        seconds(spark, name, sf_dir)
+        times[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(repeat)), 3)
     print(
         json.dumps(
             {

@@ -1,15 +1,18 @@
 """Number parsing that yields NULL on bad text, and exact money arithmetic.
 
-Amounts are computed as decimals.  Every step is rounded half-up to cents and
-brought back to ``DECIMAL(18,2)``, so precision never grows past 38 digits.
+Parsed values stay doubles, as they are stored.  Amounts are computed as decimals, wide enough
+that no product loses a digit: ten digits of quantity times ``PRICE``, and ``AMOUNT`` times
+``PERCENT``, both fit 38.  Every step is rounded half-up to cents.  What does not fit becomes
+NULL; ``held`` tells such a row apart, and the refresh reports it as a violation.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-PARSED_AMOUNT = "decimal(18,4)"
-CENTS = "decimal(18,2)"
+PRICE = "decimal(27,10)"
+PERCENT = "decimal(13,8)"
+AMOUNT = "decimal(24,2)"
 
 
 def to_whole(text: Column) -> Column:
@@ -21,7 +24,9 @@ def to_real(text: Column) -> Column:
 
 
 def to_amount(text: Column) -> Column:
-    return text.try_cast(PARSED_AMOUNT)
+    """A finite double; text such as ``NaN`` is no amount."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def size_or_zero(number: Column) -> Column:
@@ -30,7 +35,7 @@ def size_or_zero(number: Column) -> Column:
 
 
 def in_cents(amount: Column) -> Column:
-    return F.round(amount, 2).try_cast(CENTS)
+    return F.round(amount, 2).try_cast(AMOUNT)
 
 
 def percent_of(amount: Column, percent: Column) -> Column:
@@ -39,7 +44,7 @@ def percent_of(amount: Column, percent: Column) -> Column:
     The product is rounded at whole hundredths *before* the division by 100, which
     keeps it exact: dividing first would round twice.
     """
-    return (F.round(amount * percent, 0) * F.lit("0.01").cast("decimal(2,2)")).try_cast(CENTS)
+    return (F.round(amount * percent, 0) * F.lit("0.01").cast("decimal(2,2)")).try_cast(AMOUNT)
 
 
 def with_revenue(df: DataFrame) -> DataFrame:
@@ -48,7 +53,8 @@ def with_revenue(df: DataFrame) -> DataFrame:
     Reads ``quantity, unit_price, discount_pct, tax_amount``.  A NULL input makes
     every amount that depends on it NULL.
     """
-    price, percent, tax = (to_amount(F.col(c)) for c in ("unit_price", "discount_pct", "tax_amount"))
+    price, tax = F.col("unit_price").try_cast(PRICE), F.col("tax_amount").try_cast(PRICE)
+    percent = F.col("discount_pct").try_cast(PERCENT)
     # Separate projections: each amount is computed once and then reused.
     return (
         df.withColumn("gross_amount", in_cents(F.col("quantity").try_cast("int") * price))
@@ -56,3 +62,9 @@ def with_revenue(df: DataFrame) -> DataFrame:
         .withColumn("net_amount", in_cents(F.col("gross_amount") - F.col("discount_amount")))
         .withColumn("total_amount", in_cents(F.col("net_amount") + tax))
     )
+
+
+def held(quantity: str, price: str, percent: str, tax: str, total: str) -> Column:
+    """FALSE where every input is there and the total is not: the amounts did not fit."""
+    inputs = [F.col(c).isNotNull() for c in (quantity, price, percent, tax)]
+    return F.col(total).isNotNull() | ~(inputs[0] & inputs[1] & inputs[2] & inputs[3])

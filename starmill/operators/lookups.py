@@ -12,7 +12,7 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 _SALT, _HASH, _FAN = "__salt", "__hash", "__fan"
 
@@ -100,20 +100,24 @@ def spread_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column])
     """
     keyed = _keyed(lookup, on)
     spark = fact.sparkSession
-    setting = spark.conf.get("spark.sql.shuffle.partitions")
-    partitions = int(setting) if setting.isdigit() else 200  # some platforms allow "auto"
-    types = dict(keyed.dtypes)
-    fact_key = [part.cast(types[f"__on_{c}"]) for c, part in on.items()]
+    partitions = shuffle_partitions(spark)
+    # Keys are hashed as the type that the join compares them in.
+    common = fact.select(*[part.alias(f"__on_{c}") for c, part in on.items()]).unionByName(
+        keyed.select(*[f"__on_{c}" for c in on])
+    )
+    types = dict(common.dtypes)
+    fact_key = [part.try_cast(types[f"__on_{c}"]) for c, part in on.items()]
+    listed = min(max(2048, 2 * partitions), 100_000)
     fans = [
         (key_hash, math.ceil(2 * share * partitions))
-        for key_hash, share in frequent_keys(fact, fact_key)
+        for key_hash, share in frequent_keys(fact, fact_key, tracked=8 * listed, listed=listed)
         if share * partitions > 0.5
     ]
     heavy = F.broadcast(spark.createDataFrame(fans, f"{_HASH} long, {_FAN} int"))
 
     # The partition number separates exact copies of a row.  It is fixed per task, so a
     # retried task repeats its placement.
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{f.name}`") for f in fact.schema.fields if _hashable(f.dataType)])
     whole = _all_present(fact_key)
     places = F.when(whole, F.coalesce(F.col(_FAN), F.lit(1))).otherwise(F.lit(2 * partitions))
     salted_fact = (
@@ -121,7 +125,7 @@ def spread_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column])
         .withColumn(_SALT, F.pmod(row_hash, places).cast("int"))
         .drop(_HASH, _FAN)
     )
-    lookup_key = [F.col(f"__on_{c}") for c in on]
+    lookup_key = [F.col(f"__on_{c}").try_cast(types[f"__on_{c}"]) for c in on]
     last_place = F.coalesce(F.col(_FAN), F.lit(1)) - 1
     salted_lookup = (
         keyed.join(heavy, F.xxhash64(*lookup_key) == F.col(_HASH), "left")
@@ -131,6 +135,17 @@ def spread_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column])
     return _joined(salted_fact, salted_lookup, {**on, _SALT: F.col(_SALT)}).drop(_SALT)
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number of partitions a shuffle starts with."""
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.shuffle.partitions")
+    numbers = [int(v) for v in (spark.conf.get(n, None) for n in names) if (v or "").isdigit()]
+    return max(numbers, default=200)  # some platforms allow "auto"
+
+
+def _hashable(kind: T.DataType) -> bool:
+    return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
+
+
 def _keyed(lookup: DataFrame, on: Mapping[str, Column]) -> DataFrame:
     """The lookup with its key columns renamed, so that they cannot clash with the fact's."""
     return lookup.select(

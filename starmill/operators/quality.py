@@ -9,10 +9,10 @@ rows is reduced inside the map tasks.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget
 
@@ -30,6 +30,13 @@ class Reference:
     column: str
     dimension: DataFrame
     member: str
+    measured: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def admitted(self, budget: BroadcastBudget) -> bool:
+        """Whether the members may be broadcast; they are measured once per budget."""
+        if budget not in self.measured:
+            self.measured[budget] = budget.admits(self.members())
+        return self.measured[budget]
 
     def members(self) -> DataFrame:
         """The dimension's keys as text, the form in which keys are compared."""
@@ -85,7 +92,7 @@ def reference_report(
     moving the fact.  For the others the fact's keys are counted first and the join
     runs on those counts, whatever the skew.
     """
-    small = [r for r in references if budget.admits(r.members())]
+    small = [r for r in references if r.admitted(budget)]
     large = [r for r in references if r not in small]
     reports = []
     if small:
@@ -156,10 +163,20 @@ def parse_report(raw: DataFrame, table: str, parsers: Mapping[str, Column]) -> D
     )
 
 
+def _exact(df: DataFrame, measure: str) -> Column:
+    """The measure as a decimal: at its own scale, or a double at ten places."""
+    kind = df.schema[measure].dataType
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 10
+    return F.col(measure).try_cast(f"decimal(38,{scale})")
+
+
 def reconciliation(before: DataFrame, after: DataFrame, measure: str) -> DataFrame:
-    """One row: row counts and exact measure totals before and after a step."""
+    """One row: row counts, exact measure totals, and how many amounts the totals leave out.
+
+    Left out are NULLs and what no decimal of 38 digits holds, so a loss cannot hide there.
+    """
     side = [
-        df.select(F.lit(label).alias("side"), F.col(measure).try_cast("decimal(18,2)").alias("amount"))
+        df.select(F.lit(label).alias("side"), _exact(df, measure).alias("amount"))
         for label, df in (("before", before), ("after", after))
     ]
     totals = []
@@ -167,20 +184,29 @@ def reconciliation(before: DataFrame, after: DataFrame, measure: str) -> DataFra
         mine = F.col("side") == label
         totals.append(F.count(F.when(mine, F.lit(1))).alias(f"rows_{label}"))
         totals.append(_total(F.when(mine, F.col("amount"))).alias(f"{measure}_{label}"))
+        totals.append(F.count(F.when(mine & F.col("amount").isNull(), F.lit(1))).alias(f"absent_{label}"))
     return side[0].unionByName(side[1]).agg(*totals)
 
 
 def reconciliation_report(before: DataFrame, after: DataFrame, table: str, measure: str) -> DataFrame:
-    """The reconciliation as report rows: lost or added rows, and lost or added cents."""
+    """The reconciliation as report rows: rows lost or added, a total that moved (one violation,
+    however little), and amounts that became absent or appeared."""
     totals = reconciliation(before, after, measure)
-    moved = (F.col(f"{measure}_after") - F.col(f"{measure}_before")) * 100
+    moved = ~F.col(f"{measure}_after").eqNullSafe(F.col(f"{measure}_before"))
+    absent = F.abs(F.col("absent_after") - F.col("absent_before"))
     return report_rows(
         totals,
         report_line(table, "keeps(rows)", F.col("rows_after"), F.abs(F.col("rows_after") - F.col("rows_before"))),
-        report_line(table, f"keeps({measure})", F.col("rows_after"), F.abs(moved)),
+        report_line(table, f"keeps({measure})", F.col("rows_after"), absent + moved.cast("int")),
     )
 
 
+def held_report(df: DataFrame, table: str, held: Column, what: str) -> DataFrame:
+    """Rows for which ``held`` is false."""
+    totals = df.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(~held, F.lit(1))).alias("lost"))
+    return report_rows(totals, report_line(table, f"holds({what})", F.col("rows"), F.col("lost")))
+
+
 def combined(*reports: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 

@@ -28,95 +28,133 @@ class Contract:
         return self.schema.names
 
 
-def _schema(text: str) -> T.StructType:
-    """Columns in order: ``name:type`` words, where a bare name is a string."""
+def columns(**kinds: str) -> T.StructType:
+    """A schema: columns in order with their Spark SQL types."""
     schema = T.StructType()
-    for word in text.split():
-        name, _, kind = word.partition(":")
-        schema = schema.add(name, kind or "string")
+    for name, kind in kinds.items():
+        schema = schema.add(name, kind)
     return schema
 
 
-_AUDIT = " _source_file _ingested_at:timestamp"
+# FIXED VALUES: column names, order and types equal those of the source system's files and tables.
+AUDIT = {"_source_file": "string", "_ingested_at": "timestamp"}
 
 # Raw files, in file order.  Order items land as text so that no value is lost on read.
 RAW = {
-    "brands": _schema("brand_code brand_name category_code"),
-    "category": _schema("category_code category_name"),
-    "products": _schema(
-        "product_id sku category_code brand_code color size material weight_grams length_cm"
-        " width_cm:float height_cm:float rating_count:integer"
-    ),
-    "customers": _schema("customer_id phone country_code country state"),
-    "calendar": _schema("date year:integer day_name quarter:integer week_of_year:integer"),
-    "order_items": _schema(
-        "dt order_ts customer_id order_id item_seq product_id quantity unit_price_currency"
-        " unit_price discount_pct tax_amount channel coupon_code"
+    "brands": columns(
+        brand_code="string", brand_name="string", category_code="string",
+    ),
+    "category": columns(
+        category_code="string", category_name="string",
+    ),
+    "products": columns(
+        product_id="string", sku="string", category_code="string", brand_code="string",
+        color="string", size="string", material="string", weight_grams="string", length_cm="string",
+        width_cm="float", height_cm="float", rating_count="integer",
+    ),
+    "customers": columns(
+        customer_id="string", phone="string", country_code="string", country="string",
+        state="string",
+    ),
+    "calendar": columns(
+        date="string", year="integer", day_name="string", quarter="integer", week_of_year="integer",
+    ),
+    "order_items": columns(
+        dt="string", order_ts="string", customer_id="string", order_id="string", item_seq="string",
+        product_id="string", quantity="string", unit_price_currency="string", unit_price="string",
+        discount_pct="string", tax_amount="string", channel="string", coupon_code="string",
     ),
 }
 
 
 def _landed(entity: str) -> Contract:
-    schema = T.StructType(RAW[entity].fields + _schema(_AUDIT).fields)
-    return Contract(f"brz_{entity}", schema)
+    return Contract(f"brz_{entity}", T.StructType(RAW[entity].fields + columns(**AUDIT).fields))
 
 
 BRONZE = {entity: _landed(entity) for entity in RAW}
 
 SILVER = {
-    "brands": Contract("slv_brands", _schema("brand_code brand_name category_code" + _AUDIT)),
-    "category": Contract("slv_category", _schema("category_code category_name" + _AUDIT), ("category_code",)),
+    "brands": Contract(
+        "slv_brands",
+        columns(
+            brand_code="string", brand_name="string", category_code="string", **AUDIT
+        ),
+    ),
+    "category": Contract(
+        "slv_category",
+        columns(
+            category_code="string", category_name="string", **AUDIT
+        ),
+        ("category_code",),
+    ),
     "products": Contract(
         "slv_products",
-        _schema(
-            "product_id sku category_code brand_code color size material weight_grams:integer length_cm:float"
-            " width_cm:float height_cm:float rating_count:integer" + _AUDIT
+        columns(
+            product_id="string", sku="string", category_code="string", brand_code="string",
+            color="string", size="string", material="string", weight_grams="integer", length_cm="float",
+            width_cm="float", height_cm="float", rating_count="integer", **AUDIT
+        ),
+    ),
+    "customers": Contract(
+        "slv_customers",
+        columns(
+            customer_id="string", phone="string", country_code="string", country="string",
+            state="string", **AUDIT
         ),
     ),
-    "customers": Contract("slv_customers", _schema("customer_id phone country_code country state" + _AUDIT)),
     "calendar": Contract(
         "slv_calendar",
-        _schema(
-            "date:date year:integer day_name quarter:integer week_of_year:integer" + _AUDIT + " quarter_label week_label"
+        columns(
+            date="date", year="integer", day_name="string", quarter="integer", week_of_year="integer", **AUDIT, quarter_label="string", week_label="string"
         ),
         ("date",),
     ),
     "order_items": Contract(
         "slv_order_items",
-        _schema(
-            "dt:date order_ts:timestamp customer_id order_id item_seq:integer product_id quantity:integer"
-            " unit_price_currency unit_price:double discount_pct:double tax_amount:double channel coupon_code"
-            + _AUDIT + " _processed_at:timestamp"
+        columns(
+            dt="date", order_ts="timestamp", customer_id="string", order_id="string", item_seq="integer",
+            product_id="string", quantity="integer", unit_price_currency="string", unit_price="double",
+            discount_pct="double", tax_amount="double", channel="string", coupon_code="string", **AUDIT, _processed_at="timestamp"
         ),
     ),
 }
 
 DIM_PRODUCTS = Contract(
     "gld_dim_products",
-    _schema(
-        "product_id sku category_code category_name brand_code brand_name color size material weight_grams:integer"
-        " length_cm:float width_cm:float height_cm:float rating_count:integer"
+    columns(
+        product_id="string", sku="string", category_code="string", category_name="string",
+        brand_code="string", brand_name="string", color="string", size="string", material="string",
+        weight_grams="integer", length_cm="float", width_cm="float", height_cm="float",
+        rating_count="integer",
     ),
     ("product_id",),
 )
 DIM_CUSTOMERS = Contract(
-    "gld_dim_customers", _schema("customer_id phone country_code country state region"), ("customer_id",)
+    "gld_dim_customers",
+    columns(
+        customer_id="string", phone="string", country_code="string", country="string",
+        state="string", region="string",
+    ),
+    ("customer_id",),
 )
 DIM_CALENDAR = Contract(
     "gld_dim_calendar",
-    _schema(
-        "date_id:integer date:date year:integer month_name day_name is_weekend:integer quarter:integer quarter_label"
-        " week_of_year:integer week_label"
+    columns(
+        date_id="integer", date="date", year="integer", month_name="string", day_name="string",
+        is_weekend="integer", quarter="integer", quarter_label="string", week_of_year="integer",
+        week_label="string",
     ),
     ("date_id",),
 )
 FACT = Contract(
     "gld_fact_order_items",
-    _schema(
-        "date_id:integer transaction_date:date transaction_ts:timestamp transaction_id seq_no:integer customer_id"
-        " product_id channel coupon_code coupon_flag:integer unit_price_currency quantity:integer unit_price:double"
-        " gross_amount:double discount_percent:double discount_amount:double net_amount:double"
-        " tax_amount:double total_amount:double total_amount_inr:double"
+    columns(
+        date_id="integer", transaction_date="date", transaction_ts="timestamp",
+        transaction_id="string", seq_no="integer", customer_id="string", product_id="string",
+        channel="string", coupon_code="string", coupon_flag="integer", unit_price_currency="string",
+        quantity="integer", unit_price="double", gross_amount="double", discount_percent="double",
+        discount_amount="double", net_amount="double", tax_amount="double", total_amount="double",
+        total_amount_inr="double",
     ),
     ("transaction_id", "seq_no"),
     (

@@ -75,7 +75,7 @@ def products(bronze: DataFrame) -> DataFrame:
 
 
 def known_customers(df: DataFrame) -> DataFrame:
-    """Rows with a key.  Orders of the others stay in the fact, under the unknown member."""
+    """Only rows that can be referred to."""
     return df.where(F.col("customer_id").isNotNull())
 
 
@@ -155,16 +155,13 @@ def _parsed(df: DataFrame, *names: str) -> DataFrame:
 
 
 def parse_quantities(df: DataFrame) -> DataFrame:
-    """Words and digits to integers; an unexpected word becomes NULL, never a wrong number."""
+    """Quantities as integers; words outside the fixed list are NULL and counted by the parse check."""
     return _parsed(df, "quantity")
 
 
 def parse_amounts(df: DataFrame) -> DataFrame:
     """Prices, rates and taxes without their symbols, as doubles (the stored type)."""
-    parsers = item_parsers()
-    return df.withColumns(
-        {name: parsers[name].cast("double") for name in ("unit_price", "discount_pct", "tax_amount")}
-    )
+    return _parsed(df, "unit_price", "discount_pct", "tax_amount")
 
 
 def standard_labels(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,12 +40,12 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``.  Only a local session without that
-    setting may use this machine's temporary folder.
+    It lies under ``spark.checkpoint.dir``.  Only a session of one process on this machine may
+    do without that setting; a cluster, also a simulated one, must name a shared folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="starmill-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

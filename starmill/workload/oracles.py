@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from starmill import fixed_values as fixed
+from starmill.plans.contracts import BRONZE, DIM_CALENDAR, DIM_CUSTOMERS, DIM_PRODUCTS, FACT, SILVER
 from starmill.workload.raw import COUNTRIES, CURRENCY_SPELLINGS, STATES
 
 
+# Columns that differ from run to run, or hold a path or a moment.
+NOT_COMPARED = {"_source_file", "_ingested_at", "_processed_at", "order_ts", "transaction_ts", "dt", "date", "transaction_date"}
+
+
 def _list(values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -38,9 +43,9 @@ _QUANTITY = (
     "TRY_CAST(CASE quantity WHEN 'One' THEN '1' WHEN 'Two' THEN '2' WHEN 'Three' THEN '3' ELSE quantity END"
     " AS INTEGER)"
 )
-_PRICE = "TRY_CAST(replace(unit_price, '$', '') AS DECIMAL(18,4))"
-_PERCENT = "TRY_CAST(replace(discount_pct, '%', '') AS DECIMAL(18,4))"
-_TAX = r"TRY_CAST(regexp_replace(tax_amount, '[^0-9.\-]', '', 'g') AS DECIMAL(18,4))"
+_PRICE = "TRY_CAST(replace(unit_price, '$', '') AS DOUBLE)"
+_PERCENT = "TRY_CAST(replace(discount_pct, '%', '') AS DOUBLE)"
+_TAX = r"TRY_CAST(regexp_replace(tax_amount, '[^0-9.\-]', '', 'g') AS DOUBLE)"
 _ORDER_TIME = (
     "coalesce(try_strptime(order_ts, '%Y-%m-%d %H:%M:%S'), try_strptime(order_ts, '%d-%m-%Y %H:%M'))"
 )
@@ -48,6 +53,11 @@ _ORDER_DAY = "CAST(try_strptime(dt, '%Y-%m-%d') AS DATE)"
 _CHANNEL = "CASE channel WHEN 'web' THEN 'Website' WHEN 'app' THEN 'Mobile' ELSE channel END"
 
 
+def _decimal(number: str, kind: str) -> str:
+    """A double as the decimal that its shortest text stands for."""
+    return f"TRY_CAST(CAST({number} AS VARCHAR) AS DECIMAL({kind}))"
+
+
 def _date_id(day: str) -> str:
     return f"CAST(strftime({day}, '%Y%m%d') AS INTEGER)"
 
@@ -58,18 +68,18 @@ _RELATIONS = {
         SELECT CASE WHEN n % 3 = 0 THEN p_brand || '!' ELSE '@' || p_brand END AS brand_code,
                CASE WHEN n % 2 = 0 THEN '  Maker ' || n || '  ' ELSE 'Maker ' || n END AS brand_name,
                ['GROCERY', 'TOYS', 'BOOKS', 'GRCY', 'toys', 'CE'][CAST(n % 6 AS INTEGER) + 1] AS category_code
-        FROM (SELECT DISTINCT p_brand, CAST(p_brand[7:] AS INTEGER) AS n FROM part)
-        WHERE p_brand <> 'Brand#7'""",
+        FROM (SELECT DISTINCT p_brand, CAST(p_brand[7:] AS INTEGER) AS n FROM part)""",
     "raw_category": f"""
         SELECT CASE WHEN variant = 0 THEN lower(code) ELSE code END AS category_code,
                CASE WHEN variant = 0 THEN title ELSE title || ' goods' END AS category_name
         FROM (SELECT DISTINCT {_CODE} AS code, {_TITLE} AS title, p_partkey % 2 AS variant
-              FROM part WHERE p_type <> 'SMALL')""",
+              FROM part)""",
     "text_products": f"""
         SELECT 'P' || p_partkey AS product_id,
                'SKU-' || p_partkey AS sku,
-               CASE WHEN p_partkey % 3 = 0 THEN lower({_CODE}) ELSE {_CODE} END AS category_code,
-               CASE WHEN p_partkey % 4 = 0 THEN replace(p_brand, '#', '')
+               CASE WHEN p_partkey % 23 = 0 THEN 'void' WHEN p_partkey % 3 = 0 THEN lower({_CODE})
+                    ELSE {_CODE} END AS category_code,
+               CASE WHEN p_partkey % 19 = 0 THEN 'ghost' || p_partkey % 7 WHEN p_partkey % 4 = 0 THEN replace(p_brand, '#', '')
                     ELSE lower(replace(p_brand, '#', '')) END AS brand_code,
                split_part(p_name, ' ', 1) AS color,
                ['S', 'M', 'L', 'XL'][CAST(p_size % 5 AS INTEGER) + 1] AS size,
@@ -113,9 +123,11 @@ _RELATIONS = {
         FROM days WHERE day(day) % 7 = 0""",
     "dated_items": """
         SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS day_text,
-               CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price_text,
+               CASE WHEN l_orderkey % 997 = 1 THEN '98765432109' ELSE '' END ||
+               CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) ||
+               CASE WHEN l_orderkey % 31 = 5 THEN '0625' ELSE '' END AS price_text,
                CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4))
-                    AS VARCHAR) AS tax_text,
+                    AS VARCHAR) || CASE WHEN l_suppkey % 43 = 7 THEN '0004' ELSE '' END AS tax_text,
                lpad(CAST(l_orderkey % 24 AS VARCHAR), 2, '0') || ':' ||
                lpad(CAST(l_linenumber * 7 AS VARCHAR), 2, '0') AS minute_text
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -133,7 +145,8 @@ _RELATIONS = {
                     WHEN 4 THEN 'Four' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
                {_list(CURRENCY_SPELLINGS)}[CAST(o_custkey % 9 AS INTEGER) + 1] AS unit_price_currency,
                CASE WHEN l_partkey % 2 = 0 THEN '$' || price_text ELSE price_text END AS unit_price,
-               CAST(l_discount * 100 AS DECIMAL(4,0)) || CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE '%' END
+               CAST(l_discount * 100 AS DECIMAL(4,0)) || CASE WHEN l_suppkey % 37 = 5 THEN '.34567' ELSE '' END ||
+                    CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE '%' END
                    AS discount_pct,
                CASE WHEN l_suppkey % 41 = 0 THEN 'n.a.' WHEN l_returnflag = 'R' THEN '-' || tax_text
                     WHEN l_suppkey % 4 = 0 THEN 'Tax ' || tax_text ELSE tax_text END AS tax_amount,
@@ -150,25 +163,26 @@ _RELATIONS = {
                      unit_price NULLS LAST, discount_pct NULLS LAST, tax_amount NULLS LAST, channel NULLS LAST,
                      coupon_code NULLS LAST) = 1""",
     "items": f"""
-        SELECT * REPLACE ({_QUANTITY} AS quantity, CAST({_PRICE} AS DOUBLE) AS unit_price,
-                          CAST({_PERCENT} AS DOUBLE) AS discount_pct, CAST({_TAX} AS DOUBLE) AS tax_amount,
+        SELECT * REPLACE ({_QUANTITY} AS quantity, {_PRICE} AS unit_price,
+                          {_PERCENT} AS discount_pct, {_TAX} AS tax_amount,
                           lower(trim(coupon_code)) AS coupon_code, {_CHANNEL} AS channel, {_ORDER_DAY} AS dt,
                           {_ORDER_TIME} AS order_ts, TRY_CAST(item_seq AS INTEGER) AS item_seq)
         FROM latest_items""",
-    "gross_items": """
-        SELECT *, CAST(round(quantity * CAST(unit_price AS DECIMAL(18,4)), 2) AS DECIMAL(18,2)) AS gross_amount
+    "gross_items": f"""
+        SELECT *, CAST(round(CAST(quantity AS DECIMAL(10,0)) * {_decimal('unit_price', '27,10')}, 2) AS DECIMAL(24,2))
+                  AS gross_amount
         FROM items""",
-    "discounted_items": """
-        SELECT *, CAST(round(gross_amount * CAST(discount_pct AS DECIMAL(9,4)) * 0.01, 2) AS DECIMAL(18,2))
-                  AS discount_amount
+    "discounted_items": f"""
+        SELECT *, CAST(CAST(round(gross_amount * {_decimal('discount_pct', '13,8')}, 0) AS DECIMAL(36,0))
+                       * CAST('0.01' AS DECIMAL(2,2)) AS DECIMAL(24,2)) AS discount_amount
         FROM gross_items""",
-    "measured_items": """
-        SELECT *, gross_amount - discount_amount AS net_amount,
-               CAST(round(gross_amount - discount_amount + CAST(tax_amount AS DECIMAL(18,4)), 2) AS DECIMAL(18,2))
+    "measured_items": f"""
+        SELECT *, CAST(gross_amount - discount_amount AS DECIMAL(24,2)) AS net_amount,
+               CAST(round(gross_amount - discount_amount + {_decimal('tax_amount', '27,10')}, 2) AS DECIMAL(24,2))
                    AS total_amount
         FROM discounted_items""",
     "rated_items": f"""
-        SELECT m.*, CAST(round(total_amount * CAST(rate AS DECIMAL(12,6)), 2) AS DECIMAL(18,2)) AS total_amount_inr
+        SELECT m.*, CAST(round(total_amount * CAST(rate AS DECIMAL(12,6)), 2) AS DECIMAL(24,2)) AS total_amount_inr
         FROM measured_items m LEFT JOIN {_RATES} AS r(currency, rate)
              ON upper(trim(unit_price_currency)) = currency""",
     "clean_brands": f"""
@@ -304,6 +318,19 @@ _RAW_COLUMNS = (
 )
 
 
+def _cells(contract) -> tuple[str, str, str]:
+    """Filled cells, characters of all text, and the exact total of all numbers of a table."""
+    kinds = [(f.name, f.dataType.simpleString()) for f in contract.schema.fields if f.name not in NOT_COMPARED]
+    filled = " + ".join(f"count({n})" for n, _ in kinds)
+    letters = " + ".join(f"coalesce(sum(length({n})), 0)" for n, k in kinds if k == "string")
+    numbers = [
+        f"coalesce(sum(TRY_CAST(CAST(CAST({n} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,10))), 0)"
+        for n, k in kinds if k in ("int", "double")
+    ]
+    numbers += [f"coalesce(sum(CAST(floor(CAST({n} AS DOUBLE) * 1000 + 0.5) AS BIGINT)), 0)" for n, k in kinds if k == "float"]
+    return filled, letters, " + ".join(numbers) or "0"
+
+
 def _layer_counts(run: int) -> list[str]:
     sources = {
         ("bronze", "brz_brands"): "raw_brands", ("bronze", "brz_category"): "raw_category",
@@ -315,11 +342,16 @@ def _layer_counts(run: int) -> list[str]:
         ("gold", "gld_dim_products"): "products_dim", ("gold", "gld_dim_customers"): "customers_dim",
         ("gold", "gld_dim_calendar"): "calendar_dim", ("gold", "gld_fact_order_items"): "fact",
     }
-    return [
-        f"SELECT {run} AS run, '{layer}' AS layer, '{name}' AS table_name, count(*) AS row_count,"
-        f" TRUE AS same_rows FROM {relation} "
-        for (layer, name), relation in sources.items()
-    ]
+    contracts = {c.name: c for c in (*BRONZE.values(), *SILVER.values(), DIM_PRODUCTS, DIM_CUSTOMERS, DIM_CALENDAR, FACT)}
+    statements = []
+    for (layer, name), relation in sources.items():
+        filled, letters, total = _cells(contracts[name])
+        statements.append(
+            f"SELECT {run} AS run, '{layer}' AS layer, '{name}' AS table_name, count(*) AS row_count,"
+            f" CAST({filled} AS BIGINT) AS filled_cells, CAST({letters} AS BIGINT) AS letters,"
+            f" CAST({total} AS DOUBLE) AS number_total, TRUE AS same_rows FROM {relation} "
+        )
+    return statements
 
 
 _STATEMENTS = {
@@ -358,8 +390,8 @@ _STATEMENTS = {
     "silver_calendar": "SELECT * FROM clean_calendar ",
     "parse_quantity": f"SELECT order_id, item_seq, product_id, {_QUANTITY} AS quantity FROM raw_items ",
     "clean_monetary": f"""
-        SELECT order_id, item_seq, product_id, CAST({_PRICE} AS DOUBLE) AS unit_price,
-               CAST({_PERCENT} AS DOUBLE) AS discount_pct, CAST({_TAX} AS DOUBLE) AS tax_amount FROM raw_items """,
+        SELECT order_id, item_seq, product_id, {_PRICE} AS unit_price,
+               {_PERCENT} AS discount_pct, {_TAX} AS tax_amount FROM raw_items """,
     "parse_temporal": f"""
         SELECT order_id, TRY_CAST(item_seq AS INTEGER) AS item_seq, product_id, {_ORDER_DAY} AS dt,
                {_ORDER_TIME} AS order_ts FROM raw_items """,
@@ -380,13 +412,20 @@ _STATEMENTS = {
         SELECT order_id, item_seq, unit_price_currency, CAST(total_amount AS DOUBLE) AS total_amount,
                CAST(total_amount_inr AS DOUBLE) AS total_amount_inr FROM rated_items """,
     "remap_orphans": "SELECT order_id, item_seq, customer_id, product_id FROM resolved_items ",
+    "remap_orphans_shuffled": "SELECT order_id, item_seq, customer_id, product_id FROM resolved_items ",
+    "remap_orphans_few_strays": "SELECT order_id, item_seq, customer_id, product_id FROM resolved_items ",
     "reconcile_revenue": """
         SELECT (SELECT count(*) FROM measured_items ) AS rows_before,
                (SELECT CAST(sum(total_amount) AS DOUBLE) FROM measured_items ) AS total_amount_before,
-               (SELECT count(*) FROM resolved_items ) AS rows_after,
-               (SELECT CAST(sum(total_amount) AS DOUBLE) FROM resolved_items ) AS total_amount_after,
-               TRUE AS agrees""",
+               count(*) FILTER (WHERE customer_id <> '-1') AS rows_known,
+               CAST(sum(total_amount) FILTER (WHERE customer_id <> '-1') AS DOUBLE) AS total_amount_known,
+               count(*) FILTER (WHERE customer_id = '-1') AS rows_unknown,
+               CAST(sum(total_amount) FILTER (WHERE customer_id = '-1') AS DOUBLE) AS total_amount_unknown,
+               TRUE AS agrees
+        FROM resolved_items """,
     "customer_region": "SELECT customer_id, country, state, region FROM placed_customers ",
+    "left_lookup_shuffled": """
+        SELECT order_id, item_seq, product_id, category_name, brand_name FROM items LEFT JOIN products_dim USING (product_id) """,
     "dim_customers": "SELECT * FROM customers_dim ",
     "dim_products": "SELECT * FROM products_dim ",
     "dim_calendar": "SELECT * FROM calendar_dim ",
@@ -403,6 +442,12 @@ _STATEMENTS = {
         _references("raw_items", "raw_order_items", "date_id", _date_id(_ORDER_DAY), "calendar_dim"),
         *_FACT_REFERENCES,
     ),
+    "check_referential_counted": _union(
+        _references("raw_items", "raw_order_items", "product_id", "f.product_id", "products_dim"),
+        _references("raw_items", "raw_order_items", "customer_id", "f.customer_id", "customers_dim"),
+        _references("raw_items", "raw_order_items", "date_id", _date_id(_ORDER_DAY), "calendar_dim"),
+        *_FACT_REFERENCES,
+    ),
     "dq_report": _union(
         *[line for args in _DIMENSION_KEYS for line in _keys(*args)],
         *_keys("clean_category", "slv_category", "category_code"),
@@ -419,8 +464,11 @@ _STATEMENTS = {
         """SELECT 'gld_fact_order_items', 'keeps(rows)', (SELECT count(*) FROM fact ),
            abs((SELECT count(*) FROM fact ) - (SELECT count(*) FROM items ))""",
         """SELECT 'gld_fact_order_items', 'keeps(tax_amount)', (SELECT count(*) FROM fact ),
-           CAST(abs((SELECT sum(CAST(tax_amount AS DECIMAL(18,2))) FROM fact )
-                  - (SELECT sum(CAST(tax_amount AS DECIMAL(18,2))) FROM items )) * 100 AS BIGINT)""",
+           (SELECT CAST(sum(t) IS DISTINCT FROM (SELECT sum(t) FROM (SELECT """ + _decimal("tax_amount", "38,10") + """ AS t FROM items ))
+                   AS INTEGER) FROM (SELECT """ + _decimal("tax_amount", "38,10") + """ AS t FROM fact ))""",
+        """SELECT 'gld_fact_order_items', 'holds(amounts)', count(*),
+           count(*) FILTER (WHERE quantity IS NOT NULL AND unit_price IS NOT NULL AND discount_percent IS NOT NULL
+                            AND tax_amount IS NOT NULL AND total_amount IS NULL) FROM fact """,
     ),
     "schema_contract": _union(
         "SELECT 'gld_dim_customers' AS table_name, 'schema' AS check_name, count(*) AS row_count, 0 AS violations"

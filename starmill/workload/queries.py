@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starmill import fixed_values as fixed
 from starmill.functions import numbers
 from starmill.operators import members
+from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget, left_lookup
 from starmill.operators.quality import (
     Reference,
     combined,
+    held_report,
     key_report,
-    reconciliation,
     reconciliation_report,
     reference_report,
 )
@@ -29,7 +30,7 @@ from starmill.plans.contracts import (
     RAW,
     SILVER,
 )
-from starmill.plans.refresh import Layers, advisory_report, full_refresh
+from starmill.plans.refresh import Layers, advisory_report, amounts_held, full_refresh
 from starmill.session import scratch_path, written
 from starmill.sinks.tables import publish
 from starmill.sources.files import INGESTED_AT, SOURCE_FILE, scan_csv, with_audit
@@ -291,13 +292,52 @@ def remap_orphans(spark, sf_dir):
     return members.remap_orphans(items, customers_dimension(spark, sf_dir), "customer_id", fixed.UNKNOWN_KEY)
 
 
+def _stored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(spark, clean(spark, sf_dir, "order_items").select(*LINE, "customer_id", "product_id"), "lines")
+
+
+@query
+def remap_orphans_shuffled(spark, sf_dir):
+    """The same when neither the members nor the orphaned keys may be broadcast."""
+    dimension = customers_dimension(spark, sf_dir)
+    return members.remap_orphans(
+        _stored_items(spark, sf_dir), dimension, "customer_id", fixed.UNKNOWN_KEY, BroadcastBudget(rows=0)
+    )
+
+
+@query
+def remap_orphans_few_strays(spark, sf_dir):
+    """The same when the members are too many to broadcast and the orphaned keys are few."""
+    dimension = customers_dimension(spark, sf_dir)
+    budget = BroadcastBudget(rows=dimension.count() - 1)
+    return members.remap_orphans(_stored_items(spark, sf_dir), dimension, "customer_id", fixed.UNKNOWN_KEY, budget)
+
+
+@query
+def left_lookup_shuffled(spark, sf_dir):
+    """Names of the products of all order lines, joined by a spread shuffle."""
+    names = products_dimension(spark, sf_dir).select(F.col("product_id").alias("code"), "category_name", "brand_name")
+    lines = _stored_items(spark, sf_dir).drop("customer_id")
+    return left_lookup(lines, names, {"code": F.col("product_id")}, BroadcastBudget(rows=0))
+
+
 @query
 def reconcile_revenue(spark, sf_dir):
-    """Rows and revenue before and after orphans move to the unknown member."""
-    before = measured_items(spark, sf_dir).select("customer_id", "total_amount")
+    """Rows and revenue before, and of known and unknown customers after orphans have moved."""
+    before = written(spark, measured_items(spark, sf_dir).select("customer_id", "total_amount"), "revenue")
     after = members.remap_orphans(before, customers_dimension(spark, sf_dir), "customer_id", fixed.UNKNOWN_KEY)
-    totals = reconciliation(before, after, "total_amount")
-    return as_doubles(totals.withColumn("agrees", F.expr("total_amount_before = total_amount_after")))
+    unknown = F.col("customer_id") == fixed.UNKNOWN_KEY
+    sides = before.select(F.lit("before").alias("side"), "total_amount").unionByName(
+        after.select(F.when(unknown, "unknown").otherwise("known").alias("side"), "total_amount")
+    )
+    totals = []
+    for side in ("before", "known", "unknown"):
+        mine = F.col("side") == side
+        totals.append(F.count(F.when(mine, 1)).alias(f"rows_{side}"))
+        totals.append(F.sum(F.when(mine, F.col("total_amount"))).alias(f"total_amount_{side}"))
+    kept = "coalesce(total_amount_known, 0) + coalesce(total_amount_unknown, 0) = coalesce(total_amount_before, 0)"
+    agrees = f"rows_known + rows_unknown = rows_before AND {kept}"
+    return as_doubles(sides.agg(*totals).withColumn("agrees", F.expr(agrees)))
 
 
 # Star schema ----------------------------------------------------------------
@@ -344,7 +384,11 @@ def _dimensions(spark: SparkSession, sf_dir: str) -> dict:
 
 def _key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimensions, which pass, and the raw customers and calendar, which do not."""
-    reports = [key_report(df, c.name, c.grain) for c, df in _dimensions(spark, sf_dir).items()]
+    reports = [
+        key_report(products_dimension(spark, sf_dir), DIM_PRODUCTS.name, DIM_PRODUCTS.grain),
+        key_report(customers_dimension(spark, sf_dir), DIM_CUSTOMERS.name, DIM_CUSTOMERS.grain),
+        key_report(calendar_dimension(spark, sf_dir), DIM_CALENDAR.name, DIM_CALENDAR.grain),
+    ]
     reports.append(key_report(raw.bronze(spark, sf_dir, "customers"), "raw_customers", ["customer_id"]))
     reports.append(key_report(raw.bronze(spark, sf_dir, "calendar"), "raw_calendar", ["date"]))
     return combined(*reports)
@@ -372,14 +416,24 @@ def check_grain_composite(spark, sf_dir):
 @query
 def check_referential(spark, sf_dir):
     """References of the raw order lines, with orphans, and of the published fact, without."""
+    return _references(spark, sf_dir, DEFAULT_BUDGET)
+
+
+@query
+def check_referential_counted(spark, sf_dir):
+    """The same when no dimension may be broadcast."""
+    return _references(spark, sf_dir, BroadcastBudget(rows=0))
+
+
+def _references(spark: SparkSession, sf_dir: str, budget: BroadcastBudget) -> DataFrame:
     dimensions = _dimensions(spark, sf_dir)
     references = _fact_references(dimensions)
     lines = raw.bronze(spark, sf_dir, "order_items").transform(silver.parse_times).transform(gold.with_date_key)
     items = clean(spark, sf_dir, "order_items")
     return combined(
-        reference_report(lines, "raw_order_items", references),
+        reference_report(lines, "raw_order_items", references, budget),
         reference_report(
-            gold.fact_order_items(items, rates(spark), dimensions[DIM_CUSTOMERS]), FACT.name, references
+            gold.fact_order_items(items, rates(spark), dimensions[DIM_CUSTOMERS]), FACT.name, references, budget
         ),
     )
 
@@ -402,6 +456,7 @@ def dq_report(spark, sf_dir):
         key_report(published, FACT.name, FACT.grain),
         reference_report(published, FACT.name, _fact_references(dimensions)),
         reconciliation_report(items, published, FACT.name, "tax_amount"),
+        held_report(published, FACT.name, amounts_held(), "amounts"),
         advisory_report(
             raw.bronze(spark, sf_dir, "order_items"),
             clean(spark, sf_dir, "category"),
@@ -424,6 +479,30 @@ def schema_contract(spark, sf_dir):
 
 # Full refresh ---------------------------------------------------------------
 
+# Columns that differ from run to run, or hold a path or a moment.
+NOT_COMPARED = {SOURCE_FILE, INGESTED_AT, silver.PROCESSED_AT, "order_ts", "transaction_ts", "dt", "date", "transaction_date"}
+
+
+def _cells(contract) -> list:
+    """Filled cells, characters of all text, and the exact total of all numbers of a table."""
+    filled, letters, total = F.lit(0), F.lit(0), F.lit(0).cast("decimal(38,10)")
+    for f in contract.schema.fields:
+        if f.name in NOT_COMPARED:
+            continue
+        kind = f.dataType.simpleString()
+        filled = filled + F.count(f.name)
+        if kind == "string":
+            letters = letters + F.coalesce(F.sum(F.length(f.name)), F.lit(0))
+        elif kind == "float":
+            total = total + F.coalesce(F.sum(F.floor(F.col(f.name).cast("double") * 1000 + 0.5).cast("decimal(28,0)")), F.lit(0))
+        elif kind in ("int", "double"):
+            exact = F.col(f.name).cast("double").try_cast("decimal(38,10)")
+            total = total + F.coalesce(F.sum(exact), F.lit(0))
+    return [
+        filled.cast("long").alias("filled_cells"), letters.cast("long").alias("letters"), total.cast("double").alias("number_total")
+    ]
+
+
 
 @query
 def full_refresh_rerun(spark, sf_dir):
@@ -445,6 +524,7 @@ def full_refresh_rerun(spark, sf_dir):
                     F.lit(layer).alias("layer"),
                     F.lit(c.name).alias("table_name"),
                     F.count(F.lit(1)).alias("row_count"),
+                    *_cells(c),
                     F.sum(F.xxhash64(*[n for n in c.columns if n not in stamps]).cast("decimal(20,0)")).alias("mark"),
                 )
                 for layer, database, c in tables
@@ -455,6 +535,6 @@ def full_refresh_rerun(spark, sf_dir):
     return (
         runs[0].unionByName(runs[1])
         .join(first, "table_name")
-        .select("run", "layer", "table_name", "row_count", (F.col("mark") == F.col("first_mark")).alias("same_rows"))
+        .select("run", "layer", "table_name", "row_count", "filled_cells", "letters", "number_total", (F.col("mark") == F.col("first_mark")).alias("same_rows"))
     )
 

@@ -40,8 +40,6 @@ def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"CASE WHEN {n} % 2 = 0 THEN '  Maker ' || {n} || '  ' ELSE 'Maker ' || {n} END AS brand_name",
             _pick(["GROCERY", "TOYS", "BOOKS", "GRCY", "toys", "CE"], f"{n} % 6") + " AS category_code",
         )
-        # One brand is missing from the file: its products have no brand name.
-        .where("brand_code <> '@Brand#7'")
     )
 
 
@@ -52,12 +50,11 @@ _CATEGORY_CODE = (
 
 
 def category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every code in two spellings with two names; the code MISC is missing."""
+    """Every code in two spellings with two names."""
     return (
         table(spark, sf_dir, "part")
         .select("p_type", F.expr("p_partkey % 2").alias("variant"))
         .distinct()
-        .where("p_type <> 'SMALL'")
         .selectExpr(
             f"CASE WHEN variant = 0 THEN lower({_CATEGORY_CODE}) ELSE {_CATEGORY_CODE} END AS category_code",
             "CASE WHEN variant = 0 THEN initcap(p_type) ELSE initcap(p_type) || ' goods' END AS category_name",
@@ -69,8 +66,10 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "'P' || p_partkey AS product_id",
         "'SKU-' || p_partkey AS sku",
-        f"CASE WHEN p_partkey % 3 = 0 THEN lower({_CATEGORY_CODE}) ELSE {_CATEGORY_CODE} END AS category_code",
-        "CASE WHEN p_partkey % 4 = 0 THEN replace(p_brand, '#', '')"
+        # Some codes are in no file: their products have no category or brand name.
+        f"CASE WHEN p_partkey % 23 = 0 THEN 'void' WHEN p_partkey % 3 = 0 THEN lower({_CATEGORY_CODE})"
+        f" ELSE {_CATEGORY_CODE} END AS category_code",
+        "CASE WHEN p_partkey % 19 = 0 THEN 'ghost' || p_partkey % 7 WHEN p_partkey % 4 = 0 THEN replace(p_brand, '#', '')"
         " ELSE lower(replace(p_brand, '#', '')) END AS brand_code",
         "split_part(p_name, ' ', 1) AS color",
         _pick(["S", "M", "L", "XL"], "p_size % 5") + " AS size",
@@ -144,8 +143,15 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("tax_parts", F.expr("cents * CAST(round(l_tax * 100) AS BIGINT)"))
         .withColumns(
             {
-                "price": F.expr("(cents DIV 100) || '.' || lpad(CAST(cents % 100 AS STRING), 2, '0')"),
-                "tax": F.expr("(tax_parts DIV 10000) || '.' || lpad(CAST(tax_parts % 10000 AS STRING), 4, '0')"),
+                # Some prices are very large, some have more places than a cent has.
+                "price": F.expr(
+                    "CASE WHEN l_orderkey % 997 = 1 THEN '98765432109' ELSE '' END || (cents DIV 100) || '.' ||"
+                    " lpad(CAST(cents % 100 AS STRING), 2, '0') || CASE WHEN l_orderkey % 31 = 5 THEN '0625' ELSE '' END"
+                ),
+                "tax": F.expr(
+                    "(tax_parts DIV 10000) || '.' || lpad(CAST(tax_parts % 10000 AS STRING), 4, '0') ||"
+                    " CASE WHEN l_suppkey % 43 = 7 THEN '0004' ELSE '' END"
+                ),
                 "batch": F.expr("CAST(CAST(l_shipdate AS DATE) AS STRING)"),
                 "at": F.expr(
                     "lpad(CAST(l_orderkey % 24 AS STRING), 2, '0') || ':' ||"
@@ -167,7 +173,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantity",
         _pick(CURRENCY_SPELLINGS, "o_custkey % 9") + " AS unit_price_currency",
         "CASE WHEN l_partkey % 2 = 0 THEN '$' || price ELSE price END AS unit_price",
-        "CAST(round(l_discount * 100) AS INT) || CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE '%' END AS discount_pct",
+        "CAST(round(l_discount * 100) AS INT) || CASE WHEN l_suppkey % 37 = 5 THEN '.34567' ELSE '' END ||"
+        " CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE '%' END AS discount_pct",
         "CASE WHEN l_suppkey % 41 = 0 THEN 'n.a.' WHEN l_returnflag = 'R' THEN '-' || tax"
         " WHEN l_suppkey % 4 = 0 THEN 'Tax ' || tax ELSE tax END AS tax_amount",
         _pick(["web", "app", "Store"], "l_orderkey % 4") + " AS channel",

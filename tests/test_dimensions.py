@@ -23,21 +23,21 @@ def test_lookup_text_is_quoted(spark, rows):
 
 
 def test_region_needs_country_and_state(spark, rows):
-    regions = region_lookup(spark, {"India": {"MH": "West", "KA": "South"}})
+    regions = region_lookup(spark, {"Norway": {"TR": "North", "OS": "East"}, "Chile": {"AP": "North"}})
     df = spark.createDataFrame(
-        [("C1", None, "IN", "India", "MH"), ("C2", None, "IN", "India", "ZZ"), ("C3", None, "IN", "India", None),
-         ("C4", None, "US", "United States", "MH")], CUSTOMER,
+        [("n1", None, "NO", "Norway", "TR"), ("n2", None, "NO", "Norway", "AP"), ("n3", None, "NO", "Norway", None),
+         ("n4", None, "CL", "Chile", "AP"), ("n5", None, "PE", "Peru", "OS")], CUSTOMER,
     )
     assert rows(gold.with_region(df, regions), "customer_id", "region") == [
-        ("C1", "West"), ("C2", "Other"), ("C3", "Other"), ("C4", "Other"),
+        ("n1", "North"), ("n2", "Other"), ("n3", "Other"), ("n4", "North"), ("n5", "Other"),
     ]
 
 
 def test_customer_dimension_ends_with_the_unknown_member(spark, rows):
-    df = spark.createDataFrame([("C1", "555", "IN", "India", "MH")], CUSTOMER)
+    df = spark.createDataFrame([("q", "12", "CA", "Canada", "QC")], CUSTOMER)
     dim = gold.dim_customers(df, region_lookup(spark, fixed.REGION_BY_COUNTRY_STATE))
     assert rows(dim) == [
-        ("-1", None, None, None, None, "Not Available"), ("C1", "555", "IN", "India", "MH", "West"),
+        ("-1", None, None, None, None, "Not Available"), ("q", "12", "CA", "Canada", "QC", "East"),
     ]
 
 
@@ -50,14 +50,14 @@ def test_unknown_member_fits_any_schema(spark, rows):
 @pytest.mark.parametrize("row_limit", [10, 3, 0])
 def test_orphans_move_and_revenue_stays(spark, rows, row_limit):
     fact = spark.createDataFrame(
-        [("C1", 100.0), ("C1", 1.0), ("C_MISSING", 50.0), ("C_GONE", 5.0), (None, 7.0)],
+        [("ada", 11.5), ("ada", 2.25), ("nobody", 30.75), ("closed", 4.0), (None, 8.5)],
         "customer_id string, total_amount double",
     )
     # A repeated or NULL member must not repeat fact rows.
-    dim = spark.createDataFrame([("C1",), ("C1",), ("C2",), ("C3",), ("C4",), (None,)], "customer_id string")
+    dim = spark.createDataFrame([("ada",), ("ada",), ("bo",), ("cy",), ("di",), (None,)], "customer_id string")
     resolved = remap_orphans(fact, dim, "customer_id", fixed.UNKNOWN_KEY, BroadcastBudget(rows=row_limit))
     assert rows(resolved, "customer_id", "total_amount") == [
-        ("-1", 5.0), ("-1", 50.0), ("-1", 7.0), ("C1", 1.0), ("C1", 100.0),
+        ("-1", 30.75), ("-1", 4.0), ("-1", 8.5), ("ada", 11.5), ("ada", 2.25),
     ]
 
 

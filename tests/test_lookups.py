@@ -67,6 +67,21 @@ def test_a_hot_key_reaches_many_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_key_types_and_map_columns_do_not_matter(spark, rows):
+    fact = spark.range(200).selectExpr("id + CAST(3000000000 AS BIGINT) * (id % 2) AS key", "map('n', id) AS extra", "id")
+    lookup = spark.range(50).selectExpr("CAST(id AS INT) AS code", "'v' || id AS value")
+    sent, spread = _both(fact, lookup, {"code": F.col("key")})
+    assert rows(spread, "id", "value") == rows(sent, "id", "value")
+    assert spread.where("value IS NOT NULL").count() == 25
+
+
+def test_thousands_of_warm_keys(spark, rows):
+    fact = spark.range(20000).selectExpr("id % 5000 AS key", "id")
+    lookup = spark.range(5000).selectExpr("id AS code", "id * 2 AS value")
+    sent, spread = _both(fact, lookup, {"code": F.col("key")})
+    assert spread.count() == 20000 and rows(spread.agg(F.sum("value"))) == rows(sent.agg(F.sum("value")))
+
+
 _key = st.one_of(st.none(), st.integers(0, 4))
 
 

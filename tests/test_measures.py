@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from hypothesis import given, settings, strategies as st
 
 from starmill import fixed_values as fixed
-from starmill.functions.numbers import with_revenue
+from starmill.functions.numbers import held, with_revenue
 from starmill.plans import gold
 from starmill.sources.literals import rate_lookup
 
@@ -19,11 +19,11 @@ def _measures(spark, *items):
 
 
 def test_measures(spark):
-    assert _measures(spark, (2, 10.0, 20.0, 1.5)) == [(20.0, 4.0, 16.0, 17.5)]
+    assert _measures(spark, (3, 7.25, 12.0, 0.4)) == [(21.75, 2.61, 19.14, 19.54)]
 
 
 def test_net_excludes_tax(spark):
-    assert _measures(spark, (1, 100.0, 0.0, 8.25)) == [(100.0, 0.0, 100.0, 108.25)]
+    assert _measures(spark, (4, 0.5, 0.0, 0.19)) == [(2.0, 0.0, 2.0, 2.19)]
 
 
 def test_null_inputs_pass_on(spark):
@@ -32,6 +32,14 @@ def test_null_inputs_pass_on(spark):
     ]
 
 
+def test_large_amounts_are_exact_or_reported(spark):
+    big = (2_000_000_000, 99_999_999_999.0, 0.0, 0.0)
+    assert _measures(spark, big)[0] == (1.99999999998e20, 0.0, 1.99999999998e20, 1.99999999998e20)
+    names = ("quantity", "unit_price", "discount_pct", "tax_amount")
+    rows = with_revenue(spark.createDataFrame([big, (2, 1e18, 0.0, 0.0), (None, 1e18, 0.0, 0.0)], ITEM))
+    assert sorted(r[0] for r in rows.select(held(*names, "total_amount")).collect()) == [False, True, True]
+
+
 def test_half_cents_round_up_exactly(spark):
     # As doubles, 1.005 * 1 rounds down and 0.145 * 100 is inexact.
     assert _measures(spark, (1, 1.005, 0.0, 0.0))[0][0] == 1.01
@@ -61,8 +69,8 @@ def test_measures_equal_exact_decimal_arithmetic(spark, items):
 
 
 def test_coupon_flag(spark, rows):
-    df = spark.createDataFrame([("A", "save10"), ("B", ""), ("C", None)], "order_id string, coupon_code string")
-    assert rows(gold.with_coupon_flag(df), "order_id", "coupon_flag") == [("A", 1), ("B", 0), ("C", 0)]
+    df = spark.createDataFrame([("g", " "), ("h", "x"), ("i", None), ("j", "")], "order_id string, coupon_code string")
+    assert rows(gold.with_coupon_flag(df), "order_id", "coupon_flag") == [("g", 1), ("h", 1), ("i", 0), ("j", 0)]
 
 
 def test_date_key(spark, rows):

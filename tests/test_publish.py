@@ -31,6 +31,25 @@ def test_overwrite_is_repeatable_and_old_versions_go(spark, database):
     assert spark.sql(f"SHOW TABLES IN {database}").count() == 2
 
 
+def test_a_table_with_a_similar_name_is_left_alone(spark, database):
+    log = Contract("things__log", CONTRACT.schema, ("id",))
+    publish(_things(spark, 4), database, log)
+    for keep in (1, 1, 0):
+        publish(_things(spark, 5), database, CONTRACT, keep=keep)
+    assert spark.table(f"{database}.things__log").count() == 4
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 4
+
+
+def test_what_a_killed_run_left_does_not_count_as_the_version_before(spark, database):
+    publish(_things(spark, 5), database, CONTRACT)
+    reader = spark.table(f"{database}.things")
+    # Written after the published version, never pointed at.
+    spark.range(1).write.saveAsTable(f"{database}.things__{10**19 - 1:020d}")
+    publish(_things(spark, 7), database, CONTRACT)
+    assert reader.count() == 5 and spark.table(f"{database}.things").count() == 7
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 3
+
+
 def test_a_failed_check_leaves_the_old_rows(spark, database):
     publish(_things(spark, 5), database, CONTRACT, _unique)
     bad = _things(spark, 5).unionByName(_things(spark, 1))

@@ -67,13 +67,25 @@ def test_unparsed_values_are_counted_and_blanks_are_not(spark):
 
 def test_reconciliation(spark):
     before = spark.createDataFrame([(1.10,), (2.20,), (None,)], "amount double")
-    assert reconciliation(before, before, "amount").collect() == [(3, Decimal("3.30"), 3, Decimal("3.30"))]
+    assert reconciliation(before, before, "amount").collect() == [(3, Decimal("3.30"), 1, 3, Decimal("3.30"), 1)]
     lost = before.where("amount IS NULL OR amount < 2")
     assert _lines(reconciliation_report(before, lost, "t", "amount")) == {
-        "keeps(rows)": (2, 1), "keeps(amount)": (2, 220),
+        "keeps(rows)": (2, 1), "keeps(amount)": (2, 1),
     }
 
 
+def test_no_loss_is_too_small_or_too_large_to_see(spark):
+    """A thousandth per row, one unit at 10**17, and an amount that became NULL."""
+    for was, now in ((1.004, 1.0), (1e17, 5e17), (4e17, None)):
+        one = spark.createDataFrame([(was,)], "amount double")
+        other = spark.createDataFrame([(now,)], "amount double")
+        lines = _lines(reconciliation_report(one, other, "t", "amount"))
+        assert lines["keeps(amount)"][1] >= 1 and lines["keeps(rows)"] == (1, 0)
+    exact = spark.sql("SELECT CAST('12345678901234567890.12' AS DECIMAL(24,2)) AS amount")
+    less = exact.selectExpr("CAST(amount - 0.01 AS DECIMAL(24,2)) AS amount")
+    assert _lines(reconciliation_report(exact, less, "t", "amount"))["keeps(amount)"] == (1, 1)
+
+
 def test_enforce_names_every_failure(spark):
     good = spark.createDataFrame([("a",)], "k string")
     bad = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
