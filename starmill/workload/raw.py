@@ -227,13 +227,13 @@ def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
 
 
 def landing(spark: SparkSession, sf_dir: str, entity: str) -> str:
-    """The glob of an entity's CSV files.  Order items fall into one folder per ship
-    month, like batch drops."""
+    """The glob of an entity's CSV files.  Order items fall into one file per ship day, whose
+    path holds that day, like batch drops."""
     keep_spaces = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     rows = RELATIONS[entity](spark, sf_dir)
     batched = entity == "order_items"
     if batched:
-        rows = rows.withColumn("batch", F.substring("batch", 1, 7)).hint("rebalance", "batch")
+        rows = rows.repartition("batch")
     writer = rows.write.options(**keep_spaces)
     path = _once(
         spark, sf_dir, f"landing-{entity}", writer.partitionBy("batch").csv if batched else writer.csv
