@@ -8,7 +8,7 @@ given up at most once, so the time is linear in its length.
 
 Defined results: a NULL or empty text has no tokens; the end marker inside a text is its own
 token; rows are neither dropped nor merged, so repeated rows give repeated results; columns
-other than the named text column pass through untouched.
+other pass through; one that has the name given for the result is replaced.
 """
 
 from __future__ import annotations
@@ -225,7 +225,7 @@ def _schema(df: DataFrame, name: str, kind: str) -> str:
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
     """``docs`` with a column of token ids; a NULL text gives an empty list."""
-    path = path or public_tokenizers.path(VOCABULARY)
+    path, docs = path or public_tokenizers.path(VOCABULARY), docs.drop(ids)
 
     def make():
         words = vocabulary(path)
@@ -243,7 +243,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
 
 def decode(tokens: DataFrame, ids: str = "ids", text: str = "decoded", path: str | None = None) -> DataFrame:
     """``tokens`` with the text its ids stand for; broken UTF-8 is replaced as usual."""
-    path = path or public_tokenizers.path(VOCABULARY)
+    path, tokens = path or public_tokenizers.path(VOCABULARY), tokens.drop(text)
 
     def make():
         words = vocabulary(path)

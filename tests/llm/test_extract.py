@@ -1,0 +1,79 @@
+"""Blocks, labels, decoding of the chain against all labellings, and held-out layouts."""
+
+import html
+import itertools
+import random
+import re
+
+from starmill.llm import extract
+from starmill.llm.queries import QUERIES
+
+
+def test_blocks_of_broken_markup():
+    page = (
+        "<html><head><title>T &amp; U</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=x>Home</a><li>Two</ul></nav>"
+        "<!-- no --><div class='ad big'>Buy&nbsp;now</div><article><h1>Head</h1><p>one <b>two<br>three<p>four&#33; <i>fi</i>ve</article><footer>&copy; us"
+    )
+    got = [(b.text, b.path[-1]) for b in extract.blocks(page)]
+    assert [t for t, _ in got] == ["Home", "Two", "Buy now", "Head", "one two", "three", "four! five", "© us"]
+    assert extract.blocks(page)[0].linked == 4 and extract.blocks(page)[2].path[-3:] == ("div", ".ad", ".big")
+    assert extract.labels(extract.blocks(page)) == [0, 0, 0, 1, 1, 1, 1, 0]
+
+
+def test_any_text_is_cut_without_failing():
+    draw = random.Random(5)
+    bits = ["<", ">", "</p>", "<p>", "<a href='x", "<!--", "-->", "<script>", "&amp", "&#x41;", "x y", "\n", "<br/>", "</", "<!doctype html>", "é"]
+    for _ in range(500):
+        page = "".join(draw.choices(bits, k=draw.randint(0, 12)))
+        assert all(b.text == " ".join(b.text.split()) for b in extract.blocks(page))
+    assert extract.blocks(None) == extract.blocks("") == []
+    assert len(extract.blocks("<p>word " * 20_000)) == 20_000
+
+
+def test_viterbi_equals_all_labellings():
+    page = extract.blocks("<nav>a</nav><p>b c.</p><div class=ad>d</div><p>e</p><footer>f</footer>")
+    draw = random.Random(1)
+    for _ in range(20):
+        names = {f for i, b in enumerate(page) for f in extract.described(b, i, len(page))}
+        chain = extract.Chain({f: draw.gauss(0, 1) for f in names}, tuple(tuple(draw.gauss(0, 1) for _ in range(2)) for _ in range(2)))
+
+        def score(y):
+            own = sum(chain.weights[f] for i, b in enumerate(page) if y[i] for f in extract.described(b, i, len(page)))
+            return own + sum(chain.pairs[a][b] for a, b in itertools.pairwise(y))
+
+        assert tuple(chain.label(page)) == max(itertools.product((0, 1), repeat=len(page)), key=score)
+
+
+def _learned(pages):
+    cut = [(b, extract.labels(b)) for b in map(extract.blocks, pages)]
+    texts = [b.text for page, y in cut for b, g in zip(page, y, strict=True) if g]
+    draw = random.Random(4)
+    return extract.fit(cut + [extract.layout(b, y, texts, draw) for b, y in cut for _ in range(2)]), cut, texts
+
+
+def test_held_out_layouts(table):
+    pages = [r["html"] for r in table("pages").orderBy("page_id").collect()]
+    chain, _, texts = _learned(pages[: len(pages) // 2])
+    draw, wrong, total = random.Random(9), 0, 0
+    for page in pages[len(pages) // 2 :]:
+        cut = extract.blocks(page)
+        laid, gold = extract.layout(cut, extract.labels(cut), texts, draw)
+        wrong += sum(a != b for a, b in zip(chain.label(laid), gold, strict=True))
+        total += len(gold)
+    assert wrong / total < 0.05
+
+
+def test_edges(spark):
+    rows = [(1, None, None), (2, "u", ""), (2, "u", ""), (None, "u", "<article><p>x"), (4, None, "no markup"), (5, "u", "<article>" + "<p>w w</p>" * 5000 + "</article>")]
+    pages = spark.createDataFrame([(*r, "c", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = extract.main_text(pages).collect()
+    assert len(got) == 6 and {(r["page_id"], r["n_chars"]) for r in got} >= {(1, 0), (2, 0), (None, 1), (5, 5000 * 4 - 1)}
+    assert extract.main_text(pages.where("false")).collect() == []
+
+
+def test_query_equals_the_article(spark, table):
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in QUERIES["op4_crf_main_text"](spark, "/root/testdata/sf0.001").collect()}
+    for r in table("pages").collect():
+        inside = r["html"][r["html"].index("<article>") : r["html"].index("</article>")]
+        text = " ".join(html.unescape(re.sub(r"<[a-z/][^>]*>", " ", inside)).split())
+        assert got[r["page_id"]] == (text, len(text))

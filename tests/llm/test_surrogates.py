@@ -1,0 +1,90 @@
+"""Surrogates: form, distinctness, coreference, and collisions that are drawn again."""
+
+import random
+
+import pytest
+
+from starmill.llm import surrogates
+from starmill.llm.queries import QUERIES
+
+
+@pytest.mark.parametrize("base,size", [(10, 1), (10, 3), (26, 2), (2, 7)])
+def test_permutations_are_one_to_one(base, size):
+    seen = set()
+    for n in range(base**size):
+        values = [n // base**k % base for k in range(size)]
+        seen.add(tuple(surrogates.permuted(values, base, b"k", "t")))
+    assert len(seen) == base**size
+
+
+def test_forms_are_kept():
+    for kind, text in (("email", "Bob.X9@Mail.Example.com"), ("card", "4111 1111 1111 1111"), ("phone", "+1 (988) 555-2485"), ("ssn", "123-45-6789"), ("ip", "10.0.200.1")):
+        entity = surrogates.canonical(kind, text)
+        new = surrogates.rendered(kind, text, surrogates.surrogate(kind, entity, 0))
+        assert new != text and [m[2] for m in surrogates.mentions(new)] == [kind]
+        if kind != "ip":
+            assert [c.isalpha() + 2 * c.isdigit() for c in new] == [c.isalpha() + 2 * c.isdigit() for c in text]
+    card = surrogates.surrogate("card", "4111111111111111", 0)
+    assert card[0] == "4" and int(card[-1]) == surrogates._check_digit(card[:-1])
+
+
+def test_names_follow_title_script_and_case():
+    female, male = surrogates.mentions("Frau Maria Schmidt")[0], surrogates.mentions("Mr. John SMITH")[0]
+    assert female[2:] == ("name", "f|maria schmidt") and male[2:] == ("name", "m|john smith")
+    assert surrogates.surrogate("name", female[3], 0).split()[0].endswith("a")
+    assert surrogates.surrogate("name", male[3], 0).split()[0].endswith("n")
+    assert surrogates.rendered("name", "John SMITH", "ab cd") == "Ab CD"
+    russian = surrogates.surrogate("name", surrogates.mentions("Госпожа Ирина")[0][3], 0)
+    assert all("а" <= c <= "я" for c in russian)
+
+
+def test_one_entity_has_one_surrogate_everywhere(docs_of):
+    docs = [(1, "bob.x@mail.example.com and +1 988-555-2485"), (2, "BOB.X@mail.example.com, +1 (988) 555-2485"), (3, "bob.y@mail.example.com")]
+    texts = {r["doc_id"]: r["text"] for r in surrogates.replace(docs_of(docs)).collect()}
+    one, two = texts[1].split(" and "), texts[2].split(", ")
+    assert one[0] == two[0].lower() and [c for c in one[1] if c.isdigit()] == [c for c in two[1] if c.isdigit()]
+    assert texts[3] != one[0] and len({*texts.values()} & {t for _, t in docs}) == 0
+
+
+def test_collisions_are_drawn_again(docs_of, monkeypatch):
+    """First draws that all fall on one real value must end distinct and unreal."""
+    draw = surrogates.surrogate
+    monkeypatch.setattr(surrogates, "surrogate", lambda kind, e, attempt, key=b"": "123456789" if attempt == 0 else draw(kind, e, attempt, key))
+    docs = [(i, f"n {100 + i}-45-6789") for i in range(20)] + [(50, "n 123-45-6789")]
+    found = surrogates.assigned(docs_of(docs), b"k").collect()
+    assert len(found) == 21 and len({r["surrogate"] for r in found}) == 21
+    assert not {r["surrogate"] for r in found} & {r["entity"] for r in found}
+
+
+def test_edges(docs_of, edges):
+    docs = [*edges, (30, "x 10.1.2.3 y"), (30, "x 10.1.2.3 y"), (31, "1.2.3.4.5 and 999.1.1.1 and 12345678901234567890")]
+    out = surrogates.replace(docs_of(docs), count="n")
+    assert out.columns == [*docs_of([]).columns, "n"]
+    rows = out.collect()
+    assert len(rows) == len(docs)
+    assert sorted((r["doc_id"] or 0, r["n"]) for r in rows if r["n"]) == [(30, 1), (30, 1)]
+    assert {(r["doc_id"], r["text"]) for r in rows if not r["n"]} == {d for d in docs if d[0] != 30}
+    assert len({r["text"] for r in rows if r["n"]}) == 1
+    assert surrogates.replace(docs_of([])).collect() == []
+
+
+def test_overlaps_are_resolved():
+    draw = random.Random(2)
+    bits = ["a@b.co", "1.2.3.4", "555-123-4567", "4111111111111111", "Mr Xy", "-", ".", " ", "@", "123-45-6789", "+49 30 1234567"]
+    for _ in range(500):
+        text = "".join(draw.choices(bits, k=draw.randint(0, 8)))
+        spans = surrogates.mentions(text)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_query_leaves_no_real_value(spark, table):
+    real, texts = set(), {}
+    for r in table("documents").collect():
+        texts[r["doc_id"]] = r["text"]
+        real |= {r["text"][a:b] for a, b, _, _ in surrogates.mentions(r["text"])}
+    rows = QUERIES["op8_pii_surrogates"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(texts) and real
+    for r in rows:
+        assert not any(x in (r["text"] or "") for x in real)
+        if not surrogates.mentions(texts[r["doc_id"]]):
+            assert r["text"] == texts[r["doc_id"]]
