@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR    table folder (default /root/testdata/sf0.1)
 BENCH_CPUS      local cores (default 8)
-BENCH_REPEAT    timed runs per query after one warm-up; the median counts (default 3,
+BENCH_REPEAT    timed runs per query after one warm-up; the median counts (default 2,
                 for every query)
 BENCH_QUERIES   comma-separated names, or "all"
 """
@@ -14,7 +14,7 @@ import os
 import statistics
 import time
 
-from starmill.session import local_session
+from starmill.session import drop_scratch, local_session
 from starmill.workload.queries import QUERIES
 
 HEADLINE = [
@@ -45,7 +45,7 @@ def seconds(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     wanted = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if wanted == "all" else [n for n in wanted.split(",") if n] or HEADLINE
 
@@ -54,6 +54,7 @@ def main() -> None:
     for name in names:
         seconds(spark, name, sf_dir)
         times[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(repeat)), 3)
+    drop_scratch(spark)
     print(
         json.dumps(
             {

@@ -21,6 +21,9 @@ SETTINGS = {
 }
 
 
+_made: dict[str, list[str]] = {}  # scratch folders by application
+
+
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     builder = (
@@ -48,7 +51,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="starmill-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this application has written to its scratch folders; returns their number.
+
+    Call it when no result that reads them is needed any more, at the latest at the end of a run.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
 
 
 def written(spark: SparkSession, df, label: str):

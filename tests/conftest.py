@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from starmill.session import local_session  # noqa: E402
+from starmill.session import drop_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", partitions=4)
     yield session
+    drop_scratch(session)
     session.stop()
 
 

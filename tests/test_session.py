@@ -1,0 +1,27 @@
+"""Scratch folders belong to the application and can be dropped at its end."""
+
+import os
+
+import pytest
+
+from starmill import session
+from starmill.session import drop_scratch, scratch_path, written
+
+
+def test_scratch_is_dropped_on_request(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", {})
+    stored = written(spark, spark.range(5), "numbers")
+    path = session._made[spark.sparkContext.applicationId][0]
+    assert stored.count() == 5 and os.path.isdir(path.removeprefix("file:"))
+    assert drop_scratch(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
+    assert drop_scratch(spark) == 0
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077", "yarn"])
+def test_a_cluster_must_name_its_folder(master):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: master if key == "spark.master" else default)
+
+    with pytest.raises(RuntimeError):
+        scratch_path(Session(), "x")
