@@ -25,7 +25,13 @@ class BroadcastBudget:
     bytes: int = 64 << 20
 
     def admits(self, lookup: DataFrame) -> bool:
-        """Measure rows and bytes in one distributed aggregate; one row comes back."""
+        """Measure rows and bytes in one distributed aggregate; one row comes back.
+
+        A lookup stated in code is measured without a job: its rows are part of the plan.
+        """
+        plan = lookup._jdf.queryExecution().optimizedPlan()
+        if plan.nodeName() == "LocalRelation":
+            return plan.data().size() <= self.rows and int(plan.stats().sizeInBytes()) <= self.bytes
         width = sum(
             (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in lookup.columns),
             F.lit(0),

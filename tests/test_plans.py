@@ -76,6 +76,22 @@ def test_customer_region_is_a_broadcast_of_a_constant(spark):
     assert "BroadcastHashJoin" in plan and "LocalTableScan" in plan and "hashpartitioning" not in plan
 
 
+def test_lookups_stated_in_code_are_measured_without_a_job(spark):
+    customers = spark.createDataFrame([], SILVER["customers"].schema)
+    regions = region_lookup(spark, fixed.REGION_BY_COUNTRY_STATE)
+    spark.sparkContext.setJobGroup("literals", "literals")
+    gold.with_region(customers, regions)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("literals")
+
+
+def test_orphans_are_reconciled_through_a_join(spark, tmp_path):
+    fact = spark.range(10).selectExpr("'C' || id AS customer_id", "CAST(id AS DECIMAL(24,2)) AS amount")
+    customers = spark.createDataFrame([("C1",)], "customer_id string")
+    moved = remap_orphans(fact, customers, "customer_id", fixed.UNKNOWN_KEY)
+    known = moved.groupBy((moved["customer_id"] == fixed.UNKNOWN_KEY).alias("unknown")).sum("amount")
+    assert "Join" in known._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_missing_keys_are_filtered_at_the_scan(spark, tmp_path):
     schema = SILVER["customers"].schema
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/c")

@@ -7,7 +7,7 @@ import pytest
 from starmill.operators.lookups import BroadcastBudget
 from starmill.operators.quality import QualityError
 from starmill.plans.contracts import BRONZE, FACT
-from starmill.plans.refresh import Layers, full_refresh
+from starmill.plans.refresh import Layers, full_refresh, refresh_fact
 from starmill.sources.files import scan_csv, with_audit
 from starmill.plans.contracts import RAW
 
@@ -106,6 +106,11 @@ def test_a_duplicate_brand_code_stops_the_refresh(spark, files, layers, tmp_path
     assert not spark.catalog.tableExists(f"{layers.gold}.{FACT.name}")
 
 
+def test_the_fact_needs_its_dimensions(spark, layers):
+    with pytest.raises(LookupError, match="gld_dim_products"):
+        refresh_fact(spark, layers)
+
+
 def test_columns_bind_by_position_and_lineage_is_kept(spark, tmp_path):
     (tmp_path / "one.csv").write_text("x,y\nA, padded \n,\n")
     (tmp_path / "two.csv").write_text("y,x\nB,1\n")
