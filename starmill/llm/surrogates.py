@@ -28,7 +28,7 @@ import re
 import unicodedata
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import arrow_map, free_name, stored
@@ -246,42 +246,45 @@ def replace(docs: DataFrame, key: bytes = KEY, count: str | None = None) -> Data
 
     def locate():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = {(m, a, b, kind, entity) for m, text in zip(batch.column("mark").to_pylist(), batch.column("text").to_pylist(), strict=True) for a, b, kind, entity in mentions(text)}
-            columns = list(zip(*sorted(rows), strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["mark", "start", "end", "kind", "entity"])
+            rows = {
+                (m, a, b, kind, entity, text[a:b])
+                for m, text in zip(batch.column("mark").to_pylist(), batch.column("text").to_pylist(), strict=True)
+                for a, b, kind, entity in mentions(text)
+            }
+            columns = list(zip(*sorted(rows), strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["mark", "start", "end", "kind", "entity", "mention"])
 
         return step
 
-    places = arrow_map(docs.select(row_mark.alias("mark"), "text"), locate, "mark long, start int, end int, kind string, entity string").distinct()
-    lists = places.join(names, ["kind", "entity"]).groupBy("mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "surrogate"))).alias(list_name)).withColumnRenamed("mark", mark)
-    joined = docs.withColumn(mark, row_mark).join(lists, mark, "left").drop(mark)
-    names_out, extra = list(docs.columns), [count] if count else []
-
-    def write():
+    def render():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, counts = [], []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column(list_name).to_pylist(), strict=True):
-                counts.append(len(found or ()))
-                if found:
-                    parts, at = [], 0
-                    for f in found:
-                        parts += [text[at : f["start"]], rendered(f["kind"], text[f["start"] : f["end"]], f["surrogate"])]
-                        at = f["end"]
-                    text = "".join([*parts, text[at:]])
-                texts.append(text)
-            columns = []
-            for name in names_out:
-                if name == "text":
-                    columns.append(pa.array(texts, pa.string()))
-                elif name == "n_chars":
-                    old = batch.column("n_chars")
-                    columns.append(pa.array([len(t) if c else o for t, c, o in zip(texts, counts, old.to_pylist(), strict=True)], old.type))
-                else:
-                    columns.append(batch.column(name))
-            return pa.RecordBatch.from_arrays([*columns, *([pa.array(counts, pa.int64())] if extra else [])], names=[*names_out, *extra])
+            new = [rendered(r["kind"], r["mention"], r["surrogate"]) for r in batch.to_pylist()]
+            return pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("start"), batch.column("end"), pa.array(new, pa.string())], names=["mark", "start", "end", "new"])
 
         return step
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), *(f"`{c}` long" for c in extra)])
-    return arrow_map(joined, write, schema)
+    places = arrow_map(docs.select(row_mark.alias("mark"), "text"), locate, "mark long, start int, end int, kind string, entity string, mention string").distinct()
+    shown = arrow_map(places.join(names, ["kind", "entity"]).select("mark", "start", "end", "kind", "mention", "surrogate"), render, "mark long, start int, end int, new string")
+    lists = shown.groupBy("mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", "new"))).alias(list_name)).withColumnRenamed("mark", mark)
+    joined = docs.withColumn(mark, row_mark).join(lists, mark, "left")
+    # Texts meet their replacements without leaving the JVM.
+    found, text = F.col(list_name), F.col("text")
+    nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def put(done: Column, f: Column) -> Column:
+        gap = text.substr(done["at"] + 1, f["start"] - done["at"])
+        return F.struct(f["end"].alias("at"), F.concat(done["out"], gap, f["new"]).alias("out"))
+
+    new = F.aggregate(found, nothing, put, lambda done: F.concat(done["out"], text.substr(done["at"] + 1, F.lit(2**31 - 1))))
+    columns = []
+    for f in docs.schema.fields:
+        if f.name == "text":
+            columns.append(F.when(found.isNull(), text).otherwise(new).alias("text"))
+        elif f.name == "n_chars":
+            columns.append(F.when(found.isNull(), F.col("n_chars")).otherwise(F.char_length(new)).cast(f.dataType).alias("n_chars"))
+        elif f.name != count:
+            columns.append(F.col(f"`{f.name}`"))
+    if count:
+        columns.append(F.coalesce(F.size(found), F.lit(0)).cast("long").alias(count))
+    return joined.select(*columns)
