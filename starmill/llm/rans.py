@@ -23,7 +23,6 @@ from __future__ import annotations
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -53,27 +52,32 @@ ODD = "\x1c\x1d\x1e\x1f"
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
-class WordTokens:
+class WordTokens(dict):
     """Ids of a text by the tokenizers library, which sees each distinct piece once.
 
     The vocabulary's rules drop white space and never join across it, so the ids of a text are
-    those of its words in turn.  New words pass the library's normalizer together, are cut into
-    pieces, and each new piece goes through the library's merges.  Words with a special token,
-    and texts with odd control characters, go through the library whole.  Caches are bounded.
+    those of its words in turn.  This maps words to packed ids: a new word is normalized, cut
+    into pieces, and each new piece goes through the library's merges.  Below ``LATIN`` no two
+    characters combine, so normalizing only lower-cases; other words pass the library's
+    normalizer.  Words with a special token, and texts with odd control characters, go through
+    the library whole.  The caches are bounded.
     """
 
+    LATIN = "\u0250"
+
     def __init__(self, path: str):
+        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.merges = self.library.model
         self.letters = dict(enumerate(byte_letters()))
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.marks = {s[0] for s in self.special}
         self.pieces: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
@@ -81,48 +85,34 @@ class WordTokens:
             text = piece.encode().decode("latin-1").translate(self.letters)
             found = array("I", [t.id for t in self.merges.tokenize(text)]).tobytes()
             if len(piece) <= 64:
+                if len(self.pieces) >= PIECES_KEPT:
+                    self.pieces.clear()
                 self.pieces[piece] = found
         return found
 
-    def encode(self, texts: list[str | None], chars: int = 1 << 20) -> Iterator[bytes]:
-        """Ids of each text as 32-bit integers, about ``chars`` characters at a time."""
-        group, size = [], 0
-        for t in texts:
-            group.append(t or "")
-            size += len(group[-1])
-            if size >= chars:
-                yield from self._group(group)
-                group, size = [], 0
-        yield from self._group(group)
-
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > WORDS:
-            self.known = {}
-        if len(self.pieces) > PIECES_KEPT:
-            self.pieces = {}
-        known, piece = self.known, self._piece
-        odd = {t for t in texts if any(c in t for c in ODD)}
-        split = [[t] if t in odd else t.split() for t in texts] if odd else [t.split() for t in texts]
-        new = {w for words in split for w in words if w not in known}
-        together = "\n".join(new)
-        if any(s in together for s in self.special):
-            odd |= {w for w in new if any(s in w for s in self.special)}
-        for w in odd:
-            known[w] = self._whole(w)
-        plain = list(new - odd)
-        if plain:
-            for w, text in zip(plain, self.library.normalizer.normalize_str(" ".join(plain)).split(" "), strict=True):
-                if text.isalpha():  # one piece, by the first letter rule
-                    known[w] = piece(text)
-                elif text[:-1].isalpha() and text[-1] in ".,":
-                    known[w] = piece(text[:-1]) + piece(text[-1])
-                else:
-                    known[w] = b"".join(map(piece, PIECES.findall(text)))
-        for words in split:
-            yield b"".join([known[w] for w in words])
-        for w in new:
-            if len(w) > 64:
-                del known[w]
+    def __missing__(self, word: str) -> bytes:
+        if any(m in word for m in self.marks) and any(s in word for s in self.special):
+            return self._whole(word)
+        text = word.lower() if word.isascii() or max(word) < self.LATIN else self.library.normalizer.normalize_str(word)
+        if text.isalpha():  # one piece, by the first letter rule
+            found = self._piece(text)
+        elif text[-1] in ".," and text[:-1].isalpha():
+            found = self._piece(text[:-1]) + self._piece(text[-1])
+        else:
+            found = b"".join(map(self._piece, PIECES.findall(text)))
+        if len(word) <= 64:
+            if len(self) >= WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text as 32-bit integers."""
+        if not text:
+            return b""
+        if any(c in text for c in ODD):
+            return self._whole(text)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -265,7 +255,8 @@ def _segments(docs: DataFrame, path: str, end: int) -> DataFrame:
             )
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text").to_pylist()), strict=True):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                ids = tokens.encode(text)
                 doc_ids.append(doc_id)
                 parts += [ids, stop]
                 lengths.append(len(ids) // 4 + 1)
