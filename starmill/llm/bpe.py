@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import ahocorasick
@@ -51,6 +52,22 @@ def byte_letters() -> list[str]:
     return letters
 
 
+class _AfterBlank(dict):
+    """Packed ids of words that follow a blank, found once each; bounded."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.encode(" " + word)
+        if len(word) <= 64:
+            if len(self) >= CACHED:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Vocabulary:
     """Tokens, merges and decoding table of one vocabulary file."""
 
@@ -98,7 +115,7 @@ class Vocabulary:
         self.blob = np.frombuffer(b"".join(self.spelled), np.uint8)
         self.end = regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.after_blank = _AfterBlank(self._word)
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether merging would leave ``left`` and ``right`` as neighbours."""
@@ -166,27 +183,16 @@ class Vocabulary:
 
     def _word(self, word: str) -> bytes:
         if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-            found = self._piece(word)
-        elif word[1:-1].isalpha() and word[0] == " " and word[-1] in ".,":
-            found = self._piece(word[:-1]) + self._piece(word[-1])
-        else:
-            found = b"".join(map(self._piece, PIECES.findall(word)))
-        if len(word) <= 64:
-            if len(self.words) > CACHED:
-                self.words.clear()
-            self.words[word] = found
-        return found
+            return self._piece(word)
+        if word[1:-1].isalpha() and word[0] == " " and word[-1] in ".,":
+            return self._piece(word[:-1]) + self._piece(word[-1])
+        return b"".join(map(self._piece, PIECES.findall(word)))
 
     def _plain(self, text: str) -> bytes:
         if UNSAFE.search(text):
             return b"".join(map(self._piece, PIECES.findall(text)))
         first, *rest = text.split(" ")
-        known, word = self.words, self._word
-        parts = [word(first)]
-        for w in rest:
-            w = " " + w
-            parts.append(known.get(w) or word(w))
-        return b"".join(parts)
+        return self._word(first) + b"".join(map(self.after_blank.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         """Token ids of ``text`` as 32-bit integers in machine order."""
