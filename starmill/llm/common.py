@@ -9,7 +9,6 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starmill.session import written
 
@@ -58,10 +57,6 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def keep_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
 def int_lists(values, offsets) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
 
