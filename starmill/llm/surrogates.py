@@ -10,7 +10,8 @@ gender.  Cards keep their network digit and the truth of their check digit, tele
 their country code and first digit.
 
 Distinctness is checked over the corpus: a surrogate that equals a real entity, or another's
-surrogate, is drawn again until none is left.
+surrogate, is drawn again until none is left.  Each new draw of a name has a syllable more in
+every word, so the room for names grows until all have found a place.
 
 How it scales: texts are scanned where they lie; the entity table holds each entity once, with
 partial aggregation before its shuffle; collisions are found by joins.
@@ -47,9 +48,9 @@ PATTERNS = (
 )
 _TITLED = re.compile(rf"(?<!\w)({'|'.join(_MALE + _FEMALE)})\.? ({_NAME}(?: {_NAME})?)")
 _SYLLABLES = {
-    "LATIN": ("b d f g k l m n p r s t v".split(), "a e i o u".split(), "n", "a"),
-    "CYRILLIC": ("б в г д к л м н п р с т".split(), "а е и о у".split(), "н", "а"),
-    "GREEK": ("β γ δ κ λ μ ν π ρ σ τ".split(), "α ε ι ο υ".split(), "ς", "α"),
+    "LATIN": ("b d f g k l m n p r s t v".split(), "a e i o u".split(), "n", "na"),
+    "CYRILLIC": ("б в г д к л м н п р с т".split(), "а е и о у".split(), "н", "на"),
+    "GREEK": ("β γ δ κ λ μ ν π ρ σ τ".split(), "α ε ι ο υ".split(), "ς", "να"),
 }
 
 
@@ -146,12 +147,12 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
     out = []
     for place, word in enumerate(name.split(" ")):
         n, made = _draw(key, "name", script, place, word, attempt, gender if place == 0 else ""), ""
-        for _ in range(max(1, min(6, len(word) // 2))):
+        for _ in range(max(1, min(6, len(word) // 2)) + attempt):  # each attempt has more room
             n, s = divmod(n, len(starts))
             n, v = divmod(n, len(vowels))
             made += starts[s] + vowels[v]
         if place == 0:
-            made = made + male if gender == "m" else made[:-1] + female
+            made += male if gender == "m" else female
         out.append(made)
     return " ".join(out)
 

@@ -56,6 +56,30 @@ def test_collisions_are_drawn_again(docs_of, monkeypatch):
     assert not {r["surrogate"] for r in found} & {r["entity"] for r in found}
 
 
+def test_many_short_names_find_a_place():
+    """2,000 short names of one gender, and as many surnames after one first name."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    short = [f"{a}{b}{c}" for a in letters for b in letters for c in "aeo"][:2000]
+    for names in ([f"f|{x}" for x in short], [f"m|{x}" for x in short], [f"m|john {x}" for x in short]):
+        real, taken, left = {x.split("|")[1] for x in names}, set(), names
+        for attempt in range(8):
+            again = []
+            for x in left:
+                new = surrogates.surrogate("name", x, attempt, b"k")
+                if new in real | taken:
+                    again.append(x)
+                taken.add(new)
+            left = again
+        assert left == []
+
+
+def test_many_short_names_end(docs_of):
+    docs = [(i, f"Ms {a}{b} came") for i, (a, b) in enumerate((a, b) for a in "ABCDEFGH" for b in "aeiou")]
+    found = surrogates.assigned(docs_of(docs), b"k").collect()
+    assert len({r["surrogate"] for r in found}) == len(docs)
+    assert not {r["surrogate"] for r in found} & {r["entity"].split("|")[1] for r in found}
+
+
 def test_edges(docs_of, edges):
     docs = [*edges, (30, "x 10.1.2.3 y"), (30, "x 10.1.2.3 y"), (31, "1.2.3.4.5 and 999.1.1.1 and 12345678901234567890")]
     out = surrogates.replace(docs_of(docs), count="n")
