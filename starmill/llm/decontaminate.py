@@ -31,9 +31,16 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import arrow_map, bloom, free_name, passing, stored
 
-# Places that count, by span; long seeds for items of at least 13 words, short ones below.
+# Places that count.  Long seeds serve items of at least 13 words, short ones those below 10.
 LONG = ("1110110010111", "1101011101101", "1011101110011")
 SHORT = ("111011", "110111")
+# Five places each, for items of 10 words or more: chosen so that every overlap of up to 24 words
+# that counts holds one of them, wherever its replaced words are.
+DENSE = (
+    "110100010001", "1100101001", "110001001001", "1100010101", "11010010001", "1101000011", "10010100011",
+    "101000100101", "110100100001", "110010011", "1110010001", "1111001", "1101000101",
+)
+SEEDS = LONG + DENSE + SHORT
 MATCHED, WHOLE = 12, 0.8
 DROP = 4  # an overlap ends where mismatches outweigh matches by so much
 _WORDS = re.compile(r"\w+")
@@ -60,8 +67,10 @@ def seeded(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def _masks(n: int) -> list[tuple[int, str]]:
-    return list(enumerate(LONG)) if n >= len(LONG[0]) else [(10 + i, m) for i, m in enumerate(SHORT)]
+def masks_of(n: int) -> list[tuple[int, str]]:
+    """Number and places of every seed that looks up an item of ``n`` words."""
+    of_size = SHORT if n < 10 else DENSE if n < len(LONG[0]) else LONG + DENSE
+    return [(i, m) for i, m in enumerate(SEEDS) if m in of_size]
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -87,7 +96,7 @@ def _seeds(items: DataFrame) -> DataFrame:
             column = batch.column("item").to_pylist()
             for i, data in enumerate(column):
                 words = np.frombuffer(data, np.uint64)
-                for number, mask in _masks(len(words)):
+                for number, mask in masks_of(len(words)):
                     h = seeded(words, mask, number)
                     hashes.append(h)
                     owner.append(np.full(len(h), i))
@@ -108,7 +117,7 @@ def _seeds(items: DataFrame) -> DataFrame:
 def _hits(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
     """Documents with windows that pass the filter: ``mark``, ``doc_id``, words, hits."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
-    masks = [*enumerate(LONG), *((10 + i, m) for i, m in enumerate(SHORT))]
+    masks = list(enumerate(SEEDS))
 
     def make():
         bits = shared.value

@@ -44,6 +44,42 @@ def test_every_window_with_a_replaced_word_is_hit_by_a_seed():
         assert any(mask[k] == "0" for mask in decontaminate.LONG) or k in (0, 12)
 
 
+def _seed_hits(doc, item, shift):
+    """Whether a seed looks the item up at this place of the text."""
+    for number, mask in decontaminate.masks_of(len(item)):
+        of_item, of_doc = decontaminate.seeded(item, mask, number), decontaminate.seeded(doc, mask, number)
+        if (of_item == of_doc[shift : shift + len(of_item)]).any():
+            return True
+    return False
+
+
+def test_seeds_find_every_overlap_that_counts():
+    """Against brute force: 10-24 words with up to five replaced, at the edges too; exact runs of longer items."""
+    draw, counted = random.Random(3), 0
+    around = np.arange(500, 540, dtype=np.uint64)
+    for n in range(10, 25):
+        item = np.arange(100, 100 + n, dtype=np.uint64)
+        patterns = [(k,) for k in range(n)] + [(0, k) for k in range(1, n)] + [(k, n - 1) for k in range(n - 1)]
+        patterns += [tuple(draw.sample(range(n), draw.randint(2, 5))) for _ in range(150)]
+        patterns += [(*range(a), *range(a + 12, n)) for a in range(n - 11)]
+        for replaced in patterns:
+            copy = item.copy()
+            copy[list(replaced)] = 7
+            doc = np.r_[around[:20], copy, around[20:]]
+            equal = decontaminate.overlap(doc, item, 20)[0]
+            if equal >= decontaminate.MATCHED or n <= decontaminate.MATCHED and equal >= decontaminate.WHOLE * n:
+                counted += 1
+                assert _seed_hits(doc, item, 20), (n, replaced)
+    assert counted > 1000
+
+
+def test_a_run_of_twelve_and_replaced_edges_count(spark, docs_of):
+    item, other = _words(30), _words(14)
+    items = [(1, " ".join(item)), (2, " ".join(other))]
+    docs = [(1, " ".join([*_words(40), *item[9:21], *_words(40)])), (2, " ".join([*_words(9), "edge", *other[1:13], "edge", *_words(9)]))]
+    assert _found(spark, docs_of, docs, items) == {(1, 1), (2, 2)}
+
+
 def test_short_items(spark, docs_of):
     items = [(1, "seven words make up this short item"), (2, "too few words"), (3, None), (4, ""), (5, "seven words make up this short item")]
     docs = [(1, "x seven words make up this short item y"), (2, "seven words make up that short item"), (3, "too few words"), (4, None)]
