@@ -5,9 +5,9 @@ skipped place does not hide the window.  Seed hashes of all windows of the bench
 training texts are joined; around each hit the texts are compared word by word on that
 alignment, with replaced words tolerated, and the best overlap decides.
 
-An overlap counts when it has ``MATCHED`` equal words, or ``WHOLE`` of all words of a shorter
-item.  Items of fewer words than the shorter seed spans are too short to tell from ordinary
-text and match nothing.
+An overlap counts when it has ``MATCHED`` equal words or ``WHOLE`` of the item's words, whichever
+is less.  Items of fewer than ``LEAST`` words match nothing.  A single equal word at either end, cut off by a
+replaced one, is not part of an overlap.
 
 How it scales: a Bloom filter of fixed size over the benchmark's hashes is all that is
 broadcast, whatever the benchmark's size.  Only documents with a window that passes it are kept
@@ -31,17 +31,20 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import arrow_map, bloom, free_name, passing, stored
 
-# Places that count.  Long seeds serve items of at least 13 words, short ones those below 10.
+# Places that count.  Long seeds serve items of at least 13 words, short ones those of 6 to 9 and
+# tiny ones those below; short and tiny ones allow for one replaced word anywhere.
 LONG = ("1110110010111", "1101011101101", "1011101110011")
-SHORT = ("111011", "110111")
+SHORT = ("111011", "110111", "101111", "111101", "11111")
+TINY = ("1111", "10111", "11011", "11101")
 # Five places each, for items of 10 words or more: chosen so that every overlap of up to 24 words
 # that counts holds one of them, wherever its replaced words are.
 DENSE = (
     "110100010001", "1100101001", "110001001001", "1100010101", "11010010001", "1101000011", "10010100011",
     "101000100101", "110100100001", "110010011", "1110010001", "1111001", "1101000101",
 )
-SEEDS = LONG + DENSE + SHORT
+SEEDS = LONG + DENSE + SHORT + TINY
 MATCHED, WHOLE = 12, 0.8
+LEAST = 4
 DROP = 4  # an overlap ends where mismatches outweigh matches by so much
 _WORDS = re.compile(r"\w+")
 _FACTORS = np.random.default_rng(2).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -69,10 +72,17 @@ def seeded(words: np.ndarray, mask: str, number: int) -> np.ndarray:
 
 def masks_of(n: int) -> list[tuple[int, str]]:
     """Number and places of every seed that looks up an item of ``n`` words."""
-    of_size = SHORT if n < 10 else DENSE if n < len(LONG[0]) else LONG + DENSE
+    if n < LEAST:
+        return []
+    of_size = TINY if n < 6 else SHORT if n < 10 else DENSE if n < len(LONG[0]) else LONG + DENSE
     return [(i, m) for i, m in enumerate(SEEDS) if m in of_size]
 
 
+def counts(equal: int, n: int) -> bool:
+    """Whether so many equal words of an item of ``n`` words make a leak."""
+    return n >= LEAST and equal >= min(MATCHED, WHOLE * n)
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """Distinct items: ``item_id`` and their words."""
 
@@ -114,10 +124,9 @@ def _seeds(items: DataFrame) -> DataFrame:
     return arrow_map(items, make, "hash long, item binary, item_id long, at int")
 
 
-def _hits(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
+def _hits(docs: DataFrame, filter_bytes: np.ndarray, masks: list[tuple[int, str]]) -> DataFrame:
     """Documents with windows that pass the filter: ``mark``, ``doc_id``, words, hits."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
-    masks = list(enumerate(SEEDS))
 
     def make():
         bits = shared.value
@@ -194,7 +203,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per contaminated row and item: ``mark``, ``doc_id``, ``item_id``, the best overlap and its share of the item."""
     items = stored(_items(benchmark), "leak-items")
     seeds = stored(_seeds(items), "leak-seeds")
-    hits = stored(_hits(docs, bloom(seeds)), "leak-hits").dropDuplicates(["mark"])
+    longest = len(LONG[0])  # longer items have the same seeds
+    sizes = items.select(F.least(F.length("item") / 8, F.lit(longest)).cast("int").alias("n")).distinct().collect()
+    masks = sorted({m for r in sizes for m in masks_of(r["n"])})
+    hits = stored(_hits(docs, bloom(seeds), masks), "leak-hits").dropDuplicates(["mark"])
     pairs = (
         hits.select("mark", F.explode(F.arrays_zip("hashes", "places")).alias("h"))
         .select("mark", F.col("h.hashes").alias("hash"), F.col("h.places").alias("place"))
@@ -210,7 +222,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for r in batch.to_pylist():
                 doc, item = np.frombuffer(r["doc"], np.uint64), np.frombuffer(r["item"], np.uint64)
                 equal, first, size = max(overlap(doc, item, s) for s in sorted(r["shifts"]))
-                if equal >= MATCHED or len(item) <= MATCHED and equal >= WHOLE * len(item) and equal >= len(SHORT[0]):
+                if counts(equal, len(item)):
                     rows.append((r["mark"], r["doc_id"], r["item_id"], equal, first, size, equal / len(item)))
             columns = list(zip(*rows, strict=True)) or [()] * 7
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]

@@ -86,6 +86,30 @@ def test_short_items(spark, docs_of):
     assert _found(spark, docs_of, docs, items) == {(1, 1), (2, 1)}
 
 
+def test_one_share_decides_for_every_length(spark, docs_of):
+    """Four fifths of an item count up to the length where twelve words do."""
+    items, docs, expected = [], [], set()
+    for n, replaced in ((4, []), (4, [2]), (5, []), (5, [2]), (6, [0]), (6, [5]), (7, [5]), (8, [4]), (13, [0, 6]), (14, [3, 8]), (13, [0, 6, 12]), (20, [3, 9, 15])):
+        words = [f"{w}{len(items)}" for w in _words(n)]
+        items.append((len(items), " ".join(words)))
+        copy = [f"new{k}" if k in replaced else w for k, w in enumerate(words)]
+        docs.append((len(docs), " ".join([*_words(9), *copy, *_words(9)])))
+        if n - len(replaced) >= min(12, 0.8 * n):
+            expected.add((len(docs) - 1, len(docs) - 1))
+    assert len(expected) == 10
+    assert _found(spark, docs_of, docs, items) == expected
+
+
+def test_seeds_find_every_short_item():
+    for n in range(decontaminate.LEAST, 10):
+        item = np.arange(100, 100 + n, dtype=np.uint64)
+        for replaced in [[], *([k] for k in range(n))]:
+            copy = item.copy()
+            copy[replaced] = 7
+            if decontaminate.counts(decontaminate.overlap(copy, item, 0)[0], n):
+                assert _seed_hits(np.r_[np.full(3, 9, np.uint64), copy], item, 3), (n, replaced)
+
+
 def test_overlap_is_the_best_run():
     item = np.arange(20, dtype=np.uint64)
     doc = np.r_[np.full(5, 99, np.uint64), item[:10], np.uint64(77), item[11:], np.full(5, 99, np.uint64)].astype(np.uint64)
