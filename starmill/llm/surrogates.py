@@ -1,12 +1,14 @@
 """Personal data replaced by keyed surrogates of the same type and form.
 
-Entities are found by pattern: e-mail addresses, telephone numbers, payment cards, IPv4
-addresses, US social security numbers, and names after a title.  Every entity (whatever its
+Entities are found by pattern: e-mail addresses, telephone numbers, payment cards (16 digits in
+fours, or 13 to 19 digits with a true check digit), IPv4 and IPv6 addresses, US social security
+numbers, and names after a title.  Every entity (whatever its
 spelling: letter case, spaces and punctuation do not matter) has one surrogate in the whole
 corpus, so mentions stay coreferent; each mention keeps its own punctuation and letter case.
 Numbers and addresses go through a keyed permutation of their letters and digits (a Feistel
 network), names through keyed syllables of the same script with an ending that fits the title's
-gender.  Cards keep their network digit and the truth of their check digit, telephone numbers
+gender; after Dr or Prof alone a name goes with the same name after another title, the female one
+first, or has the male ending.  Cards keep their network digit and the truth of their check digit, telephone numbers
 their country code and first digit.
 
 Distinctness is checked over the corpus: a surrogate that equals a real entity, or another's
@@ -23,8 +25,10 @@ then the earlier kind counts; other columns pass through, ``n_chars`` follows th
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 
@@ -38,15 +42,23 @@ KEY = b"change this key in production"
 ROUNDS = 8
 _MALE = "Mr Sir Herr Monsieur Señor Don Господин Κύριος".split()
 _FEMALE = "Mrs Ms Miss Madam Frau Madame Mademoiselle Señora Señorita Doña Госпожа Κυρία".split()
+_LEARNED = "Dr Prof Doctor Professor".split()
 _NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 PATTERNS = (
     ("email", re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")),
     ("card", re.compile(r"(?<![\w.-])[3-6]\d{3}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w.])\+\d{1,3}[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){2,3}(?!\w)")),
+    ("card", re.compile(r"(?<![\w.-])(?:[1-9]\d{12,18}|[1-9]\d{3}([ -])(?:\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{6}\1\d{4,5}|\d{3}\1\d{3}\1\d{3})|[1-9]\d{5}[ -]\d{13}|[1-9]\d{7}[ -]\d{8,11})(?![\w-])")),
+    ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w.])\+\d{1,3}[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){2,3}(?!\w)")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("ip", re.compile(r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d)")),
+    ("ip6", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:(?:\d{1,3}\.){3}\d{1,3}|[0-9A-Fa-f]{0,4})(?!\w|:[0-9A-Fa-f:]|\.\d)")),
 )
-_TITLED = re.compile(rf"(?<!\w)({'|'.join(_MALE + _FEMALE)})\.? ({_NAME}(?: {_NAME})?)")
+_TWO_COLONS = re.compile(r":[0-9A-Fa-f]{0,4}:")
+_ANY_16 = PATTERNS[1][1]  # cards that count whatever their check digit
+_TITLES, _LEARNED_TITLES = "|".join(_MALE + _FEMALE), rf"(?:(?:{'|'.join(_LEARNED)})\.? )"
+# "Don" and "Sir" after a learned title may be names themselves.
+_AFTER = "|".join(t for t in _MALE + _FEMALE if t not in ("Don", "Sir"))
+_TITLED = re.compile(rf"(?<!\w)(?:({_TITLES})\.? {_LEARNED_TITLES}{{0,4}}|{_LEARNED_TITLES}{{1,4}}(?:({_AFTER})\.? )?{_LEARNED_TITLES}{{0,4}})({_NAME}(?: {_NAME})?)")
 _SYLLABLES = {
     "LATIN": ("b d f g k l m n p r s t v".split(), "a e i o u".split(), "n", "na"),
     "CYRILLIC": ("б в г д к л м н п р с т".split(), "а е и о у".split(), "н", "на"),
@@ -108,6 +120,33 @@ def _check_digit(digits: str) -> int:
     return -total % 10
 
 
+def _is_real(kind: str, mention: str) -> bool:
+    """Whether what looks like a card or an IPv6 address can be one."""
+    if kind == "card" and not _ANY_16.fullmatch(mention):
+        digits = "".join(c for c in mention if c.isdigit())
+        return 13 <= len(digits) <= 19 and int(digits[-1]) == _check_digit(digits[:-1])
+    if kind == "ip6":
+        if not any(c.isdigit() for c in mention) and mention.count(":") < 3:
+            return False  # a::b is more often code
+        try:
+            ipaddress.IPv6Address(mention)
+        except ValueError:
+            return False
+    return True
+
+
+def _script(letter: str) -> str:
+    return unicodedata.name(letter, "LATIN").split(" ")[0]
+
+
+@functools.cache
+def _letters(first: str) -> list[str]:
+    """Letters without capitals of the same script, from the 256 places around a letter."""
+    start = ord(first) & ~0xFF
+    near = [chr(c) for c in range(start, start + 256)]
+    return [c for c in near if unicodedata.category(c) in ("Ll", "Lo") and _script(c) == _script(first)]
+
+
 def canonical(kind: str, mention: str) -> str:
     """What all mentions of one entity share."""
     if kind == "email":
@@ -120,6 +159,8 @@ def canonical(kind: str, mention: str) -> str:
         return digits
     if kind == "ip":
         return ".".join(str(int(x)) for x in mention.split("."))
+    if kind == "ip6":
+        return f"{int(ipaddress.IPv6Address(mention)):032x}"
     return " ".join(mention.casefold().split())
 
 
@@ -141,8 +182,20 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "ip":
         octets = permuted([int(x) for x in entity.split(".")], 256, key, "ip", attempt)
         return ".".join(map(str, octets))
+    if kind == "ip6":
+        return "".join(f"{x:x}" for x in permuted([int(c, 16) for c in entity], 16, key, "ip6", attempt))
     gender, name = entity.split("|")
-    script = next((unicodedata.name(c).split(" ")[0] for c in name if c.isalpha()), "LATIN")
+    letter = next((c for c in name if c.isalpha()), "a")
+    script = _script(letter)
+    if script not in _SYLLABLES and len(_letters(letter)) > 1:
+        out, letters = [], _letters(letter)
+        for place, word in enumerate(name.split(" ")):
+            n, made = _draw(key, "name", script, place, word, attempt, gender if place == 0 else ""), ""
+            for _ in range(min(12, len(word)) + attempt):
+                n, c = divmod(n, len(letters))
+                made += letters[c]
+            out.append(made)
+        return " ".join(out)
     starts, vowels, male, female = _SYLLABLES.get(script, _SYLLABLES["LATIN"])
     out = []
     for place, word in enumerate(name.split(" ")):
@@ -152,7 +205,7 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
             n, v = divmod(n, len(vowels))
             made += starts[s] + vowels[v]
         if place == 0:
-            made += male if gender == "m" else female
+            made += female if gender == "f" else male
         out.append(made)
     return " ".join(out)
 
@@ -163,6 +216,10 @@ def rendered(kind: str, mention: str, found: str) -> str:
         return "".join(c.upper() if m.isupper() else c for c, m in zip(found, mention, strict=True))
     if kind == "ip":
         return found
+    if kind == "ip6":
+        groups = [found[i : i + 4] for i in range(0, 32, 4)]
+        shown = ":".join(groups if len(mention) == 39 else (f"{int(g, 16):x}" for g in groups))
+        return shown.upper() if any(c.isupper() for c in mention) else shown
     if kind == "name":
         words = found.split(" ")
         return " ".join(w.upper() if m.isupper() and len(m) > 1 else w[0].upper() + w[1:] if m[0].isupper() else w for w, m in zip(words, mention.split(" "), strict=True))
@@ -170,21 +227,27 @@ def rendered(kind: str, mention: str, found: str) -> str:
     return "".join(next(digits) if c.isdigit() else c for c in mention)
 
 
+def _may_start(letter: str) -> bool:
+    """Capitals, and letters of scripts without them."""
+    return letter.isupper() or letter == letter.title()
+
+
 def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and entity of every mention, in order, without overlaps."""
     if not text:
         return []
     found = []
     for order, (kind, pattern) in enumerate(PATTERNS):
-        if kind == "email" and "@" not in text:
+        if kind == "email" and "@" not in text or kind == "ip6" and not _TWO_COLONS.search(text):
             continue
-        found += [(m.start(), m.end(), order, kind, canonical(kind, m.group())) for m in pattern.finditer(text)]
+        found += [(m.start(), m.end(), order, kind, canonical(kind, m.group())) for m in pattern.finditer(text) if _is_real(kind, m.group())]
     for m in _TITLED.finditer(text):
-        words = m.group(2).split(" ")
-        if words[0][0].isupper():
-            take = m.group(2) if len(words) > 1 and words[1][0].isupper() else words[0]
-            gender = "m" if m.group(1) in _MALE else "f"
-            found.append((m.start(2), m.start(2) + len(take), 9, "name", f"{gender}|{canonical('name', take)}"))
+        words = m.group(3).split(" ")
+        if _may_start(words[0][0]) and words[0] not in _LEARNED:
+            take = m.group(3) if len(words) > 1 and _may_start(words[1][0]) else words[0]
+            title = m.group(1) or m.group(2)
+            gender = "n" if title is None else "m" if title in _MALE else "f"
+            found.append((m.start(3), m.start(3) + len(take), 9, "name", f"{gender}|{canonical('name', take)}"))
     found.sort(key=lambda x: (x[0] - x[1], x[2], x[0]))
     out: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
@@ -224,7 +287,11 @@ def assigned(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
     entities = stored(_entities(docs), "pii-entities")
     real = entities.select("kind", F.col("shown").alias("surrogate")).distinct()
-    open_rows, done, attempt = entities.select("kind", "entity"), None, 0
+    # A name after Dr or Prof alone is the same person as after another title.
+    gendered = entities.where("kind = 'name' AND entity NOT LIKE 'n|%'").groupBy("kind", "shown").agg(F.min("entity").alias("same_as"))
+    neutral = entities.where("kind = 'name' AND entity LIKE 'n|%'")
+    twins = neutral.join(gendered, ["kind", "shown"]).select("kind", "entity", "same_as")
+    open_rows, done, attempt = entities.join(twins, ["kind", "entity"], "left_anti").select("kind", "entity"), None, 0
     while True:
         drawn = arrow_map(open_rows.withColumn("attempt", F.lit(attempt)), make, "kind string, entity string, attempt int, surrogate string")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("winner")).join(real, ["kind", "surrogate"], "left_anti")
@@ -235,7 +302,8 @@ def assigned(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         done = won if done is None else done.unionByName(won)
         open_rows = judged.where("won IS NULL OR NOT won").select("kind", "entity")
         if open_rows.isEmpty():
-            return done
+            same = done.withColumnRenamed("entity", "same_as")
+            return done.unionByName(twins.join(same, ["kind", "same_as"]).select("kind", "entity", "surrogate"))
         attempt += 1
 
 

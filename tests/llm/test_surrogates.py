@@ -80,6 +80,33 @@ def test_many_short_names_end(docs_of):
     assert not {r["surrogate"] for r in found} & {r["entity"].split("|")[1] for r in found}
 
 
+def test_more_forms_are_found_and_kept():
+    cards = ["378282246310005", "3782 822463 10005", "2223003122003222", "2223 0031 2200 3222", "4222222222222", "30569309025904", "3056 930902 5904", "6304000000000000000"]
+    valid = [c for c in cards if int(c[-1]) == surrogates._check_digit("".join(c.split())[:-1])]
+    assert len(valid) >= 7
+    for kind, texts in (("card", valid), ("phone", ["212 555 1234"]), ("ip6", ["2001:db8::1", "2001:0DB8:0000:0000:0000:0000:0000:0001", "::ffff:192.0.2.1", "fe80::"])):
+        for text in texts:
+            assert [m[2] for m in surrogates.mentions(f"x {text}, y")] == [kind], text
+            new = surrogates.rendered(kind, text, surrogates.surrogate(kind, surrogates.canonical(kind, text), 0, b"k"))
+            assert new != text and [m[2] for m in surrogates.mentions(new)] == [kind]
+    for text in ("378282246310006", "12:30:45", "00:1a:2b:3c:4d:5e", "std::vector", "a::b", "a :: b"):
+        assert surrogates.mentions(text) == [], text
+
+
+def test_learned_titles_and_other_scripts():
+    found = {t: [m[3] for m in surrogates.mentions(t)] for t in ("Dr. Anna Schmidt", "Frau Prof. Dr. Anna Schmidt", "Dr Mrs Lee", "Prof Don Johnson", "Sir Don Johnson", "Herr Dr Müller", "Mr 王伟", "Mr Արամ", "Mr in")}
+    assert list(found.values()) == [["n|anna schmidt"], ["f|anna schmidt"], ["f|lee"], ["n|don johnson"], ["m|don johnson"], ["m|müller"], ["m|王伟"], ["m|արամ"], []]
+    assert all(c >= "\u4e00" for c in surrogates.surrogate("name", "m|王伟", 0))
+    assert all("\u0561" <= c <= "\u0588" for c in surrogates.surrogate("name", "m|արամ", 0))
+
+
+def test_a_learned_title_keeps_the_person(docs_of):
+    docs = [(1, "Dr Anna Schmidt"), (2, "Frau Anna Schmidt"), (3, "Prof. Otto Kern")]
+    texts = {r["doc_id"]: r["text"] for r in surrogates.replace(docs_of(docs)).collect()}
+    assert texts[1].removeprefix("Dr ") == texts[2].removeprefix("Frau ") != "Anna Schmidt"
+    assert texts[3].startswith("Prof. ") and "Kern" not in texts[3]
+
+
 def test_edges(docs_of, edges):
     docs = [*edges, (30, "x 10.1.2.3 y"), (30, "x 10.1.2.3 y"), (31, "1.2.3.4.5 and 999.1.1.1 and 12345678901234567890")]
     out = surrogates.replace(docs_of(docs), count="n")
