@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import bpe, decontaminate, divergence, extract, minmax, mtree, quality, rans, secrets, surrogates, urls
+from starmill.llm import alignment, bpe, decontaminate, divergence, extract, minmax, mtree, packing, quality, rans, secrets, surrogates, urls
 from starmill.llm.common import table
 
 
@@ -55,6 +55,14 @@ def op10_m_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
+def op12_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -70,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_backtracking_bpe": op9_backtracking_bpe,
     "op10_m_tree_top_k": op10_m_tree_top_k,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_complement_packing": op12_complement_packing,
     "op13_source_divergence": op13_source_divergence,
 }
 ORACLES: dict[str, str] = {"op13_source_divergence": divergence.AUDIT_SQL}
