@@ -82,22 +82,28 @@ def left_lookup(
     lookup: DataFrame,
     on: Mapping[str, Column],
     budget: BroadcastBudget = DEFAULT_BUDGET,
+    also: Column | None = None,
 ) -> DataFrame:
     """LEFT JOIN ``fact`` to ``lookup`` and append the lookup's other columns.
 
     ``on`` maps each key column of the lookup to the fact expression it must equal.
-    The lookup's key columns are not kept.  A NULL key matches nothing.
+    The lookup's key columns are not kept.  A NULL key matches nothing.  ``also`` is a further
+    condition over columns of both sides.
     """
     join = broadcast_lookup if budget.admits(lookup) else spread_lookup
-    return join(fact, lookup, on)
+    return join(fact, lookup, on, also)
 
 
-def broadcast_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+def broadcast_lookup(
+    fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column], also: Column | None = None
+) -> DataFrame:
     """``left_lookup`` for a lookup already measured as small: the fact stays in place."""
-    return _joined(fact, F.broadcast(_keyed(lookup, on)), on)
+    return _joined(fact, F.broadcast(_keyed(lookup, on)), on, also)
 
 
-def spread_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+def spread_lookup(
+    fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column], also: Column | None = None
+) -> DataFrame:
     """``left_lookup`` by shuffle, in which no key is bound to a single partition.
 
     A frequent key gets a number of places in proportion to its share of the rows: its
@@ -138,7 +144,7 @@ def spread_lookup(fact: DataFrame, lookup: DataFrame, on: Mapping[str, Column])
         .withColumn(f"__on_{_SALT}", F.explode(F.sequence(F.lit(0), last_place)))
         .drop(_HASH, _FAN)
     )
-    return _joined(salted_fact, salted_lookup, {**on, _SALT: F.col(_SALT)}).drop(_SALT)
+    return _joined(salted_fact, salted_lookup, {**on, _SALT: F.col(_SALT)}, also).drop(_SALT)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -160,8 +166,8 @@ def _keyed(lookup: DataFrame, on: Mapping[str, Column]) -> DataFrame:
     )
 
 
-def _joined(fact: DataFrame, keyed: DataFrame, on: Mapping[str, Column]) -> DataFrame:
-    condition = F.lit(True)
+def _joined(fact: DataFrame, keyed: DataFrame, on: Mapping[str, Column], also: Column | None = None) -> DataFrame:
+    condition = F.lit(True) if also is None else also
     for name, part in on.items():
         condition = condition & (part == F.col(f"__on_{name}"))
     return fact.join(keyed, condition, "left").drop(*[f"__on_{name}" for name in on])

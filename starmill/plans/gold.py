@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmill import fixed_values as fixed
 from starmill.functions import dates, numbers, text
+from starmill.operators.asof import as_of_lookup
 from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget, left_lookup
 from starmill.operators.members import remap_orphans, with_unknown_member
 from starmill.plans.contracts import DIM_CALENDAR, DIM_CUSTOMERS, DIM_PRODUCTS, FACT, FACT_NAMES
 
+VALID_FROM = "valid_from"
+
 
 def dim_products(
     products: DataFrame,
@@ -75,9 +78,16 @@ def with_coupon_flag(items: DataFrame) -> DataFrame:
 def with_reporting_amount(
     items: DataFrame, rates: DataFrame, budget: BroadcastBudget = DEFAULT_BUDGET
 ) -> DataFrame:
-    """Total in rupees; an unknown or missing currency gives NULL."""
-    currency = F.upper(F.trim("unit_price_currency"))
-    rated = left_lookup(items, rates, {"currency": currency}, budget)
+    """Total in rupees; an unknown or missing currency gives NULL.
+
+    Rates with a column ``valid_from`` are a history: each line gets the rate in effect on its
+    day, and NULL before the first one.
+    """
+    on = {"currency": F.upper(F.trim("unit_price_currency"))}
+    if VALID_FROM in rates.columns:
+        rated = as_of_lookup(items, rates, on, F.col("dt"), VALID_FROM, budget=budget)
+    else:
+        rated = left_lookup(items, rates, on, budget)
     return rated.withColumn("total_amount_inr", numbers.in_cents(F.col("total_amount") * F.col("inr_rate")))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from starmill import fixed_values as fixed
 from starmill.functions import dates, numbers, text
 from starmill.operators.dedup import latest_per_key
-from starmill.sources.files import INGESTED_AT, SOURCE_FILE
+from starmill.sources.files import ARRIVED_AT, INGESTED_AT, SOURCE_FILE
 
 PROCESSED_AT = "_processed_at"
 
@@ -129,11 +129,18 @@ def calendar(bronze: DataFrame) -> DataFrame:
 # Order items ----------------------------------------------------------------
 
 
+LINE = ("order_id", "item_seq")
+
+
 def latest_items(df: DataFrame) -> DataFrame:
     """One row per order line: the one from the last batch file, whose name holds its date."""
-    return latest_per_key(
-        df, ["order_id", "item_seq"], [F.col(SOURCE_FILE).desc_nulls_last()], undecided_by=[INGESTED_AT]
-    )
+    return latest_per_key(df, LINE, [F.col(SOURCE_FILE).desc_nulls_last()], undecided_by=[INGESTED_AT])
+
+
+def latest_arrivals(df: DataFrame) -> DataFrame:
+    """One row per order line: the one from the file that arrived last, of equal times the last by name."""
+    order = [F.col(c).desc_nulls_last() for c in (ARRIVED_AT, SOURCE_FILE)]
+    return latest_per_key(df, LINE, order, undecided_by=[INGESTED_AT])
 
 
 def item_parsers() -> dict:

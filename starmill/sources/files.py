@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-SOURCE_FILE, INGESTED_AT = "_source_file", "_ingested_at"
+SOURCE_FILE, INGESTED_AT, ARRIVED_AT = "_source_file", "_ingested_at", "_arrived_at"
+
+
+def _layout(delimiter: str) -> dict:
+    return {"header": True, "sep": delimiter}
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",") -> DataFrame:
@@ -15,9 +19,27 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, delimiter: st
     are kept.  Uncompressed files split at ``spark.sql.files.maxPartitionBytes`` and
     small ones are packed together.
     """
-    return spark.read.schema(schema).options(header=True, sep=delimiter).csv(path)
+    return spark.read.schema(schema).options(**_layout(delimiter)).csv(path)
+
+
+def stream_csv(
+    spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",", files_at_once: int | None = None
+) -> DataFrame:
+    """The same scan as a stream: each run reads the files that its checkpoint has not seen.
+
+    ``files_at_once`` bounds a micro-batch.  Files must be complete when they appear under the
+    path, and a file that changes under its old name is not read again.
+    """
+    bound = {} if files_at_once is None else {"maxFilesPerTrigger": files_at_once}
+    return spark.readStream.schema(schema).options(**_layout(delimiter), **bound).csv(path)
 
 
 def with_audit(df: DataFrame) -> DataFrame:
     """Add the file each row came from and the time of this run."""
     return df.withColumns({SOURCE_FILE: F.col("_metadata.file_path"), INGESTED_AT: F.current_timestamp()})
+
+
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Audit columns, and when each row's file was last written: an order of batches that needs
+    no naming convention."""
+    return with_audit(df).withColumn(ARRIVED_AT, F.col("_metadata.file_modification_time"))

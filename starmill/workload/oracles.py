@@ -152,7 +152,7 @@ _RELATIONS = {
                     WHEN l_suppkey % 4 = 0 THEN 'Tax ' || tax_text ELSE tax_text END AS tax_amount,
                ['web', 'app', 'Store'][CAST(l_orderkey % 4 AS INTEGER) + 1] AS channel,
                [' SAVE10 ', '   ', 'welcome'][CAST(l_orderkey % 5 AS INTEGER) + 1] AS coupon_code,
-               'landing/order_items_' || strftime(l_shipdate, '%Y-%m-%d') || '.csv' AS _source_file
+               'landing/order_items_' || strftime(l_shipdate, '%Y-%m') || '.csv' AS _source_file
         FROM dated_items""",
     "latest_items": """
         SELECT * FROM raw_items
@@ -162,6 +162,15 @@ _RELATIONS = {
                      product_id NULLS LAST, quantity NULLS LAST, unit_price_currency NULLS LAST,
                      unit_price NULLS LAST, discount_pct NULLS LAST, tax_amount NULLS LAST, channel NULLS LAST,
                      coupon_code NULLS LAST) = 1""",
+    "latest_arrivals": """
+        SELECT *, CAST(1 + CAST(regexp_extract(_source_file, '-(..).csv', 1) AS INTEGER) % 3 AS INTEGER) AS drop_number
+        FROM raw_items
+        QUALIFY row_number() OVER (
+            PARTITION BY order_id, item_seq
+            ORDER BY drop_number DESC, _source_file DESC NULLS LAST, dt NULLS LAST, order_ts NULLS LAST,
+                     customer_id NULLS LAST, product_id NULLS LAST, quantity NULLS LAST,
+                     unit_price_currency NULLS LAST, unit_price NULLS LAST, discount_pct NULLS LAST,
+                     tax_amount NULLS LAST, channel NULLS LAST, coupon_code NULLS LAST) = 1""",
     "items": f"""
         SELECT * REPLACE ({_QUANTITY} AS quantity, {_PRICE} AS unit_price,
                           {_PERCENT} AS discount_pct, {_TAX} AS tax_amount,
@@ -185,6 +194,18 @@ _RELATIONS = {
         SELECT m.*, CAST(round(total_amount * CAST(rate AS DECIMAL(12,6)), 2) AS DECIMAL(24,2)) AS total_amount_inr
         FROM measured_items m LEFT JOIN {_RATES} AS r(currency, rate)
              ON upper(trim(unit_price_currency)) = currency""",
+    "rate_days": """
+        SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE day(o_orderdate) IN (1, 11, 21)""",
+    "rate_history": f"""
+        SELECT currency, day AS valid_from,
+               CAST(CAST(rate AS DECIMAL(12,6)) * CAST(80 + (dayofyear(day) * 7 + ascii(currency)) % 41 AS DECIMAL(3,0))
+                    * CAST('0.01' AS DECIMAL(2,2)) AS DECIMAL(12,6)) AS inr_rate
+        FROM rate_days CROSS JOIN {_RATES} AS r(currency, rate)
+        WHERE currency <> 'SGD' OR day >= DATE '1995-01-01'""",
+    "rated_then": """
+        SELECT m.*, CAST(round(total_amount * inr_rate, 2) AS DECIMAL(24,2)) AS total_amount_inr
+        FROM measured_items m ASOF LEFT JOIN rate_history h
+             ON upper(trim(m.unit_price_currency)) = h.currency AND m.dt >= h.valid_from""",
     "clean_brands": f"""
         SELECT regexp_replace(brand_code, '[^a-zA-Z0-9]', '', 'g') AS brand_code, trim(brand_name) AS brand_name,
                {_RECODED} AS category_code
@@ -223,6 +244,34 @@ _RELATIONS = {
     "customers_dim": """
         SELECT customer_id, phone, country_code, country, state, region FROM placed_customers
         UNION ALL SELECT '-1', NULL, NULL, NULL, NULL, 'Not Available'""",
+    "snapshots": """
+        SELECT 1 AS nth, DATE '1994-01-01' AS day, * FROM (
+            SELECT *, CAST(customer_id[2:] AS BIGINT) AS k FROM placed_customers) WHERE k % 10 <> 3
+        UNION ALL
+        SELECT 2, DATE '1996-01-01', * REPLACE (
+            CASE WHEN k % 4 = 1 THEN 'India' ELSE country END AS country,
+            CASE WHEN k % 4 = 1 THEN 'MH' ELSE state END AS state,
+            CASE WHEN k % 4 = 1 THEN 'West' ELSE region END AS region)
+        FROM (SELECT *, CAST(customer_id[2:] AS BIGINT) AS k FROM placed_customers) WHERE k % 29 <> 5
+        UNION ALL
+        SELECT 3, DATE '1997-06-01', * REPLACE (
+            CASE WHEN k % 6 = 2 THEN 'Canada' WHEN k % 4 = 1 THEN 'India' ELSE country END AS country,
+            CASE WHEN k % 6 = 2 THEN 'BC' WHEN k % 4 = 1 THEN 'MH' ELSE state END AS state,
+            CASE WHEN k % 6 = 2 THEN 'West' WHEN k % 4 = 1 THEN 'West' ELSE region END AS region,
+            CASE WHEN k % 50 = 7 THEN 'Not Available' ELSE phone END AS phone)
+        FROM (SELECT *, CAST(customer_id[2:] AS BIGINT) AS k FROM placed_customers)""",
+    "versions": """
+        SELECT customer_id, phone, country_code, country, state, region, min(day) AS effective_from,
+               [DATE '1996-01-01', DATE '1997-06-01', NULL][CAST(max(nth) AS INTEGER)] AS effective_to,
+               max(nth) = 3 AS is_current
+        FROM (
+            SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY customer_id ORDER BY nth) AS island FROM (
+                SELECT *, coalesce(lag(nth) OVER w = nth - 1 AND lag(phone) OVER w IS NOT DISTINCT FROM phone
+                          AND lag(country) OVER w IS NOT DISTINCT FROM country
+                          AND lag(state) OVER w IS NOT DISTINCT FROM state
+                          AND lag(region) OVER w IS NOT DISTINCT FROM region, false) AS same
+                FROM snapshots WINDOW w AS (PARTITION BY customer_id ORDER BY nth)))
+        GROUP BY customer_id, phone, country_code, country, state, region, island""",
     "products_dim": """
         SELECT p.product_id, p.sku, p.category_code, coalesce(c.category_name, 'Not Available') AS category_name,
                p.brand_code, coalesce(b.brand_name, 'Not Available') AS brand_name, p.color, p.size, p.material,
@@ -483,6 +532,24 @@ _STATEMENTS = {
             )
         ],
     ),
+    "incremental_landing": """
+        SELECT dt, order_ts, customer_id, order_id, item_seq, product_id, quantity, unit_price_currency, unit_price,
+               discount_pct, tax_amount, channel, coupon_code, drop_number FROM latest_arrivals """,
+    "fx_as_of": """
+        SELECT order_id, item_seq, unit_price_currency, CAST(total_amount AS DOUBLE) AS total_amount,
+               CAST(total_amount_inr AS DOUBLE) AS total_amount_inr FROM rated_then """,
+    "fx_as_of_shuffled": """
+        SELECT order_id, item_seq, unit_price_currency, CAST(total_amount AS DOUBLE) AS total_amount,
+               CAST(total_amount_inr AS DOUBLE) AS total_amount_inr FROM rated_then """,
+    "customer_history": """
+        SELECT * REPLACE (CAST(effective_from AS VARCHAR) AS effective_from, CAST(effective_to AS VARCHAR) AS effective_to)
+        FROM versions """,
+    "region_at_order_time": """
+        SELECT i.order_id, i.item_seq, i.customer_id, v.region AS region_then, n.region AS region_now
+        FROM items i
+        LEFT JOIN versions v ON i.customer_id = v.customer_id AND i.dt >= v.effective_from
+             AND (v.effective_to IS NULL OR i.dt < v.effective_to)
+        LEFT JOIN versions n ON i.customer_id = n.customer_id AND n.is_current""",
     "full_refresh_rerun": _union(*_layer_counts(1), *_layer_counts(2)),
 }
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starmill import fixed_values as fixed
 from starmill.functions import numbers
 from starmill.operators import members
+from starmill.operators.history import BEGAN, ENDED, MARK, version_at
 from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget, left_lookup
 from starmill.operators.quality import (
     Reference,
@@ -32,9 +36,11 @@ from starmill.plans.contracts import (
 )
 from starmill.plans.refresh import Layers, advisory_report, amounts_held, full_refresh
 from starmill.session import scratch_path, written
+from starmill.sinks.history import HistoryTable
 from starmill.sinks.tables import publish
 from starmill.sources.files import INGESTED_AT, SOURCE_FILE, scan_csv, with_audit
 from starmill.sources.literals import rate_lookup, region_lookup
+from starmill.streaming.landing import Landing, land_new_files
 from starmill.workload import raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,7 +131,7 @@ def all_string_landing(spark, sf_dir):
 def multi_file_scan(spark, sf_dir):
     """Many batch files as one relation; lineage tells the batches apart."""
     scan = with_audit(scan_csv(spark, raw.landing(spark, sf_dir, "order_items"), RAW["order_items"]))
-    batch = F.regexp_extract(SOURCE_FILE, r"/batch=(\d{4}-\d{2})-\d{2}/[^/]+\.csv$", 1)
+    batch = F.regexp_extract(SOURCE_FILE, r"/batch=(\d{4}-\d{2})/[^/]+\.csv$", 1)
     return scan.groupBy(batch.alias("batch")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct("order_id", "item_seq").alias("line_count"),
@@ -538,3 +544,117 @@ def full_refresh_rerun(spark, sf_dir):
         .select("run", "layer", "table_name", "row_count", "filled_cells", "letters", "number_total", (F.col("mark") == F.col("first_mark")).alias("same_rows"))
     )
 
+
+# Incremental runs -----------------------------------------------------------
+
+
+class _Died(RuntimeError):
+    """Stands for a lost driver."""
+
+
+def _dying(publish, before: bool):
+    """A batch function that dies before the batch's record is written, or right after it."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        if before:
+            batch.count()
+        else:
+            publish(batch, number)
+        raise _Died
+
+    return run
+
+
+@query
+def incremental_landing(spark, sf_dir):
+    """Three drops landed as they arrive, with two runs that die on the way: each line's last arrival.
+
+    Drops do not follow the months that name their files.
+    """
+    inbox, landing = scratch_path(spark, "inbox"), Landing(scratch_path(spark, "landed"), RAW["order_items"])
+    number = (F.substring("batch", 6, 2).cast("int") % 3 + 1).alias("drop_number")
+    rows = written(spark, raw.order_items(spark, sf_dir).select("*", number), "drops")
+    files = f"{inbox}/*/*/*.csv"
+    for drop in (1, 2, 3):
+        raw.drop_files(rows.where(F.col("drop_number") == drop).drop("drop_number"), f"{inbox}/{drop}", minute=drop)
+        if drop > 1:
+            with contextlib.suppress(StreamingQueryException):
+                land_new_files(spark, files, landing, _dying(landing.publish, before=drop == 2))
+        land_new_files(spark, files, landing)
+    arrived = F.regexp_extract(SOURCE_FILE, r"/(\d)/batch=[^/]+/[^/]+\.csv$", 1).cast("int").alias("drop_number")
+    return silver.latest_arrivals(landing.read(spark)).select(*RAW["order_items"].names, arrived)
+
+
+def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates that change on some days of each month, moved up and down by the day."""
+    day = F.col("o_orderdate").cast("date").alias("valid_from")
+    days = raw.table(spark, sf_dir, "orders").select(day).distinct().where(F.day("valid_from").isin(1, 11, 21))
+    percent = F.expr("CAST(80 + (dayofyear(valid_from) * 7 + ascii(currency)) % 41 AS DECIMAL(3,0))")
+    moved = (F.col("inr_rate") * percent * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(12,6)")
+    changing = days.join(F.broadcast(rates(spark))).withColumn("inr_rate", moved)
+    return changing.where("currency <> 'SGD' OR valid_from >= DATE'1995-01-01'").select("currency", "valid_from", "inr_rate")
+
+
+def _converted_then(spark: SparkSession, sf_dir: str, budget: BroadcastBudget = DEFAULT_BUDGET) -> DataFrame:
+    converted = gold.with_reporting_amount(measured_items(spark, sf_dir), rate_history(spark, sf_dir), budget)
+    return as_doubles(converted.select(*LINE, "unit_price_currency", "total_amount", "total_amount_inr"))
+
+
+@query
+def fx_as_of(spark, sf_dir):
+    """Rupee amounts at the rate in effect on the order's day."""
+    return _converted_then(spark, sf_dir)
+
+
+@query
+def fx_as_of_shuffled(spark, sf_dir):
+    """The same when the resolved days may not be broadcast."""
+    return _converted_then(spark, sf_dir, BroadcastBudget(rows=0))
+
+
+def customer_snapshots(spark: SparkSession, sf_dir: str) -> list[tuple[date, DataFrame]]:
+    """Three states of the customer dimension: some come late, some vanish and return, some move."""
+    everyone = gold.with_region(clean(spark, sf_dir, "customers"), regions(spark)).select(*DIM_CUSTOMERS.columns)
+    numbered = everyone.withColumn("k", F.substring("customer_id", 2, 20).cast("long"))
+
+    def moved(df: DataFrame, who: str, country: str, state: str) -> DataFrame:
+        to = {"country": country, "state": state, "region": fixed.REGION_BY_COUNTRY_STATE[country][state]}
+        return df.withColumns({c: F.when(F.expr(who), F.lit(v)).otherwise(F.col(c)) for c, v in to.items()})
+
+    second = moved(numbered, "k % 4 = 1", "India", "MH")
+    third = moved(second, "k % 6 = 2", "Canada", "BC").withColumn(
+        "phone", F.when(F.expr("k % 50 = 7"), F.lit(fixed.UNKNOWN_VALUE)).otherwise(F.col("phone"))
+    )
+    return [
+        (date(1994, 1, 1), numbered.where("k % 10 <> 3").drop("k")),
+        (date(1996, 1, 1), second.where("k % 29 <> 5").drop("k")),
+        (date(1997, 6, 1), third.drop("k")),
+    ]
+
+
+def customer_versions(spark: SparkSession, sf_dir: str) -> HistoryTable:
+    """The history of the three snapshots; the second one is applied twice."""
+    schema = T.StructType([f for f in DIM_CUSTOMERS.schema.fields])
+    table = HistoryTable(scratch_path(spark, "history"), "hst_customers", schema, "customer_id")
+    first, second, third = customer_snapshots(spark, sf_dir)
+    for day, rows in (first, second, second, third):
+        table.apply(rows, day)
+    return table
+
+
+@query
+def customer_history(spark, sf_dir):
+    """Every version of every customer, with the days it held as text."""
+    days = {c: F.col(c).cast("string") for c in (BEGAN, ENDED)}
+    return customer_versions(spark, sf_dir).read(spark).withColumns(days).drop(MARK)
+
+
+@query
+def region_at_order_time(spark, sf_dir):
+    """Each order line with its customer's region on the order's day, and the region of today."""
+    table = customer_versions(spark, sf_dir)
+    lines = clean(spark, sf_dir, "order_items").select(*LINE, "customer_id", "dt")
+    on = {"customer_id": F.col("customer_id")}
+    then = version_at(lines, table.read(spark).select("customer_id", F.col("region").alias("region_then"), BEGAN, ENDED), on, F.col("dt"))
+    now = table.current(spark).select("customer_id", F.col("region").alias("region_now"))
+    return left_lookup(then, now, on).drop("dt")

@@ -124,7 +124,7 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as text, plus the ship date that names the batch file.
+    """Order lines as text, plus the ship month that names the batch file.
 
     Lines recur across batches (the test table repeats its line keys), numbers carry
     symbols or are spelled out, order times come in two layouts.
@@ -152,7 +152,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "(tax_parts DIV 10000) || '.' || lpad(CAST(tax_parts % 10000 AS STRING), 4, '0') ||"
                     " CASE WHEN l_suppkey % 43 = 7 THEN '0004' ELSE '' END"
                 ),
-                "batch": F.expr("CAST(CAST(l_shipdate AS DATE) AS STRING)"),
+                "batch": F.expr("substring(CAST(CAST(l_shipdate AS DATE) AS STRING), 1, 7)"),
                 "at": F.expr(
                     "lpad(CAST(l_orderkey % 24 AS STRING), 2, '0') || ':' ||"
                     " lpad(CAST(l_linenumber * 7 AS STRING), 2, '0')"
@@ -226,15 +226,28 @@ def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+KEEP_SPACES = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def drop_files(rows: DataFrame, folder: str, minute: int) -> None:
+    """Put rows down as one CSV file per batch, all last written in the same minute of one day."""
+    spark = rows.sparkSession
+    rows.repartition("batch").write.options(**KEEP_SPACES).partitionBy("batch").csv(folder)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{folder}/*/*.csv")
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.globStatus(at):
+        files.setTimes(status.getPath(), 1_700_000_000_000 + minute * 60_000, -1)
+
+
 def landing(spark: SparkSession, sf_dir: str, entity: str) -> str:
-    """The glob of an entity's CSV files.  Order items fall into one file per ship day, whose
-    path holds that day, like batch drops."""
-    keep_spaces = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    """The glob of an entity's CSV files.  Order items fall into one file per ship month, whose
+    path holds that month, like batch drops."""
     rows = RELATIONS[entity](spark, sf_dir)
     batched = entity == "order_items"
     if batched:
         rows = rows.repartition("batch")
-    writer = rows.write.options(**keep_spaces)
+    writer = rows.write.options(**KEEP_SPACES)
     path = _once(
         spark, sf_dir, f"landing-{entity}", writer.partitionBy("batch").csv if batched else writer.csv
     )
