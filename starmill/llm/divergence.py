@@ -25,7 +25,8 @@ kept terms gives pairs of value 0 and no terms.  Sums of counts must stay below
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import stored
-from starmill.operators.lookups import left_lookup
+from starmill.operators.lookups import left_lookup, shuffle_partitions
 
 LEAST = 3  # documents of a language that a kept term is found in
 TOP = 200
 UNIT = 1_000_000_000
 TILE = 128  # sources of a tile
 BUCKET = 200_000  # counts of a bucket
-FAN = 16  # partitions whose skybands are merged at once
-HELD = 300_000  # counts or terms that a worker holds before it passes them on
+FAN = 4, 16, 16  # partitions whose skybands are merged at once, and merged ones in turn
+HELD = 800_000  # counts or terms that a worker holds before it passes them on
+STEP = 512  # points that are compared with a skyband at once
 CHUNK = 1 << 20  # bytes of a text read at once; pairs of counts compared at once
 
 # Any ASCII character but a letter separates terms; capital letters become small ones.
@@ -62,24 +64,31 @@ def _spelled(raw: bytes):
     yield text[at:].split()
 
 
-def _partial_counts(docs: DataFrame) -> DataFrame:
+def _partial_counts(docs: DataFrame, buckets: int) -> DataFrame:
     """Counts and document counts by group and term, added up inside each task as far as memory allows.
 
-    Each group also gets a row for the empty term, so that it occurs even without terms.
+    A row holds the terms of one group that fall into one bucket, separated by blanks, and their
+    numbers in 8 bytes each.  Each group also gets the empty term, so that it occurs even without terms.
     """
 
     def rows(groups):
         for (lang, source), (times, found) in groups.items():
-            terms = [*times, b""]
+            dealt = defaultdict(list)
+            for term in times:
+                dealt[zlib.crc32(term) % buckets].append(term)
+            dealt[0].append(b"")
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(terms), pa.binary()).cast(pa.string()),
-                    pa.array([source] * len(terms), pa.binary()).cast(pa.string()),
-                    pa.array(terms, pa.binary()).cast(pa.string()),
-                    pa.array([*times.values(), 0], pa.int64()),
-                    pa.array([*map(found.__getitem__, times), 0], pa.int64()),
+                    pa.array([lang] * len(dealt), pa.binary()).cast(pa.string()),
+                    pa.array([source] * len(dealt), pa.binary()).cast(pa.string()),
+                    pa.array(list(dealt), pa.int32()),
+                    pa.array([b" ".join(terms) for terms in dealt.values()], pa.binary()).cast(pa.string()),
+                    *(
+                        pa.array([np.fromiter((counts[t] for t in terms), "<i8", len(terms)).tobytes() for terms in dealt.values()], pa.binary())
+                        for counts in (times, found)
+                    ),
                 ],
-                names=["lang", "source", "term", "n", "docs"],
+                names=["lang", "source", "bucket", "terms", "n", "docs"],
             )
 
     def run(batches):
@@ -100,7 +109,32 @@ def _partial_counts(docs: DataFrame) -> DataFrame:
         yield from rows(groups)
 
     whole = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return whole.mapInArrow(run, "lang string, source string, term string, n long, docs long")
+    return whole.mapInArrow(run, "lang string, source string, bucket int, terms string, n binary, docs binary")
+
+
+_KEPT = "lang string, source string, term string, n long, lang_n long, first boolean"
+
+
+def _kept(table: pa.Table, least: int) -> pa.Table:
+    """One language's terms of one bucket, summed by source and over the language."""
+    terms = pc.split_pattern(table["terms"], " ")
+    many = pc.list_value_length(terms).to_numpy()
+    term = pc.list_flatten(terms).combine_chunks().dictionary_encode()
+    source = table["source"].combine_chunks().dictionary_encode()
+    n, docs = (np.frombuffer(b"".join(table[c].to_pylist()), "<i8") for c in ("n", "docs"))
+    code, size = term.indices.to_numpy().astype(np.int64), len(source.dictionary)
+    everywhere, found = (np.bincount(code, x, len(term.dictionary)).astype(np.int64) for x in (n, docs))
+    keep = (found >= least) | pc.equal(term.dictionary, "").to_numpy(zero_copy_only=False)
+    held = keep[code]
+    key = code[held] * size + np.repeat(source.indices.to_numpy(), many)[held]
+    key, at = np.unique(key, return_inverse=True)
+    total = np.bincount(at, n[held], len(key)).astype(np.int64)
+    code = key // size
+    return pa.table({
+        "lang": pa.repeat(table["lang"][0], len(key)), "source": source.dictionary.take(pa.array(key % size)),
+        "term": term.dictionary.take(pa.array(code)), "n": total, "lang_n": everywhere[code],
+        "first": np.r_[np.ones(min(1, len(key)), bool), code[1:] != code[:-1]],
+    })
 
 
 def kept_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -108,14 +142,8 @@ def kept_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     ``lang_n`` is the term's count in its language; ``first`` marks one row of each term.
     """
-    counts = _partial_counts(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    term = Window.partitionBy("lang", "term")
-    counted = (
-        counts.withColumn("lang_n", F.sum("n").over(term))
-        .withColumn("lang_docs", F.sum("docs").over(term))
-        .withColumn("first", F.min("source").over(term) == F.col("source"))
-    )
-    kept = counted.where((F.col("lang_docs") >= least) | (F.col("term") == "")).drop("docs", "lang_docs")
+    partial = _partial_counts(docs, max(64, shuffle_partitions(docs.sparkSession)))
+    kept = partial.groupBy("lang", "bucket").applyInArrow(lambda table: _kept(table, least), _KEPT)
     return stored(kept, "divergence-counts")
 
 
@@ -209,8 +237,11 @@ def _block(block: pa.Table) -> pa.Table:
             left, right = left[good], right[good]
             g, h = s[left], s[right]
             more = _gap(p[left], p[right]) - _gap(p[left], none[h]) - _gap(none[g], p[right])
-            np.add.at(value, (g, h), more)
-            np.add.at(seen, (g, h), -1)
+            # Sums of 30 bits each stay exact in floating point.
+            flat, space = g * size + h, size * size
+            high, low_bits = (np.bincount(flat, part, space) for part in (more >> 30, more & ((1 << 30) - 1)))
+            value += ((high.astype(np.int64) << 30) + low_bits.astype(np.int64)).reshape(size, size)
+            seen -= np.bincount(flat, minlength=space).reshape(size, size)
             a = b
     g, h = np.nonzero(wanted)
     label = pa.array(names, pa.string())
@@ -260,17 +291,25 @@ def skyband(group_n: np.ndarray, lang_n: np.ndarray, place: np.ndarray, k: int)
     dominators of a point the first ``k`` in order have fewer than ``k`` themselves.
     """
     order = np.lexsort((place, lang_n, -group_n))
+    # Of equal counts only the first k places can stay.
+    same = (group_n[order][1:] == group_n[order][:-1]) & (lang_n[order][1:] == lang_n[order][:-1])
+    starts = np.flatnonzero(np.r_[True, ~same])
+    order = order[np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)])) < k]
     kept = np.zeros(0, np.int64)
-    a, step = 0, 256
-    while a < len(order):
-        new = order[a : a + step]
-        a += len(new)
+    for a in range(0, len(order), STEP):
+        new = order[a : a + STEP]
+        count = np.zeros(len(new), np.int64)
+        if len(kept) >= k:
+            # The k-th place among those up to some language counts: what comes later is dominated.
+            by_lang = kept[np.argsort(lang_n[kept], kind="stable")]
+            ends = np.unique(np.linspace(k, len(by_lang), 16).astype(np.int64))
+            limit = np.array([np.partition(place[by_lang[:end]], k - 1)[k - 1] for end in ends])
+            at = np.searchsorted(lang_n[by_lang[ends - 1]], lang_n[new], "right") - 1
+            new = new[(at < 0) | (place[new] < limit[np.maximum(at, 0)])]
         if len(kept):
             above = (lang_n[kept][None, :] <= lang_n[new][:, None]) & (place[kept][None, :] < place[new][:, None])
             count = above.sum(axis=1)
             new, count = new[count < k], count[count < k]
-        else:
-            count = np.zeros(len(new), np.int64)
         inside = (
             (group_n[new][None, :] >= group_n[new][:, None]) & (lang_n[new][None, :] <= lang_n[new][:, None]) & (place[new][None, :] < place[new][:, None])
         )
@@ -296,7 +335,7 @@ def bands(counts: DataFrame, k: int = TOP) -> DataFrame:
     names = ["lang", "source", "slot", "term", "n", "lang_n"]
 
     def local(batches):
-        slot = TaskContext.get().partitionId() // FAN
+        slot = TaskContext.get().partitionId() // FAN[0]
         held, rows = [], 0
 
         def passed():
@@ -317,10 +356,10 @@ def bands(counts: DataFrame, k: int = TOP) -> DataFrame:
             yield from passed()
 
     out = counts.where(F.col("term") != "").select("lang", "source", "term", "n", "lang_n").mapInArrow(local, _BAND)
-    for key in (["slot"], ["slot"], []):
-        out = out.groupBy("lang", "source", *key).applyInArrow(lambda table: _thinned(table, k), _BAND)
-        out = out.withColumn("slot", F.expr(f"slot div {FAN}").cast("int"))
-    return out.drop("slot")
+    for more in FAN[1:]:
+        out = out.groupBy("lang", "source", "slot").applyInArrow(lambda table: _thinned(table, k), _BAND)
+        out = out.withColumn("slot", F.expr(f"slot div {more}").cast("int"))
+    return out.groupBy("lang", "source").applyInArrow(lambda table: _thinned(table, k), _BAND).drop("slot")
 
 
 def terms(counts: DataFrame, groups: DataFrame, langs: DataFrame, k: int = TOP) -> DataFrame:
