@@ -222,7 +222,7 @@ def places(found: DataFrame, size: int = SIZE) -> DataFrame:
     shared = found.sparkSession.sparkContext.broadcast(_intervals(patterns(counts)))
 
     names = ["part", "nth", "doc_id", "piece", "start", "length", "ids_crc32"]
-    ranked = found.drop("ids").join(firsts.drop("n"), ["length", "part"]).select(*names, (F.col("first") + F.col("rank")).alias("rank"))
+    ranked = found.drop("ids").join(firsts.drop("n").hint("merge"), ["length", "part"]).select(*names, (F.col("first") + F.col("rank")).alias("rank"))
 
     def make():
         length, lowest, many, sequence, offset = shared.value

@@ -23,8 +23,9 @@ from __future__ import annotations
 import struct
 import zlib
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import public_tokenizers
@@ -52,6 +53,12 @@ ODD = "\x1c\x1d\x1e\x1f"
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+def _halve(cache: dict) -> None:
+    """Drop the older half of a cache's entries."""
+    for key in list(islice(cache, len(cache) // 2)):
+        del cache[key]
+
+
 class WordTokens(dict):
     """Ids of a text by the tokenizers library, which sees each distinct piece once.
 
@@ -86,23 +93,23 @@ class WordTokens(dict):
             found = array("I", [t.id for t in self.merges.tokenize(text)]).tobytes()
             if len(piece) <= 64:
                 if len(self.pieces) >= PIECES_KEPT:
-                    self.pieces.clear()
+                    _halve(self.pieces)
                 self.pieces[piece] = found
         return found
 
     def __missing__(self, word: str) -> bytes:
-        if any(m in word for m in self.marks) and any(s in word for s in self.special):
+        if not self.marks.isdisjoint(word) and any(s in word for s in self.special):
             return self._whole(word)
         text = word.lower() if word.isascii() or max(word) < self.LATIN else self.library.normalizer.normalize_str(word)
         if text.isalpha():  # one piece, by the first letter rule
-            found = self._piece(text)
+            found = self.pieces.get(text) or self._piece(text)
         elif text[-1] in ".," and text[:-1].isalpha():
-            found = self._piece(text[:-1]) + self._piece(text[-1])
+            found = (self.pieces.get(text[:-1]) or self._piece(text[:-1])) + self._piece(text[-1])
         else:
             found = b"".join(map(self._piece, PIECES.findall(text)))
         if len(word) <= 64:
             if len(self) >= WORDS:
-                self.clear()
+                _halve(self)
             self[word] = found
         return found
 
@@ -231,7 +238,7 @@ def shared_frequencies(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-_SEGMENTS = "part int, seg int, before long, doc_ids array<bigint>, lengths array<int>, ids binary"
+_SEGMENTS = "part int, seg int, before long, doc_ids array<bigint>, lengths array<int>, ids binary, seen binary"
 _FILES = "part int, seg int, start long, doc_ids array<bigint>, lengths array<int>, data binary"
 
 
@@ -239,34 +246,51 @@ def _longs(rows: list[list[int | None]]) -> pa.Array:
     return pa.array(rows, pa.list_(pa.int64()))
 
 
-def _segments(docs: DataFrame, path: str, end: int) -> DataFrame:
-    """Texts, already in order, as runs of ids; each partition numbers its own."""
+def _segments(docs: DataFrame, path: str, end: int, symbols: int) -> DataFrame:
+    """Texts, already in order, as runs of ids; each partition numbers its own.
+
+    The last run of a partition also tells how often each id occurs in all of them.
+    """
 
     def run(batches):
-        tokens, stop = word_tokens(path), np.uint32(end).tobytes()
+        tokens, seen, stop = word_tokens(path), np.zeros(symbols, np.int64), np.uint32(end).tobytes()
         part, seg, before = TaskContext.get().partitionId(), 0, 0
-        doc_ids, lengths, parts, size = [], [], [], 0
+        doc_ids, lengths, parts, size, last = [], [], [], 0, None
 
         def close():
             ids = np.frombuffer(b"".join(parts), np.uint32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([before], pa.int64()), _longs([doc_ids]), pa.array([lengths], pa.list_(pa.int32())), pa.array([ids.astype("<u2" if len(ids) == 0 or ids.max() < 65536 else "<u4").tobytes()], pa.binary())],
-                names=["part", "seg", "before", "doc_ids", "lengths", "ids"],
-            )
-
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = tokens.encode(text)
-                doc_ids.append(doc_id)
-                parts += [ids, stop]
-                lengths.append(len(ids) // 4 + 1)
-                size += lengths[-1]
-                if size >= SEGMENT:
-                    yield close()
-                    seg, before = seg + 1, before + size
-                    doc_ids, lengths, parts, size = [], [], [], 0
+            np.add(seen, np.bincount(ids, minlength=symbols), out=seen)
+            packed = ids.astype("<u2" if symbols <= 1 << 16 else "<u4").tobytes()
+            return [part, seg, before, doc_ids, lengths, packed, None]
+
+        def row(x):
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+            names = ["part", "seg", "before", "doc_ids", "lengths", "ids", "seen"]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(x, kinds, strict=True)], names=names)
+
+        for whole in batches:
+            for first in range(0, whole.num_rows, 500):
+                batch = whole.slice(first, 500)
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    ids = tokens.encode(text)
+                    doc_ids.append(doc_id)
+                    parts += [ids, stop]
+                    lengths.append(len(ids) // 4 + 1)
+                    size += lengths[-1]
+                    if size >= SEGMENT:
+                        if last:
+                            yield row(last)
+                        last = close()
+                        seg, before = seg + 1, before + size
+                        doc_ids, lengths, parts, size = [], [], [], 0
         if doc_ids:
-            yield close()
+            if last:
+                yield row(last)
+            last = close()
+        if last:
+            used = np.flatnonzero(seen)
+            last[-1] = np.stack([used, seen[used]]).astype("<i8").tobytes()
+            yield row(last)
 
     return docs.mapInArrow(run, _SEGMENTS)
 
@@ -281,12 +305,13 @@ def _counts(segments: DataFrame, symbols: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(symbols, np.int64)
         for batch in batches:
-            for data, lengths in zip(batch.column("ids").to_pylist(), batch.column("lengths").to_pylist(), strict=True):
-                total += np.bincount(_ids(data, sum(lengths)), minlength=symbols)
+            for data in batch.column("seen").drop_null().to_pylist():
+                used, n = np.frombuffer(data, "<i8").reshape(2, -1)
+                total[used] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["symbol", "n"])
 
-    rows = segments.select("ids", "lengths").mapInArrow(run, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()
+    rows = segments.select("seen").mapInArrow(run, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(symbols, np.int64)
     for r in rows:
         out[r["symbol"]] = r["n"]
@@ -301,9 +326,9 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end: int = END)
         .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
     )
-    _segments(ordered, path, end).write.option("compression", "zstd").parquet(f"{folder}/ids")
-    segments = spark.read.schema(_SEGMENTS).parquet(f"{folder}/ids")
     symbols = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+    _segments(ordered, path, end, symbols).write.option("compression", "zstd").parquet(f"{folder}/ids")
+    segments = spark.read.schema(_SEGMENTS).parquet(f"{folder}/ids")
     frequencies = shared_frequencies(_counts(segments, symbols))
     totals = segments.groupBy("part").agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)).alias("n")).collect()
     sizes = sorted((r["part"], r["n"]) for r in totals)  # one row per partition
@@ -325,13 +350,13 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end: int = END)
 
         return step
 
-    arrow_map(segments, make, _FILES).write.option("compression", "none").parquet(f"{folder}/blocks")
+    arrow_map(segments.drop("seen"), make, _FILES).write.option("compression", "none").parquet(f"{folder}/blocks")
     spark.createDataFrame([(i, int(n)) for i, n in enumerate(frequencies) if n], "symbol int, frequency int").coalesce(1).write.parquet(f"{folder}/table")
     return folder
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents of a folder: ``doc_id``, ``start`` and ``ids``."""
+def _decoded(spark: SparkSession, folder: str, give: Callable[[list, np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """``give(doc_ids, starts, ids of each)`` for every segment of a folder, decoded where it is read."""
     rows = spark.read.schema("symbol int, frequency int").parquet(f"{folder}/table").collect()
     table = np.zeros(max((r["symbol"] for r in rows), default=-1) + 1, np.int64)
     for r in rows:
@@ -347,29 +372,34 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 np.cumsum(row["lengths"], out=cuts[1:])
                 if cuts[-1] != len(ids):
                     raise ValueError("a segment's index does not fit its ids")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + cuts[:-1], pa.int64()), int_lists(ids.astype(np.int32), cuts.astype(np.int32))],
-                    names=["doc_id", "start", "ids"],
-                )
+                yield give(row["doc_ids"], row["start"] + cuts, ids)
 
-    return spark.read.schema(_FILES).parquet(f"{folder}/blocks").mapInArrow(run, "doc_id long, start long, ids array<int>")
+    return spark.read.schema(_FILES).parquet(f"{folder}/blocks").mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Write, read back, and give each document's place, size and checksum."""
-    spark = docs.sparkSession
-    found = read(spark, write(docs, scratch_path(spark, "token-files"), path))
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of a folder: ``doc_id``, ``start`` and ``ids``."""
 
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            column = batch.column("ids")
-            values, cuts = column.values.to_numpy().astype("<u4"), column.offsets.to_numpy()
-            crc = [zlib.crc32(values[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-            return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(cuts), pa.int64()), pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+    def give(doc_ids, starts, ids):
+        lists = int_lists(ids.astype(np.int32), (starts - starts[0]).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(starts[:-1], pa.int64()), lists], names=["doc_id", "start", "ids"])
+
+    return _decoded(spark, folder, give, "doc_id long, start long, ids array<int>")
 
-        return step
 
-    return arrow_map(found, make, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def read_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's place, number of ids and their checksum, from the ids that were read back."""
+
+    def give(doc_ids, starts, ids):
+        plain, at = np.ascontiguousarray(ids, "<u4"), (starts - starts[0]).tolist()
+        crc = [zlib.crc32(plain[a:b]) for a, b in zip(at, at[1:], strict=False)]
+        columns = [pa.array(doc_ids, pa.int64()), pa.array(starts[:-1], pa.int64()), pa.array(np.diff(starts), pa.int64()), pa.array(crc, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return _decoded(spark, folder, give, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Write, read back, and give each document's place, size and checksum."""
+    spark = docs.sparkSession
+    return read_digests(spark, write(docs, scratch_path(spark, "token-files"), path))

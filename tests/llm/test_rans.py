@@ -30,6 +30,16 @@ def test_words_in_turn_equal_the_library_on_whole_texts():
         assert np.frombuffer(tokens.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_small_caches_change_nothing(monkeypatch):
+    monkeypatch.setattr(rans, "WORDS", 3)
+    monkeypatch.setattr(rans, "PIECES_KEPT", 2)
+    draw, library, tokens = random.Random(3), _library(), rans.WordTokens(PATH)
+    for _ in range(50):
+        text = " ".join(draw.choices(["a", "bc", "Bc,", "d.", "'s", "x1y", "é"], k=12))
+        assert np.frombuffer(tokens.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(tokens) <= 3 and len(tokens.pieces) <= 2
+
+
 @pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 2047, 2048, 2049, 300_000, rans.BLOCK, rans.BLOCK + 1])
 def test_blocks_come_back(n):
     ids = np.random.default_rng(n).zipf(1.3, n).clip(max=49_407).astype(np.uint32)
