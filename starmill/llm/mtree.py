@@ -25,13 +25,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import arrow_map, stored
 
 SCALE = 64
-ROUTES, NODE, PAGE, BLOCK = 64, 2048, 64, 256
+ROUTES, NODE, PAGE, BLOCK = 64, 2048, 32, 256
 _EXACT = float(2**53)
 
 
@@ -64,11 +64,20 @@ def _matrix(column: list[bytes], width: int) -> np.ndarray:
     return out
 
 
+_LOW, _HIGH = -(2**63), 2**63 - 1
+
+
+def _integers(a: np.ndarray) -> np.ndarray:
+    out = np.empty(a.shape, object)
+    out[...] = [[int(x) for x in row] for row in a]
+    return out
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products, exact: in floats while they fit, else in Python's integers."""
+    """Inner products as 64-bit integers, exact: in floats while they fit, else in Python's integers."""
     if not a.size or not b.size or np.abs(a).max() * np.abs(b).max() * a.shape[1] < _EXACT:
-        return a @ b.T
-    return a.astype(np.int64).astype(object) @ b.astype(np.int64).astype(object).T
+        return (a @ b.T).astype(np.int64)
+    return np.clip(_integers(a) @ _integers(b).T, _LOW, _HIGH).astype(np.int64)
 
 
 class Space:
@@ -77,28 +86,44 @@ class Space:
     def __init__(self, top: float):
         self.top = top  # largest square norm
         self.slack = 1e-6 * (1 + top) ** 0.5
+        self.bounded = bool(top < 1e300)  # else all distances are taken as 0 and every product as possible
 
     def between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if not self.bounded:
+            return np.zeros((len(a), len(b)))
         na, nb = (a * a).sum(axis=1), (b * b).sum(axis=1)
         last = np.sqrt(np.maximum(self.top - na, 0))[:, None] - np.sqrt(np.maximum(self.top - nb, 0))[None, :]
         return np.sqrt(np.maximum(na[:, None] + nb[None, :] - 2 * (a @ b.T), 0) + last * last)
 
     def of_queries(self, q: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if not self.bounded:
+            return np.zeros((len(q), len(b)))
         return np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + self.top - 2 * (q @ b.T), 0))
 
     def best(self, q: np.ndarray, bound: np.ndarray) -> np.ndarray:
         """Highest product of a query with anything at least ``bound`` away, a little too high."""
+        if not self.bounded:
+            return np.where(np.isposinf(bound), -np.inf, np.inf)
         near = np.maximum(bound - 2 * self.slack, 0)
         square = (q * q).sum(axis=1).reshape(-1, *([1] * (near.ndim - 1)))
         high = (square + self.top - near * near) / 2
         return high + 1e-9 * (square + self.top) + 1e-3
 
 
+def promoted(vectors: np.ndarray, pages: int, space: Space) -> np.ndarray:
+    """Page centres far from each other: each is the candidate farthest from those before it."""
+    chosen, away = [0], space.between(vectors, vectors[:1])[:, 0]
+    while len(chosen) < pages and away.max() > space.slack:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, space.between(vectors, vectors[chosen[-1:]])[:, 0])
+    return vectors[chosen]
+
+
 def build(ids: np.ndarray, vectors: np.ndarray, route: np.ndarray, space: Space) -> dict[str, np.ndarray]:
     """A node: pages around centres, entries in order of their distance to the centre."""
     pages = max(1, len(ids) // PAGE)
     order = np.array(sorted(range(len(ids)), key=lambda i: (xxhash.xxh3_64_intdigest(ids[i].tobytes()), i)))
-    centres = np.unique(vectors[order[:pages]], axis=0)
+    centres = promoted(vectors[order[: 4 * pages]], pages, space)
     distance = space.between(vectors, centres)
     page = distance.argmin(axis=1)
     own = distance[np.arange(len(ids)), page]
@@ -178,8 +203,8 @@ def search(node: dict[str, np.ndarray], own: np.ndarray, q: np.ndarray, least: n
         return none, none, none
     row, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
     some = score >= least[row]
-    row, ids, score = row[some], ids[some], score[some].astype(np.int64)
-    order = np.lexsort((ids, -score, row))
+    row, ids, score = row[some], ids[some], score[some]
+    order = np.lexsort((ids, ~score, row))  # ~ turns the order around without leaving 64 bits
     row, ids, score = row[order], ids[order], score[order]
     rank = np.arange(len(row)) - np.searchsorted(row, row)
     return row[rank < k], ids[rank < k], score[rank < k]
@@ -318,9 +343,8 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
 
     slotted = nodes.withColumn("slot", F.pmod(F.col("chunk"), slots[F.col("route")]).cast("int"))
     every_hit = visit(bounded.mapInArrow(all_places, _BLOCK_SCHEMA).join(slotted, ["route", "slot"]), k)
-    best = every_hit.groupBy("uid").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
-    return (
-        best.join(bounded.select("uid", F.col("vec_id").alias("query_id")), "uid")
-        .select("query_id", F.posexplode("best").alias("at", "hit"))
-        .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.s")).alias("score"))
-    )
+    # The rank limit works inside each task before the exchange, so no list grows with the table.
+    order = Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("vec_id"))
+    best = every_hit.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    owners = bounded.select("uid", F.col("vec_id").alias("query_id"))
+    return best.join(owners, "uid").select("query_id", "rank", "vec_id", "score")

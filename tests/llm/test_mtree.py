@@ -7,21 +7,22 @@ from starmill.llm import mtree
 from starmill.llm.queries import QUERIES
 
 
-def _brute(rows, every, k):
+def _brute(rows, every, k, real=np.float32):
     points = {}
     for i, x in rows:
         if i is not None and x and all(c is not None and np.isfinite(c) for c in x):
-            points.setdefault(i, tuple(int(np.floor(64.0 * np.float64(np.float32(c)))) for c in x))
+            points.setdefault(i, tuple(int(np.floor(64.0 * np.float64(real(c)))) for c in x))
     out = set()
     for q, v in points.items():
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in points.items() if i != q)[:k]
+            clip = lambda s: max(-(2**63), min(2**63 - 1, s))
+            scores = sorted((-clip(sum(a * b for a, b in zip(v, w, strict=False))), i) for i, w in points.items() if i != q)[:k]
             out |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores)}
     return out
 
 
-def _frame(spark, rows):
-    return spark.createDataFrame([(i, x, 0, b"", 1.0) for i, x in rows], "vec_id long, embedding array<float>, label int, v binary, score double")
+def _frame(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, x, 0, b"", 1.0) for i, x in rows], f"vec_id long, embedding array<{kind}>, label int, v binary, score double")
 
 
 @pytest.mark.parametrize("node,page", [(2048, 64), (40, 5)])
@@ -58,6 +59,44 @@ def test_edges(spark):
     assert mtree.nearest(_frame(spark, [(20, [1.0])]), 20, 20).collect() == []
 
 
+@pytest.mark.parametrize("kind,large", [("float", 1e10), ("float", 3e38), ("double", 1e150), ("double", 1e300)])
+def test_large_finite_vectors(spark, kind, large):
+    """Products far beyond 64 bits, next to small ones, with both signs."""
+    draw = np.random.default_rng(5)
+    rows = [(i, [float(c) for c in draw.normal(size=4)]) for i in range(60)]
+    rows += [(100 + i, [float(c) for c in draw.choice([-1.0, 1.0, 2.0, 0.0], 4) * large / 2]) for i in range(40)]
+    got = {tuple(r) for r in mtree.nearest(_frame(spark, rows, kind), 20, 20).collect()}
+    want = _brute(rows, 20, 20, np.float32 if kind == "float" else np.float64)
+    assert got == want and any(s == 2**63 - 1 for *_, s in want)
+
+
+def _computed(vectors, queries, k=20):
+    """Share of all products that a search of one node computes."""
+    space = mtree.Space(float((vectors * vectors).sum(axis=1).max()))
+    node = mtree.build(np.arange(len(vectors)), vectors, vectors[0], space)
+    done, products = [0], mtree._products
+    mtree._products = lambda a, b: (done.__setitem__(0, done[0] + len(a) * len(b)), products(a, b))[1]
+    try:
+        for i in queries:
+            q = vectors[i : i + 1]
+            mtree.search(node, np.array([i]), q, np.full(1, -np.inf), space.of_queries(q, vectors[:1])[:, 0], space, k)
+    finally:
+        mtree._products = products
+    return done[0] / len(vectors) / len(queries)
+
+
+def test_bounds_spare_products_where_vectors_cluster(table):
+    """On clusters most products are never computed; the test table is spread too evenly for that."""
+    draw = np.random.default_rng(2)
+    centres = draw.normal(size=(40, 8))
+    clustered = np.floor(64 * (centres[draw.integers(0, 40, 2000)] + 0.02 * draw.normal(size=(2000, 8))))
+    assert _computed(clustered, range(0, 2000, 50)) < 0.1
+    rows = [r["embedding"] for r in table("embeddings").collect() if r["embedding"]]
+    share = _computed(np.floor(64 * np.array(rows, np.float64)), range(0, len(rows), 20))
+    print(f"computed share on the test table: {share:.3f}")
+    assert share <= 1
+
+
 def test_query_equals_brute_force(spark, table):
     rows = [(r["vec_id"], r["embedding"]) for r in table("embeddings").collect()]
     got = {tuple(r) for r in QUERIES["op10_m_tree_top_k"](spark, "/root/testdata/sf0.001").collect()}
