@@ -151,16 +151,20 @@ def _counted(fact: DataFrame, table: str, references: Sequence[Reference]) -> Da
     )
 
 
-def parse_report(raw: DataFrame, table: str, parsers: Mapping[str, Column]) -> DataFrame:
-    """Non-blank source values whose parsed form is NULL, per column, in one pass."""
+def parse_totals(table: str, parsers: Mapping[str, Column]) -> tuple[list[Column], list[Column]]:
+    """Aggregates that count non-blank values without a parsed form, and report lines made of them."""
     failed = {
         name: _total((F.col(name).isNotNull() & (F.trim(F.col(name)) != "") & parsed.isNull()).cast("long"))
         for name, parsed in parsers.items()
     }
-    totals = raw.agg(F.count(F.lit(1)).alias("rows"), *[v.alias(f"failed_{n}") for n, v in failed.items()])
-    return report_rows(
-        totals, *[report_line(table, f"parses({n})", F.col("rows"), F.col(f"failed_{n}")) for n in parsers]
-    )
+    totals = [F.count(F.lit(1)).alias("rows"), *[v.alias(f"failed_{n}") for n, v in failed.items()]]
+    return totals, [report_line(table, f"parses({n})", F.col("rows"), F.col(f"failed_{n}")) for n in parsers]
+
+
+def parse_report(raw: DataFrame, table: str, parsers: Mapping[str, Column]) -> DataFrame:
+    """Non-blank source values whose parsed form is NULL, per column, in one pass."""
+    totals, lines = parse_totals(table, parsers)
+    return report_rows(raw.agg(*totals), *lines)
 
 
 def _exact(df: DataFrame, measure: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+REJECTED = "_rejected_line"
 SOURCE_FILE, INGESTED_AT, ARRIVED_AT = "_source_file", "_ingested_at", "_arrived_at"
 
 
@@ -11,15 +12,29 @@ def _layout(delimiter: str) -> dict:
     return {"header": True, "sep": delimiter}
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",") -> DataFrame:
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    delimiter: str = ",",
+    rejects: bool = False,
+    header: bool = True,
+) -> DataFrame:
     """Read every file the path or glob names as one relation.
 
-    Columns bind by position and the header line is skipped.  Nothing is inferred, so
+    Columns bind by position and the header line, if there is one, is skipped.  Nothing is inferred, so
     there is no extra pass; a field that does not fit its type becomes NULL and spaces
     are kept.  Uncompressed files split at ``spark.sql.files.maxPartitionBytes`` and
     small ones are packed together.
+
+    ``rejects`` adds a column that holds the whole line where it does not fit the schema: fewer
+    or more fields, or a field of another type.
     """
-    return spark.read.schema(schema).options(**_layout(delimiter)).csv(path)
+    reader = spark.read.options(**_layout(delimiter) | {"header": header})
+    if rejects:
+        schema = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", REJECTED)
+    return reader.schema(schema).csv(path)
 
 
 def stream_csv(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starmill import fixed_values as fixed
 from starmill.functions import numbers
@@ -16,6 +16,7 @@ from starmill.operators import members
 from starmill.operators.history import BEGAN, ENDED, MARK, version_at
 from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget, left_lookup
 from starmill.operators.quality import (
+    QualityError,
     Reference,
     combined,
     held_report,
@@ -33,12 +34,13 @@ from starmill.plans.contracts import (
     FACT,
     RAW,
     SILVER,
+    Contract,
 )
-from starmill.plans.refresh import Layers, advisory_report, amounts_held, full_refresh
+from starmill.plans.refresh import Layers, advisory_report, amounts_held, full_refresh, publish_gold, stage_dimensions
 from starmill.session import scratch_path, written
 from starmill.sinks.history import HistoryTable
-from starmill.sinks.tables import publish
-from starmill.sources.files import INGESTED_AT, SOURCE_FILE, scan_csv, with_audit
+from starmill.sinks.tables import publish, published
+from starmill.sources.files import INGESTED_AT, REJECTED, SOURCE_FILE, scan_csv, with_audit
 from starmill.sources.literals import rate_lookup, region_lookup
 from starmill.streaming.landing import Landing, land_new_files
 from starmill.workload import raw
@@ -485,29 +487,31 @@ def schema_contract(spark, sf_dir):
 
 # Full refresh ---------------------------------------------------------------
 
-# Columns that differ from run to run, or hold a path or a moment.
-NOT_COMPARED = {SOURCE_FILE, INGESTED_AT, silver.PROCESSED_AT, "order_ts", "transaction_ts", "dt", "date", "transaction_date"}
-
-
-def _cells(contract) -> list:
-    """Filled cells, characters of all text, and the exact total of all numbers of a table."""
-    filled, letters, total = F.lit(0), F.lit(0), F.lit(0).cast("decimal(38,10)")
-    for f in contract.schema.fields:
-        if f.name in NOT_COMPARED:
-            continue
-        kind = f.dataType.simpleString()
-        filled = filled + F.count(f.name)
-        if kind == "string":
-            letters = letters + F.coalesce(F.sum(F.length(f.name)), F.lit(0))
-        elif kind == "float":
-            total = total + F.coalesce(F.sum(F.floor(F.col(f.name).cast("double") * 1000 + 0.5).cast("decimal(28,0)")), F.lit(0))
-        elif kind in ("int", "double"):
-            exact = F.col(f.name).cast("double").try_cast("decimal(38,10)")
-            total = total + F.coalesce(F.sum(exact), F.lit(0))
-    return [
-        filled.cast("long").alias("filled_cells"), letters.cast("long").alias("letters"), total.cast("double").alias("number_total")
-    ]
+# Columns that differ from run to run, or hold a path.
+NOT_COMPARED = {SOURCE_FILE, INGESTED_AT, silver.PROCESSED_AT}
+
+
+def _text(field: T.StructField) -> Column:
+    """A cell as text that both engines write alike."""
+    cell, kind = F.col(field.name), field.dataType.simpleString()
+    if kind in ("int", "float", "double"):
+        # The text of a double is not the same everywhere, its arithmetic is: billions, and millionths of the
+        # rest where a double still holds them.
+        number = cell.cast("double")
+        billions = F.floor(number / 1e9)
+        rest = F.floor((number - billions.cast("double") * 1e9) * 1e6 + 0.5)
+        rest = F.when(F.abs(number) < 1e12, rest).otherwise(F.lit(0))
+        cell = F.concat(billions.cast("string"), F.lit(":"), rest.cast("string"))
+    elif kind == "timestamp":
+        cell = F.date_format(cell, "yyyy-MM-dd HH:mm:ss")
+    return F.coalesce(cell.cast("string"), F.lit("~"))
+
 
+def content(contract) -> Column:
+    """A digest of all rows of a table: the sum of eight hexadecimal digits of each row's MD5."""
+    row = F.concat_ws("|", *[_text(f) for f in contract.schema.fields if f.name not in NOT_COMPARED])
+    digits = F.conv(F.substring(F.md5(row.cast("binary")), 1, 8), 16, 10)
+    return F.coalesce(F.sum(digits.cast("long")), F.lit(0)).alias("content")
 
 
 @query
@@ -530,7 +534,7 @@ def full_refresh_rerun(spark, sf_dir):
                     F.lit(layer).alias("layer"),
                     F.lit(c.name).alias("table_name"),
                     F.count(F.lit(1)).alias("row_count"),
-                    *_cells(c),
+                    content(c),
                     F.sum(F.xxhash64(*[n for n in c.columns if n not in stamps]).cast("decimal(20,0)")).alias("mark"),
                 )
                 for layer, database, c in tables
@@ -541,7 +545,7 @@ def full_refresh_rerun(spark, sf_dir):
     return (
         runs[0].unionByName(runs[1])
         .join(first, "table_name")
-        .select("run", "layer", "table_name", "row_count", "filled_cells", "letters", "number_total", (F.col("mark") == F.col("first_mark")).alias("same_rows"))
+        .select("run", "layer", "table_name", "row_count", "content", (F.col("mark") == F.col("first_mark")).alias("same_rows"))
     )
 
 
@@ -658,3 +662,67 @@ def region_at_order_time(spark, sf_dir):
     then = version_at(lines, table.read(spark).select("customer_id", F.col("region").alias("region_then"), BEGAN, ENDED), on, F.col("dt"))
     now = table.current(spark).select("customer_id", F.col("region").alias("region_now"))
     return left_lookup(then, now, on).drop("dt")
+
+
+# Landing and publication ----------------------------------------------------
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a customer file, some of them with a field missing, too many, or of another type."""
+    return raw.table(spark, sf_dir, "customer").selectExpr(
+        "CASE WHEN c_custkey % 50 = 7 THEN concat('C', c_custkey, ',', c_mktsegment)"
+        " WHEN c_custkey % 77 = 3 THEN concat('C', c_custkey, ',', c_mktsegment, ',', c_nationkey, ',more')"
+        " WHEN c_custkey % 91 = 5 THEN concat('C', c_custkey, ',', c_mktsegment, ',n', c_nationkey)"
+        " ELSE concat('C', c_custkey, ',', c_mktsegment, ',', c_nationkey) END AS line"
+    )
+
+
+@query
+def quarantined_lines(spark, sf_dir):
+    """Lines that do not fit their schema, kept whole, and how many rows of each kind landed."""
+    folder = scratch_path(spark, "lines")
+    customer_lines(spark, sf_dir).select(F.col("line").alias("value")).write.option("compression", "none").text(folder)
+    schema = T.StructType().add("id", "string").add("segment", "string").add("nation", "integer")
+    contract = Contract("brz_lines", T.StructType([*schema.fields, *BRONZE["brands"].schema.fields[-2:]]))
+    database = new_database(spark, "landing")
+    scan = with_audit(scan_csv(spark, f"{folder}/*.txt", schema, rejects=True, header=False))
+    publish(scan, database, contract, hidden=(REJECTED,))
+    landed, rejects = spark.table(f"{database}.brz_lines"), spark.table(f"{database}.brz_lines_rejects")
+    kept = landed.agg(F.count(F.lit(1)).alias("row_count"), F.count("nation").alias("with_nation"))
+    each = {"row_count": F.lit(1).cast("long"), "with_nation": F.lit(0).cast("long")}
+    return rejects.select(F.col(REJECTED).alias("line")).withColumns(each).unionByName(kept.withColumn("line", F.lit("all")))
+
+
+@query
+def one_switch(spark, sf_dir):
+    """What readers see of dimensions and fact after a refresh, and after one whose fact fails.
+
+    The second refresh has no customers; its fact repeats a line, so nothing of it may show.
+    """
+    layers = Layers(*[new_database(spark, layer) for layer in ("bronze", "silver", "gold")])
+    stamps = {SOURCE_FILE: F.lit("file"), INGESTED_AT: F.current_timestamp()}
+    for entity in RAW:
+        rows = clean(spark, sf_dir, entity).drop(SOURCE_FILE).withColumns(stamps)
+        publish(rows.select(*SILVER[entity].columns), layers.silver, SILVER[entity])
+    publish_gold(spark, layers, stage_dimensions(spark, layers))
+    seen = [_visible(spark, layers, 1)]
+
+    table = lambda entity: spark.table(f"{layers.silver}.{SILVER[entity].name}")
+    publish(table("customers").where("false"), layers.silver, SILVER["customers"])
+    publish(table("order_items").unionByName(table("order_items").limit(1)), layers.silver, SILVER["order_items"])
+    with contextlib.suppress(QualityError):
+        publish_gold(spark, layers, stage_dimensions(spark, layers))
+    seen.append(_visible(spark, layers, 2))
+    return combined(*seen)
+
+
+def _visible(spark: SparkSession, layers: Layers, refresh: int) -> DataFrame:
+    """Rows of each gold table by its own name, and as the one record of the switch names it."""
+    together = published(spark, layers.gold)
+    lines = [
+        spark.table(f"{layers.gold}.{name}").agg(F.count(F.lit(1)).alias("row_count"))
+        .join(df.agg(F.count(F.lit(1)).alias("rows_together")))
+        .select(F.lit(refresh).alias("refresh"), F.lit(name).alias("table_name"), "row_count", "rows_together")
+        for name, df in together.items()
+    ]
+    return written(spark, combined(*lines), f"visible-{refresh}")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F, types as T
 from starmill.operators.quality import QualityError, key_report
 from starmill.operators.schema import SchemaDrift
 from starmill.plans.contracts import Contract
-from starmill.sinks.tables import is_published, publish
+from starmill.sinks.records import Records
+from starmill.sinks.tables import discard, is_published, publish, published, stage, switch
+from starmill.sources.files import REJECTED, scan_csv, with_audit
 
 CONTRACT = Contract("things", T.StructType().add("id", "long").add("grp", "integer"), ("id",))
 
@@ -85,3 +87,45 @@ def test_partitioned_layout_prunes(spark, database):
     assert table.columns == ["id", "grp"] and table.count() == 30
     plan = table.where("grp = 1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(grp" in plan
+
+
+def test_tables_are_switched_at_once(spark, database):
+    other = Contract("others", CONTRACT.schema, ("id",))
+    assert published(spark, database) == {}
+    switch(spark, database, [stage(_things(spark, n), database, c) for c, n in ((CONTRACT, 5), (other, 6))])
+    first = stage(_things(spark, 50), database, CONTRACT)
+    assert {n: df.count() for n, df in published(spark, database).items()} == {"things": 5, "others": 6}
+    with pytest.raises(QualityError):
+        stage(_things(spark, 5).unionByName(_things(spark, 1)), database, other, _unique)
+    assert spark.table(f"{database}.things").count() == 5
+    discard(spark, database, [first])
+    switch(spark, database, [stage(_things(spark, 7), database, CONTRACT)])
+    assert {n: df.count() for n, df in published(spark, database).items()} == {"things": 7, "others": 6}
+
+
+def test_a_switch_in_between_is_kept(spark, database, monkeypatch):
+    """Two refreshes of different tables take the same record number; the second one tries again."""
+    other = Contract("others", CONTRACT.schema, ("id",))
+    staged, add, raced = stage(_things(spark, 5), database, CONTRACT), Records.add, []
+
+    def racing(self, number, record):
+        if not raced:
+            raced.append(True)
+            publish(_things(spark, 6), database, other)
+        return add(self, number, record)
+
+    monkeypatch.setattr(Records, "add", racing)
+    switch(spark, database, [staged])
+    assert {n: df.count() for n, df in published(spark, database).items()} == {"things": 5, "others": 6}
+
+
+def test_lines_that_do_not_fit_are_kept_whole(spark, database, tmp_path):
+    lines = ["id,grp", "1,1", "2", "3,3,more", "x,4", '"5",5', '"6,6', ",7"]
+    (tmp_path / "things.csv").write_text("\n".join(lines) + "\n")
+    contract = Contract("things", T.StructType([*CONTRACT.schema.fields, *[T.StructField(n, t) for n, t in (("_source_file", T.StringType()), ("_ingested_at", T.TimestampType()))]]))
+    publish(with_audit(scan_csv(spark, f"{tmp_path}/things.csv", CONTRACT.schema, rejects=True)), database, contract, hidden=(REJECTED,))
+    table, rejects = spark.table(f"{database}.things"), spark.table(f"{database}.things_rejects")
+    assert table.columns == contract.columns
+    assert sorted(r[REJECTED] for r in rejects.collect()) == sorted(["2", "3,3,more", "x,4", '"6,6'])
+    assert sorted((r.id or -1, r.grp or -1) for r in table.collect()) == [(-1, -1), (-1, 4), (-1, 7), (1, 1), (2, -1), (3, 3), (5, 5)]
+    assert all(r["_source_file"].endswith("things.csv") for r in rejects.collect())

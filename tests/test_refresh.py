@@ -3,11 +3,21 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 
 from starmill.operators.lookups import BroadcastBudget
 from starmill.operators.quality import QualityError
 from starmill.plans.contracts import BRONZE, FACT
-from starmill.plans.refresh import Layers, full_refresh, refresh_fact
+from starmill.plans.refresh import (
+    GOLD_DIMENSIONS,
+    Layers,
+    full_refresh,
+    landing_report,
+    refresh_bronze,
+    refresh_fact,
+    refresh_items,
+)
+from starmill.sinks.tables import published
 from starmill.sources.files import scan_csv, with_audit
 from starmill.plans.contracts import RAW
 
@@ -106,6 +116,39 @@ def test_a_duplicate_brand_code_stops_the_refresh(spark, files, layers, tmp_path
     assert not spark.catalog.tableExists(f"{layers.gold}.{FACT.name}")
 
 
+def test_a_failing_fact_leaves_all_four_tables(spark, files, layers, tmp_path):
+    full_refresh(spark, files, layers)
+    before = {n: sorted(map(str, df.collect())) for n, df in published(spark, layers.gold).items()}
+    assert set(before) == {c.name for c in (*GOLD_DIMENSIONS, FACT)}
+    # New customers, and items whose product nobody knows: the fact's references fail.
+    (tmp_path / "raw/customers/more.csv").write_text("customer_id,phone,country_code,country,state\nC7,,IN,India,MH\n")
+    (tmp_path / "raw/order_items/landing/order_items_2025-08-03.csv").write_text(
+        FILES["order_items/landing/order_items_2025-08-01.csv"].replace("P1", "P404")
+    )
+    with pytest.raises(QualityError, match=r"references\(product_id\)"):
+        full_refresh(spark, files, layers)
+    assert {n: sorted(map(str, df.collect())) for n, df in published(spark, layers.gold).items()} == before
+    assert {n: sorted(map(str, spark.table(f"{layers.gold}.{n}").collect())) for n in before} == before
+    tables = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {layers.gold}").collect()]
+    assert len(tables) == 8  # four views and their versions
+
+
+def test_lines_that_do_not_fit_are_reported(spark, files, layers, tmp_path):
+    (tmp_path / "raw/category/broken.csv").write_text("category_code,category_name\ntoy\nbks,Books,more\n")
+    full_refresh(spark, files, layers)
+    found = {r.table_name: (r.row_count, r.violations) for r in landing_report(spark, layers).collect()}
+    assert found["brz_category"] == (5, 2) and found["brz_products"] == (2, 1) and found["brz_order_items"] == (4, 0)
+
+
+def test_parses_are_counted_from_the_table_when_tasks_were_repeated(spark, files, layers, monkeypatch):
+    refresh_bronze(spark, files, layers, ["order_items"])
+    plain = refresh_items(spark, layers)
+    get = Observation.get.fget
+    monkeypatch.setattr(Observation, "get", property(lambda self: {k: 2 * v for k, v in get(self).items()}))
+    key = lambda lines: sorted(map(tuple, lines))
+    assert key(refresh_items(spark, layers)) == key(plain) and {r.row_count for r in plain} == {4}
+
+
 def test_the_fact_needs_its_dimensions(spark, layers):
     with pytest.raises(LookupError, match="gld_dim_products"):
         refresh_fact(spark, layers)
