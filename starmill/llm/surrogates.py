@@ -6,17 +6,22 @@ numbers, and names after a title.  Every entity (whatever its
 spelling: letter case, spaces and punctuation do not matter) has one surrogate in the whole
 corpus, so mentions stay coreferent; each mention keeps its own punctuation and letter case.
 Numbers and addresses go through a keyed permutation of their letters and digits (a Feistel
-network), names through keyed syllables of the same script with an ending that fits the title's
-gender; after Dr or Prof alone a name goes with the same name after another title, the female one
-first, or has the male ending.  Cards keep their network digit and the truth of their check digit, telephone numbers
-their country code and first digit.
+network), names through keyed syllables of the same script.  Cards keep their network digit and
+the truth of their check digit, telephone numbers their country code and first digit; a number
+of the form 3-3-4 without a country code is one of country code 1.
+
+The words of a name are entities of their own, so a surname alone is that of the full name.  A
+given name, the first of two words, has an ending that fits the title's gender; after Dr or Prof
+alone it goes with the same given name after another title, the female one first.  A word alone
+after a title is a surname, unless the corpus has it only as a given name of that gender.
 
 Distinctness is checked over the corpus: a surrogate that equals a real entity, or another's
 surrogate, is drawn again until none is left.  Each new draw of a name has a syllable more in
 every word, so the room for names grows until all have found a place.
 
-How it scales: texts are scanned where they lie; the entity table holds each entity once, with
-partial aggregation before its shuffle; collisions are found by joins.
+How it scales: texts are scanned once, where they lie, and the places found are stored; the entity
+table holds each entity once, with partial aggregation before its shuffle; collisions are found
+by joins.
 
 Defined results: NULL and empty texts stay as they are; texts without entities are unchanged;
 repeated rows get equal texts; rows with a NULL id take part; of overlapping matches the longer,
@@ -31,6 +36,7 @@ import hmac
 import ipaddress
 import re
 import unicodedata
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,7 +51,6 @@ _FEMALE = "Mrs Ms Miss Madam Frau Madame Mademoiselle Señora Señorita Doña Г
 _LEARNED = "Dr Prof Doctor Professor".split()
 _NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 PATTERNS = (
-    ("email", re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")),
     ("card", re.compile(r"(?<![\w.-])[3-6]\d{3}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\w-])")),
     ("card", re.compile(r"(?<![\w.-])(?:[1-9]\d{12,18}|[1-9]\d{3}([ -])(?:\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{6}\1\d{4,5}|\d{3}\1\d{3}\1\d{3})|[1-9]\d{5}[ -]\d{13}|[1-9]\d{7}[ -]\d{8,11})(?![\w-])")),
     ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w.])\+\d{1,3}[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){2,3}(?!\w)")),
@@ -53,8 +58,15 @@ PATTERNS = (
     ("ip", re.compile(r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d)")),
     ("ip6", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:(?:\d{1,3}\.){3}\d{1,3}|[0-9A-Fa-f]{0,4})(?!\w|:[0-9A-Fa-f:]|\.\d)")),
 )
+# E-mail addresses are read from their @ outwards, so a long word is passed over once.
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+_DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
+# FIXED VALUES: country codes of one and two digits; all others have three.
+_SHORT_CODES = frozenset(
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 _TWO_COLONS = re.compile(r":[0-9A-Fa-f]{0,4}:")
-_ANY_16 = PATTERNS[1][1]  # cards that count whatever their check digit
+_ANY_16 = PATTERNS[0][1]  # cards that count whatever their check digit
 _TITLES, _LEARNED_TITLES = "|".join(_MALE + _FEMALE), rf"(?:(?:{'|'.join(_LEARNED)})\.? )"
 # "Don" and "Sir" after a learned title may be names themselves.
 _AFTER = "|".join(t for t in _MALE + _FEMALE if t not in ("Don", "Sir"))
@@ -147,16 +159,39 @@ def _letters(first: str) -> list[str]:
     return [c for c in near if unicodedata.category(c) in ("Ll", "Lo") and _script(c) == _script(first)]
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    out, last, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > last and text[start - 1] in _LOCAL:
+            start -= 1
+        while start < at and text[start] in "._%+-":
+            start += 1
+        domain = _DOMAIN.match(text, at + 1) if start < at and text[at - 1] != "." else None
+        if domain:
+            last = domain.end()
+            out.append((start, last))
+        else:
+            last = at + 1
+        at = text.find("@", last)
+    return out
+
+
+def _telephone(mention: str) -> str:
+    """Country code and number, whatever the separators."""
+    digits = "".join(c for c in mention if c.isdigit())
+    if not mention.startswith("+"):
+        return f"1|{digits}"
+    size = next((n for n in (1, 2) if digits[:n] in _SHORT_CODES), 3)
+    return f"{digits[:size]}|{digits[size:]}"
+
+
 def canonical(kind: str, mention: str) -> str:
     """What all mentions of one entity share."""
     if kind == "email":
         return mention.lower()
     if kind in ("card", "phone", "ssn"):
-        digits = "".join(c for c in mention if c.isdigit())
-        if kind == "phone":
-            plus = re.match(r"\+(\d{1,3}?)(?=[ .(-])", mention)
-            return f"{plus.group(1) if plus else ''}|{digits[len(plus.group(1)) if plus else 0 :]}"
-        return digits
+        return _telephone(mention) if kind == "phone" else "".join(c for c in mention if c.isdigit())
     if kind == "ip":
         return ".".join(str(int(x)) for x in mention.split("."))
     if kind == "ip6":
@@ -185,29 +220,26 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "ip6":
         return "".join(f"{x:x}" for x in permuted([int(c, 16) for c in entity], 16, key, "ip6", attempt))
     gender, name = entity.split("|")
-    letter = next((c for c in name if c.isalpha()), "a")
+    return " ".join(_word(gender if place == 0 else "s", word, attempt, key) for place, word in enumerate(name.split(" ")))
+
+
+def _word(role: str, word: str, attempt: int, key: bytes) -> str:
+    """A word of a name: a given name of a gender, or a surname."""
+    letter = next((c for c in word if c.isalpha()), "a")
     script = _script(letter)
+    n, made = _draw(key, "name", script, role, word, attempt), ""
     if script not in _SYLLABLES and len(_letters(letter)) > 1:
-        out, letters = [], _letters(letter)
-        for place, word in enumerate(name.split(" ")):
-            n, made = _draw(key, "name", script, place, word, attempt, gender if place == 0 else ""), ""
-            for _ in range(min(12, len(word)) + attempt):
-                n, c = divmod(n, len(letters))
-                made += letters[c]
-            out.append(made)
-        return " ".join(out)
+        letters = _letters(letter)
+        for _ in range(min(12, len(word)) + attempt):
+            n, c = divmod(n, len(letters))
+            made += letters[c]
+        return made
     starts, vowels, male, female = _SYLLABLES.get(script, _SYLLABLES["LATIN"])
-    out = []
-    for place, word in enumerate(name.split(" ")):
-        n, made = _draw(key, "name", script, place, word, attempt, gender if place == 0 else ""), ""
-        for _ in range(max(1, min(6, len(word) // 2)) + attempt):  # each attempt has more room
-            n, s = divmod(n, len(starts))
-            n, v = divmod(n, len(vowels))
-            made += starts[s] + vowels[v]
-        if place == 0:
-            made += female if gender == "f" else male
-        out.append(made)
-    return " ".join(out)
+    for _ in range(max(1, min(6, len(word) // 2)) + attempt):  # each attempt has more room
+        n, s = divmod(n, len(starts))
+        n, v = divmod(n, len(vowels))
+        made += starts[s] + vowels[v]
+    return made + ("" if role == "s" else female if role == "f" else male)
 
 
 def rendered(kind: str, mention: str, found: str) -> str:
@@ -223,6 +255,8 @@ def rendered(kind: str, mention: str, found: str) -> str:
     if kind == "name":
         words = found.split(" ")
         return " ".join(w.upper() if m.isupper() and len(m) > 1 else w[0].upper() + w[1:] if m[0].isupper() else w for w, m in zip(words, mention.split(" "), strict=True))
+    if kind == "phone" and not mention.startswith("+"):
+        found = found.split("|")[1]
     digits = iter(found.replace("|", ""))
     return "".join(next(digits) if c.isdigit() else c for c in mention)
 
@@ -236,9 +270,9 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and entity of every mention, in order, without overlaps."""
     if not text:
         return []
-    found = []
+    found = [(a, b, -1, "email", canonical("email", text[a:b])) for a, b in _emails(text)]
     for order, (kind, pattern) in enumerate(PATTERNS):
-        if kind == "email" and "@" not in text or kind == "ip6" and not _TWO_COLONS.search(text):
+        if kind == "ip6" and not _TWO_COLONS.search(text):
             continue
         found += [(m.start(), m.end(), order, kind, canonical(kind, m.group())) for m in pattern.finditer(text) if _is_real(kind, m.group())]
     for m in _TITLED.finditer(text):
@@ -249,33 +283,84 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
             gender = "n" if title is None else "m" if title in _MALE else "f"
             found.append((m.start(3), m.start(3) + len(take), 9, "name", f"{gender}|{canonical('name', take)}"))
     found.sort(key=lambda x: (x[0] - x[1], x[2], x[0]))
+    starts: list[int] = []  # of what is taken, ascending, with the ends beside them
+    ends: list[int] = []
     out: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
     for a, b, _, kind, entity in found:
-        if all(b <= x or a >= y for x, y in taken[-64:]) and all(b <= x or a >= y for x, y in taken[:-64]):
-            taken.append((a, b))
+        at = bisect_right(starts, a)
+        if (at == 0 or ends[at - 1] <= a) and (at == len(starts) or starts[at] >= b):
+            starts.insert(at, a)
+            ends.insert(at, b)
             out.append((a, b, kind, entity))
     return sorted(out)
 
 
-def _shown(kind: str, entity: str) -> str:
-    """An entity as it compares with surrogates."""
-    return entity.split("|", 1)[1] if kind == "name" else entity
+def parts(text: str, mention: tuple[int, int, str, str]) -> list[tuple[int, int, str, str]]:
+    """A mention as its entities: the words of a name are one each.
+
+    Roles: ``m``, ``f`` and ``n`` are given names by the title's gender, ``s`` surnames; a word
+    alone has the capital of its title's gender until the corpus tells what it is.
+    """
+    start, end, kind, entity = mention
+    if kind != "name":
+        return [mention]
+    gender, words = entity[0], text[start:end].split(" ")
+    roles = [gender.upper()] if len(words) == 1 else [gender, "s"]
+    out = []
+    for role, word in zip(roles, words, strict=True):
+        out.append((start, start + len(word), kind, f"{role}|{canonical('name', word)}"))
+        start += len(word) + 1
+    return out
+
+
+_PLACES = "mark long, start int, end int, kind string, entity string, mention string, counts int"
+
 
+def located(docs: DataFrame) -> DataFrame:
+    """Stored places of all entities in the texts of ``docs`` (``mark``, ``text``); ``counts`` is 1 where a mention begins."""
 
-def _entities(docs: DataFrame) -> DataFrame:
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            pairs = {(kind, entity) for text in batch.column("text").to_pylist() for _, _, kind, entity in mentions(text)}
-            rows = sorted(pairs)
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([e for _, e in rows], pa.string()), pa.array([_shown(k, e) for k, e in rows], pa.string())], names=["kind", "entity", "shown"])
+            rows = {
+                (m, a, b, kind, entity, text[a:b], int(i == 0))
+                for m, text in zip(batch.column("mark").to_pylist(), batch.column("text").to_pylist(), strict=True)
+                for mention in mentions(text)
+                for i, (a, b, kind, entity) in enumerate(parts(text, mention))
+            }
+            columns = list(zip(*sorted(rows), strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["mark", "start", "end", "kind", "entity", "mention", "counts"])
 
         return step
 
-    return arrow_map(docs.select("text"), make, "kind string, entity string, shown string").distinct()
+    return stored(arrow_map(docs.select("mark", "text"), make, _PLACES), "pii-places")
+
+
+def _resolved(places: DataFrame) -> DataFrame:
+    """Each entity with the one it goes with, ``same_as``, and how that one is ``shown``."""
+    known = places.select("kind", "entity").distinct()
+    names = known.where("kind = 'name'").select("entity", F.substring_index("entity", "|", 1).alias("role"), F.substring_index("entity", "|", -1).alias("shown"))
+    has = names.groupBy("shown").agg(*[F.max((F.col("role") == r).cast("int")).alias(f"has_{r}") for r in "smfn"])
+    role = F.expr("""
+        CASE WHEN role IN ('s', 'm', 'f') THEN role
+             WHEN role = 'n' THEN CASE WHEN has_f = 1 THEN 'f' WHEN has_m = 1 THEN 'm' ELSE 'n' END
+             WHEN has_s = 1 THEN 's'
+             WHEN role = 'M' AND has_m = 1 THEN 'm'
+             WHEN role = 'F' AND has_f = 1 THEN 'f'
+             WHEN role = 'N' AND has_f = 1 THEN 'f'
+             WHEN role = 'N' AND has_m = 1 THEN 'm'
+             WHEN role = 'N' AND has_n = 1 THEN 'n'
+             ELSE 's' END""")
+    resolved = names.join(has, "shown").select(F.lit("name").alias("kind"), "entity", F.concat(role, F.lit("|"), "shown").alias("same_as"), "shown")
+    return resolved.unionByName(known.where("kind <> 'name'").select("kind", "entity", F.col("entity").alias("same_as"), F.col("entity").alias("shown")))
 
 
 def assigned(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+    """``kind``, ``entity``, ``surrogate`` of the entities in ``docs``."""
+    return assigned_places(located(docs.select(row_mark().alias("mark"), "text")), key)
+
+
+def assigned_places(places: DataFrame, key: bytes = KEY) -> DataFrame:
     """``kind``, ``entity``, ``surrogate``: one row per entity; no surrogate is real or used twice."""
 
     def make():
@@ -285,13 +370,9 @@ def assigned(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
         return step
 
-    entities = stored(_entities(docs), "pii-entities")
+    entities = stored(_resolved(places), "pii-entities")
     real = entities.select("kind", F.col("shown").alias("surrogate")).distinct()
-    # A name after Dr or Prof alone is the same person as after another title.
-    gendered = entities.where("kind = 'name' AND entity NOT LIKE 'n|%'").groupBy("kind", "shown").agg(F.min("entity").alias("same_as"))
-    neutral = entities.where("kind = 'name' AND entity LIKE 'n|%'")
-    twins = neutral.join(gendered, ["kind", "shown"]).select("kind", "entity", "same_as")
-    open_rows, done, attempt = entities.join(twins, ["kind", "entity"], "left_anti").select("kind", "entity"), None, 0
+    open_rows, done, attempt = entities.select("kind", F.col("same_as").alias("entity")).distinct(), None, 0
     while True:
         drawn = arrow_map(open_rows.withColumn("attempt", F.lit(attempt)), make, "kind string, entity string, attempt int, surrogate string")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("winner")).join(real, ["kind", "surrogate"], "left_anti")
@@ -302,41 +383,31 @@ def assigned(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         done = won if done is None else done.unionByName(won)
         open_rows = judged.where("won IS NULL OR NOT won").select("kind", "entity")
         if open_rows.isEmpty():
-            same = done.withColumnRenamed("entity", "same_as")
-            return done.unionByName(twins.join(same, ["kind", "same_as"]).select("kind", "entity", "surrogate"))
+            return entities.join(done.withColumnRenamed("entity", "same_as"), ["kind", "same_as"]).select("kind", "entity", "surrogate")
         attempt += 1
 
 
+def row_mark() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def replace(docs: DataFrame, key: bytes = KEY, count: str | None = None) -> DataFrame:
     """``docs`` with every mention replaced; ``count`` names a column for their number."""
-    names = assigned(docs, key)
     mark, list_name = free_name(docs, "row_mark"), free_name(docs, "replacements")
-    row_mark = F.xxhash64("doc_id", "text")
-
-    def locate():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = {
-                (m, a, b, kind, entity, text[a:b])
-                for m, text in zip(batch.column("mark").to_pylist(), batch.column("text").to_pylist(), strict=True)
-                for a, b, kind, entity in mentions(text)
-            }
-            columns = list(zip(*sorted(rows), strict=True)) or [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["mark", "start", "end", "kind", "entity", "mention"])
-
-        return step
+    places = located(docs.select(row_mark().alias("mark"), "text"))
+    names = assigned_places(places, key)
 
     def render():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             new = [rendered(r["kind"], r["mention"], r["surrogate"]) for r in batch.to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("start"), batch.column("end"), pa.array(new, pa.string())], names=["mark", "start", "end", "new"])
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("mark", "start", "end", "counts")), pa.array(new, pa.string())], names=["mark", "start", "end", "counts", "new"])
 
         return step
 
-    places = arrow_map(docs.select(row_mark.alias("mark"), "text"), locate, "mark long, start int, end int, kind string, entity string, mention string").distinct()
-    shown = arrow_map(places.join(names, ["kind", "entity"]).select("mark", "start", "end", "kind", "mention", "surrogate"), render, "mark long, start int, end int, new string")
-    lists = shown.groupBy("mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", "new"))).alias(list_name)).withColumnRenamed("mark", mark)
-    joined = docs.withColumn(mark, row_mark).join(lists, mark, "left")
+    shown = places.distinct().join(names, ["kind", "entity"]).select("mark", "start", "end", "counts", "kind", "mention", "surrogate")
+    new_parts = arrow_map(shown, render, "mark long, start int, end int, counts int, new string")
+    lists = new_parts.groupBy("mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", "counts", "new"))).alias(list_name)).withColumnRenamed("mark", mark)
+    joined = docs.withColumn(mark, row_mark()).join(lists, mark, "left")
     # Texts meet their replacements without leaving the JVM.
     found, text = F.col(list_name), F.col("text")
     nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -355,5 +426,6 @@ def replace(docs: DataFrame, key: bytes = KEY, count: str | None = None) -> Data
         elif f.name != count:
             columns.append(F.col(f"`{f.name}`"))
     if count:
-        columns.append(F.coalesce(F.size(found), F.lit(0)).cast("long").alias(count))
+        total = F.aggregate(found, F.lit(0), lambda n, f: n + f["counts"])
+        columns.append(F.coalesce(total, F.lit(0)).cast("long").alias(count))
     return joined.select(*columns)

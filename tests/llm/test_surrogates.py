@@ -1,6 +1,8 @@
 """Surrogates: form, distinctness, coreference, and collisions that are drawn again."""
 
 import random
+import re
+import time
 
 import pytest
 
@@ -139,3 +141,56 @@ def test_query_leaves_no_real_value(spark, table):
         assert not any(x in (r["text"] or "") for x in real)
         if not surrogates.mentions(texts[r["doc_id"]]):
             assert r["text"] == texts[r["doc_id"]]
+
+
+def test_one_person_and_one_number_in_all_spellings(docs_of):
+    text = "Mr. John Smith met Mrs. Smith. Later Mr. Smith rang +1 212-555-1234, or +12125551234, or (212) 555-1234. Miss Ann Lee, Miss Ann."
+    (row,) = surrogates.replace(docs_of([(1, text)]), count="n").collect()
+    new, digits = row["text"], lambda t: "".join(c for c in t if c.isdigit())
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs\. (\w+)\. Later Mr\. (\w+) rang (\+1 \d{3}-\d{3}-\d{4}), or (\+1\d{10}), or (\(\d{3}\) \d{3}-\d{4})\. Miss (\w+) (\w+), Miss (\w+)\.", new)
+    john, *smiths = m.group(1, 2, 3, 4)
+    assert len(set(smiths)) == 1 and not {john, *smiths} & {"John", "Smith"}
+    assert digits(m[5]) == digits(m[6]) == "1" + digits(m[7]) != "12125551234"
+    assert m[8] == m[10] != "Ann" and m[9] != "Lee" and row["n"] == 8
+
+
+def test_planted_by_hand(docs_of):
+    """Entities and their places written by hand, not found by the operator."""
+    planted = [
+        ("Write to {} or ", "email", "Ann.Lee+x@mail.example.co.uk"), ("call {}; ", "phone", "+49 30 1234567"), ("host {} is ", "ip", "192.168.10.1"),
+        ("down, {} too, ", "ip6", "2001:db8::8a2e:370:7334"), ("card {} ", "card", "4111-1111-1111-1111"), ("of {}, ", "ssn", "078-05-1120"),
+        ("says Frau {}", "name", "Müller"), (" and Herr {}.", "name", "Jörg Müller"),
+    ]
+    docs = [(i, "".join(t.format(v) for t, _, v in planted[i:] + planted[:i])) for i in range(len(planted))]
+    values = [v for _, _, v in planted]
+    kept = {t.split("{}")[j] for t, _, _ in planted for j in (0, 1)}
+    seen = {v: set() for v in values}
+    for r in surrogates.replace(docs_of(docs), count="n").collect():
+        assert r["n"] == len(planted) and not any(v in r["text"] for v in values) and all(k in r["text"] for k in kept)
+        order, rest = planted[r["doc_id"] :] + planted[: r["doc_id"]], r["text"]
+        pattern = "".join(re.escape(t).replace(r"\{\}", "(.+?)") for t, _, _ in order)
+        for (_, _, v), new in zip(order, re.fullmatch(pattern, rest).groups(), strict=True):
+            seen[v].add(new)
+    assert all(len(s) == 1 for s in seen.values()) and len({*set().union(*seen.values())}) == len(values)
+    assert seen["Jörg Müller"].pop().split(" ")[1] == seen["Müller"].pop()
+
+
+def test_telephone_numbers_have_one_form():
+    for code, spellings in (("1|2125551234", ["+1 (212) 555-1234", "212-555-1234", "(212)555 1234", "+12125551234", "212 555 1234"]), ("49|301234567", ["+49301234567", "+49 30 1234567", "+49-30-123-4567"]), ("351|211234567", ["+351211234567", "+351 21 1234 567"])):
+        assert {surrogates.canonical("phone", s) for s in spellings} == {code}
+
+
+def test_many_mentions_and_long_words_take_linear_time():
+    text = " ".join(f"u{i}@mail.example.com, 10.0.{i % 256}.{i // 256}" for i in range(10_000))
+    start = time.perf_counter()
+    assert len(surrogates.mentions(text)) == 20_000
+    assert surrogates.mentions("x" * 200_000 + " a@b." + "y-" * 100_000 + " " + "@" * 100_000) == []
+    assert time.perf_counter() - start < 5
+
+
+def test_addresses_from_the_at_sign_outwards():
+    whole = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
+    draw = random.Random(8)
+    for _ in range(20_000):
+        text = "".join(draw.choices("aB1.-_%+@@ é", k=draw.randint(0, 14)))
+        assert surrogates._emails(text) == [m.span() for m in whole.finditer(text)], text
