@@ -5,7 +5,7 @@ marks the distinct words of a text and their beginnings, by 64-bit hash, and the
 shares such as repetition, symbols and capitals reach.  Weights are never positive.  A document is kept when the probability of the highest
 grade reaches ``KEEP``.
 
-The model is fitted on at most ``SAMPLE`` labelled documents, chosen by hash of their id; a
+The model is fitted on at most ``SAMPLE`` labelled ids, chosen by hash, with one text each; a
 mark must be clearly more frequent below the top grade.  So weights and what is broadcast are bounded.  Scoring is one
 pass over the texts and shuffles nothing.
 
@@ -73,6 +73,33 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -500, 500)))
 
 
+def objective(theta: np.ndarray, cell: np.ndarray, row: np.ndarray, grades: np.ndarray, marks: int) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood with the ridge, and its gradient.
+
+    ``theta`` holds the weights, the first threshold and the logarithms of the steps between
+    thresholds; row ``row[i]`` has mark ``cell[i]``.
+    """
+    n, levels = len(grades), len(theta) - marks
+    w, steps = theta[:marks], np.exp(theta[marks + 1 :])
+    cut = theta[marks] + np.concatenate([[0.0], np.cumsum(steps)])
+    score = np.bincount(row, weights=w[cell], minlength=n) if len(cell) else np.zeros(n)
+    # Each row has the thresholds just below and just above its grade; outer ones are infinite.
+    above = np.where(grades < levels, cut[np.minimum(grades, levels - 1)] - score, np.inf)
+    below = np.where(grades > 0, cut[np.maximum(grades, 1) - 1] - score, -np.inf)
+    upper, lower = 1 / (1 + np.exp(-np.clip(above, -40, 40))), 1 / (1 + np.exp(-np.clip(below, -40, 40)))
+    upper, lower = np.where(np.isinf(above), 1.0, upper), np.where(np.isinf(below), 0.0, lower)
+    p = np.maximum(upper - lower, 1e-12)
+    du, dl = upper * (1 - upper) / p / n, lower * (1 - lower) / p / n
+    grad = np.zeros_like(theta)
+    grad[:marks] = np.bincount(cell, weights=(du - dl)[row], minlength=marks) + RIDGE * w
+    at_cut = np.bincount(np.minimum(grades, levels - 1), weights=np.where(grades < levels, -du, 0), minlength=levels)
+    at_cut += np.bincount(np.maximum(grades, 1) - 1, weights=np.where(grades > 0, dl, 0), minlength=levels)
+    grad[marks] = at_cut.sum()
+    for k in range(levels - 1):
+        grad[marks + 1 + k] = at_cut[k + 1 :].sum() * steps[k]
+    return float(-np.log(p).mean() + RIDGE / 2 * (w @ w)), grad
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, grade_count: int) -> Model:
     """Full-batch fit by scaled gradient steps with soft thresholding; the order is fixed."""
     every, where = np.unique(np.concatenate(rows), return_inverse=True)
@@ -88,30 +115,13 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, grade_count: int) -> Model:
         cells.append(at)
         owner.append(np.full(len(at), i))
     cell, row = np.concatenate(cells), np.concatenate(owner)
-    n, levels = len(rows), grade_count - 1
+    levels = grade_count - 1
     share = np.array([np.clip((grades <= k).mean(), 1e-3, 1 - 1e-3) for k in range(levels)])
     cut = np.log(share / (1 - share))
-    first, gaps = cut[0], np.log(np.maximum(np.diff(cut), 1e-2))
-    theta = np.concatenate([np.zeros(len(marks)), [first], gaps])
+    theta = np.concatenate([np.zeros(len(marks)), [cut[0]], np.log(np.maximum(np.diff(cut), 1e-2))])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    # Each row has the thresholds just below and just above its grade; outer ones are infinite.
     for step in range(1, STEPS + 1):
-        w, steps = theta[: len(marks)], np.exp(theta[len(marks) + 1 :])
-        cut = theta[len(marks)] + np.concatenate([[0.0], np.cumsum(steps)])
-        score = np.bincount(row, weights=w[cell], minlength=n) if len(cell) else np.zeros(n)
-        above = np.where(grades < levels, cut[np.minimum(grades, levels - 1)] - score, np.inf)
-        below = np.where(grades > 0, cut[np.maximum(grades, 1) - 1] - score, -np.inf)
-        upper, lower = 1 / (1 + np.exp(-np.clip(above, -40, 40))), 1 / (1 + np.exp(-np.clip(below, -40, 40)))
-        upper, lower = np.where(np.isinf(above), 1.0, upper), np.where(np.isinf(below), 0.0, lower)
-        p = np.maximum(upper - lower, 1e-12)
-        du, dl = upper * (1 - upper) / p / n, lower * (1 - lower) / p / n
-        grad = np.zeros_like(theta)
-        grad[: len(marks)] = np.bincount(cell, weights=(du - dl)[row], minlength=len(marks)) + RIDGE * w
-        at_cut = np.bincount(np.minimum(grades, levels - 1), weights=np.where(grades < levels, -du, 0), minlength=levels)
-        at_cut += np.bincount(np.maximum(grades, 1) - 1, weights=np.where(grades > 0, dl, 0), minlength=levels)
-        grad[len(marks)] = at_cut.sum()
-        for k in range(levels - 1):
-            grad[len(marks) + 1 + k] = at_cut[k + 1 :].sum() * steps[k]
+        grad = objective(theta, cell, row, grades, len(marks))[1]
         m, v = 0.9 * m + 0.1 * grad, 0.98 * v + 0.02 * grad**2
         scale = np.sqrt(v / (1 - 0.98**step)) + 1e-8
         theta = theta - RATE * (m / (1 - 0.9**step)) / scale
@@ -130,21 +140,27 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` rows of ``ratings`` (``doc_id``, ``grade`` from 0)."""
+    """Fit on at most ``sample`` rows of ``ratings`` (``doc_id``, ``grade`` from 0).
+
+    The rows with the lowest hash count, whatever the order of tasks; of several texts of one id
+    the one with the smallest marks.
+    """
     total = max(1, ratings.count())
     share = min(1 << 30, int((1 << 30) * sample / total))
-    picked = ratings.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < share).limit(sample)
+    place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30))
+    picked = ratings.where(place < share).orderBy(place, "doc_id").limit(sample)
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [features(t).tobytes() for t in batch.column("text").to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(found, pa.binary())], names=["grade", "marks"])
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(found, pa.binary())], names=["doc_id", "grade", "marks"])
 
         return step
 
     # The sample is bounded, so it may be broadcast; the texts stay where they are.
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("grade", "text")
-    rows = arrow_map(texts, make, "grade int, marks binary").collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
+    marked = arrow_map(texts.select("doc_id", "grade", "text"), make, "doc_id long, grade int, marks binary")
+    rows = marked.groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min("marks").alias("marks")).collect()  # ``sample`` rows at most
     rows.sort(key=lambda r: (r["grade"], bytes(r["marks"])))
     if not rows:
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.array([-50.0, -49.0]))

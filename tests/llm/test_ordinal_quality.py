@@ -45,6 +45,62 @@ def test_fit_does_not_depend_on_row_order(spark, docs_of):
     assert (one.marks == two.marks).all() and np.allclose(one.weights, two.weights)
 
 
+def _problem(seed, n=40, marks=12, levels=3):
+    draw = np.random.default_rng(seed)
+    cells = [draw.choice(marks, draw.integers(0, 5), replace=False) for _ in range(n)]
+    row, cell = np.repeat(np.arange(n), [len(c) for c in cells]), np.concatenate(cells)
+    theta = np.concatenate([-draw.random(marks), [draw.normal()], draw.normal(size=levels - 1) / 2])
+    return theta, cell, row, draw.integers(0, levels + 1, n), marks
+
+
+def test_likelihood_equals_brute_force():
+    for seed in range(5):
+        theta, cell, row, grades, marks = _problem(seed)
+        cut = [theta[marks]]
+        for gap in theta[marks + 1 :]:
+            cut.append(cut[-1] + np.exp(gap))
+        total = 0.0
+        for i, grade in enumerate(grades):
+            score = sum(theta[c] for c, r in zip(cell, row, strict=True) if r == i)
+            at_most = [1 / (1 + np.exp(score - c)) for c in cut] + [1.0]
+            total -= np.log(at_most[grade] - (at_most[grade - 1] if grade else 0.0))
+        assert np.isclose(quality.objective(theta, cell, row, grades, marks)[0], total / len(grades) + quality.RIDGE / 2 * (theta[:marks] ** 2).sum())
+        # The expected grade is the sum of the tail probabilities.
+        model = quality.Model(np.arange(marks, dtype=np.uint64), theta[:marks], np.array(cut))
+        score = model.score(cell[row == 1].astype(np.uint64))
+        at_most = [1 / (1 + np.exp(score - c)) for c in cut] + [1.0]
+        mean = sum(g * (at_most[g] - (at_most[g - 1] if g else 0.0)) for g in range(len(at_most)))
+        assert np.isclose(model.tails(score).sum(), mean)
+
+
+def test_gradient_equals_finite_differences():
+    for seed in range(5):
+        theta, *rest = _problem(seed)
+        grad = quality.objective(theta, *rest)[1]
+        for k in range(len(theta)):
+            step = np.zeros_like(theta)
+            step[k] = 1e-6
+            slope = (quality.objective(theta + step, *rest)[0] - quality.objective(theta - step, *rest)[0]) / 2e-6
+            assert abs(slope - grad[k]) < 1e-6
+
+
+def test_the_sample_does_not_depend_on_partitions(spark, docs_of):
+    texts, grades = _texts(120)
+    docs, labels = docs_of(list(enumerate(texts))), spark.createDataFrame(list(enumerate(map(int, grades))), "doc_id long, grade int")
+    one = quality.train(docs, labels, sample=70)
+    for parts in (1, 5, 11):
+        two = quality.train(docs.repartition(parts), labels.repartition(parts), sample=70)
+        assert (one.marks == two.marks).all() and (one.weights == two.weights).all() and (one.thresholds == two.thresholds).all()
+
+
+def test_a_repeated_labelled_id_counts_once(spark, docs_of):
+    texts, grades = _texts(60)
+    docs, labels = list(enumerate(texts)), spark.createDataFrame(list(enumerate(map(int, grades))), "doc_id long, grade int")
+    one = quality.train(docs_of(docs), labels)
+    two = quality.train(docs_of(docs + docs[:1] * 500), labels)
+    assert (one.marks == two.marks).all() and (one.weights == two.weights).all()
+
+
 def test_edges(spark, docs_of, edges):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (4, 1, 0), (5, 1, 1), (None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int")
     assert {tuple(r) for r in quality.graded(labels).collect()} == {(1, 2), (4, 0), (5, 1)}
