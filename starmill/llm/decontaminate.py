@@ -6,13 +6,16 @@ training texts are joined; around each hit the texts are compared word by word o
 alignment, with replaced words tolerated, and the best overlap decides.
 
 An overlap counts when it has ``MATCHED`` equal words or ``WHOLE`` of the item's words, whichever
-is less.  Items of fewer than ``LEAST`` words match nothing.  A single equal word at either end, cut off by a
-replaced one, is not part of an overlap.
+is less.  A single equal word at either end, cut off by a replaced one, is not part of an overlap.
+Items of fewer than ``LEAST`` words occur by chance in any text; they match a text that consists
+of just their words.
 
-How it scales: a Bloom filter of fixed size over the benchmark's hashes is all that is
-broadcast, whatever the benchmark's size.  Only documents with a window that passes it are kept
-with their words; the exact joins then run over those.  Equal items and equal texts are
-compared once.
+How it scales: a Bloom filter of bounded size over the benchmark's hashes is all that is
+broadcast.  Only documents with a window that passes it are kept with their words; the exact
+joins then run over those, by distinct hash, so that repeated windows do not multiply.  Places are
+compared in one task per document and item: all alignments at once, in time linear in the length
+of the document, and word by word only those with enough equal words.  Equal items and equal texts
+are compared once.
 
 Defined results: NULL or empty texts match nothing; an item or document with a NULL id takes
 part like any other; repeated rows are judged alike; equal items are reported under the smallest
@@ -70,6 +73,14 @@ def seeded(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
+_CELLS = 1 << 22  # words compared at once
+
+
+def whole_hash(words: np.ndarray) -> np.uint64:
+    """The hash of a short sequence as a whole."""
+    return np.uint64(xxhash.xxh3_64_intdigest(b"whole" + words.tobytes()))
+
+
 def masks_of(n: int) -> list[tuple[int, str]]:
     """Number and places of every seed that looks up an item of ``n`` words."""
     if n < LEAST:
@@ -106,6 +117,10 @@ def _seeds(items: DataFrame) -> DataFrame:
             column = batch.column("item").to_pylist()
             for i, data in enumerate(column):
                 words = np.frombuffer(data, np.uint64)
+                if len(words) < LEAST:
+                    hashes.append(whole_hash(words)[None])
+                    owner.append(np.full(1, i))
+                    place.append(np.zeros(1, np.int32))
                 for number, mask in masks_of(len(words)):
                     h = seeded(words, mask, number)
                     hashes.append(h)
@@ -137,6 +152,12 @@ def _hits(docs: DataFrame, filter_bytes: np.ndarray, masks: list[tuple[int, str]
             words = np.array([w for t in texts for w in t], np.uint64)
             owner = np.repeat(np.arange(len(texts)), sizes)
             found: list[tuple[list[int], list[int]]] = [([], []) for _ in texts]
+            short = np.flatnonzero((sizes > 0) & (sizes < LEAST))
+            if len(short):
+                h = np.array([whole_hash(words[ends[k] - sizes[k] : ends[k]]) for k in short], np.uint64)
+                for i in passing(bits, h):
+                    found[short[i]][0].append(int(h[i].view(np.int64)))
+                    found[short[i]][1].append(0)
             for number, mask in masks:
                 h = seeded(words, mask, number)
                 for i in passing(bits, h):
@@ -199,6 +220,32 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
     return best
 
 
+def alignments(hashes: np.ndarray, places: np.ndarray, item: np.ndarray, size: int) -> np.ndarray:
+    """Distinct shifts at which a window of the item and one of the document have the same seed hash."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, places = hashes[order], places[order]
+    hit = np.zeros(size + len(item), bool)
+    for number, mask in masks_of(len(item)):
+        own = seeded(item, mask, number).view(np.int64)
+        for at, (a, b) in enumerate(zip(np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right"), strict=True)):
+            hit[places[a:b] - at + len(item)] = True
+    return np.flatnonzero(hit) - len(item)
+
+
+def best_overlap(doc: np.ndarray, item: np.ndarray, shifts: np.ndarray) -> tuple[int, int, int]:
+    """The best overlap over several shifts; those with too few equal words are passed over."""
+    n, best = len(item), (0, 0, 0)
+    padded = np.concatenate([np.full(n, ~item[0], np.uint64), doc, np.full(n, ~item[0], np.uint64)])
+    step = max(1, _CELLS // n)
+    for i in range(0, len(shifts), step):
+        part = shifts[i : i + step]
+        equal = (np.lib.stride_tricks.sliding_window_view(padded, n)[part + n] == item).sum(axis=1)
+        for shift, most in zip(part[equal >= min(MATCHED, WHOLE * n)].tolist(), equal[equal >= min(MATCHED, WHOLE * n)].tolist(), strict=True):
+            if most >= best[0]:
+                best = max(best, overlap(doc, item, shift))
+    return best
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per contaminated row and item: ``mark``, ``doc_id``, ``item_id``, the best overlap and its share of the item."""
     items = stored(_items(benchmark), "leak-items")
@@ -208,20 +255,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     masks = sorted({m for r in sizes for m in masks_of(r["n"])})
     hits = stored(_hits(docs, bloom(seeds), masks), "leak-hits").dropDuplicates(["mark"])
     pairs = (
-        hits.select("mark", F.explode(F.arrays_zip("hashes", "places")).alias("h"))
-        .select("mark", F.col("h.hashes").alias("hash"), F.col("h.places").alias("place"))
-        .join(seeds, "hash")
+        hits.select("mark", F.explode(F.array_distinct("hashes")).alias("hash"))
+        .join(seeds.select("hash", "item", "item_id").distinct(), "hash")
         .groupBy("mark", "item")
-        .agg(F.min("item_id").alias("item_id"), F.collect_set(F.col("place") - F.col("at")).alias("shifts"))
+        .agg(F.min("item_id").alias("item_id"))
     )
-    texts = pairs.join(hits.select("mark", "doc_id", "doc"), "mark")
+    texts = pairs.join(hits, "mark")
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
             for r in batch.to_pylist():
                 doc, item = np.frombuffer(r["doc"], np.uint64), np.frombuffer(r["item"], np.uint64)
-                equal, first, size = max(overlap(doc, item, s) for s in sorted(r["shifts"]))
+                if len(item) < LEAST:
+                    if r["doc"] == r["item"]:
+                        rows.append((r["mark"], r["doc_id"], r["item_id"], len(item), 0, len(item), 1.0))
+                    continue
+                shifts = alignments(np.array(r["hashes"], np.int64), np.array(r["places"], np.int64), item, len(doc))
+                equal, first, size = best_overlap(doc, item, shifts)
                 if counts(equal, len(item)):
                     rows.append((r["mark"], r["doc_id"], r["item_id"], equal, first, size, equal / len(item)))
             columns = list(zip(*rows, strict=True)) or [()] * 7

@@ -1,6 +1,7 @@
 """Spaced seeds: planted passages with replaced words, against brute force."""
 
 import random
+import time
 
 import numpy as np
 
@@ -83,7 +84,55 @@ def test_a_run_of_twelve_and_replaced_edges_count(spark, docs_of):
 def test_short_items(spark, docs_of):
     items = [(1, "seven words make up this short item"), (2, "too few words"), (3, None), (4, ""), (5, "seven words make up this short item")]
     docs = [(1, "x seven words make up this short item y"), (2, "seven words make up that short item"), (3, "too few words"), (4, None)]
-    assert _found(spark, docs_of, docs, items) == {(1, 1), (2, 1)}
+    assert _found(spark, docs_of, docs, items) == {(1, 1), (2, 1), (3, 2)}
+
+
+def test_items_of_one_to_three_words_match_whole_texts_only(spark, docs_of):
+    items = [(1, "Yes"), (2, "forty two"), (3, "just three words"), (4, "yes")]
+    docs = [(1, "yes."), (2, "Yes, yes"), (3, "FORTY two!"), (4, "forty two words"), (5, " just, three words"), (6, "not just three words"), (7, ""), (8, "no")]
+    assert _found(spark, docs_of, docs, items) == {(1, 1), (3, 2), (5, 3)}
+
+
+def test_random_texts_equal_a_comparison_of_all_alignments(spark, docs_of):
+    """Brute force: every item laid at every word of every text, the best run kept."""
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(draw.choices(words, k=draw.randint(1, 25)))) for i in range(25)]
+    docs = []
+    for i in range(60):
+        text = draw.choices(words, k=draw.randint(0, 40))
+        for _ in range(draw.randint(0, 2)):
+            copy = draw.choice(items)[1].split()
+            for k in draw.sample(range(len(copy)), len(copy) // 8):
+                copy[k] = "new"
+            at = draw.randint(0, len(text))
+            text[at:at] = copy
+        docs.append((i, " ".join(text)))
+    docs += [(100 + i, t) for i, t in items[:10]]
+    want = set()
+    for d, text in docs:
+        doc = np.array(decontaminate.words_of(text), np.uint64)
+        for i, item_text in items:
+            item = np.array(decontaminate.words_of(item_text), np.uint64)
+            if len(item) < decontaminate.LEAST:
+                if np.array_equal(doc, item):
+                    want.add((d, min(j for j, t in items if t == item_text)))
+            elif any(decontaminate.counts(decontaminate.overlap(doc, item, s)[0], len(item)) for s in range(1 - len(item), len(doc))):
+                want.add((d, min(j for j, t in items if t == item_text)))
+    assert want and _found(spark, docs_of, docs, items) == want
+
+
+def test_repetitive_texts_take_linear_time(spark, docs_of):
+    item = " ".join(["spam", "eggs"] * 20)
+    docs = [(1, "spam eggs " * 20_000), (2, "spam ham " * 20_000), (3, "eggs " * 40_000)]
+    start = time.perf_counter()
+    rows = decontaminate.leaks(docs_of(docs), _items(spark, [(1, item)])).collect()
+    assert [(r["doc_id"], r["matched"]) for r in rows] == [(1, 40)]
+    assert time.perf_counter() - start < 60
+    doc, words = (np.array(decontaminate.words_of(t), np.uint64) for t in ("spam eggs " * 20_000, item))
+    start = time.perf_counter()
+    assert decontaminate.best_overlap(doc, words, np.arange(-39, len(doc)))[0] == 40
+    assert time.perf_counter() - start < 10
 
 
 def test_one_share_decides_for_every_length(spark, docs_of):
