@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import arrow_map, bloom, free_name, passing, stored
+from starmill.operators.lookups import BroadcastBudget, left_lookup
 
 PERMUTATIONS, ROWS = 40, 4
 CHUNK_SETS, CHUNK_SHINGLES = 1024, 400_000  # average bounds of a chunk of a bucket
@@ -99,7 +100,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """Digest and set of the documents that ``wanted`` (``doc``) names, and of few others.
 
-    A Bloom filter of the ids, of fixed size, picks them, so the texts need no shuffle.
+    A Bloom filter of the ids, of bounded size, picks them, so the texts need no shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("doc").alias("hash"))))
 
@@ -213,6 +214,9 @@ def _links(members: DataFrame, docs: DataFrame, size: int, num: int, den: int) -
     return tiles.groupBy("band", "value", "a", "b").applyInArrow(compare, "u binary, v binary")
 
 
+BROADCAST = BroadcastBudget(rows=100_000, bytes=4 << 20)  # the largest lookup that is sent to every executor
+
+
 def connected(edges: DataFrame, label: str) -> DataFrame:
     """Columns ``node`` and ``root``: the smallest node of each linked node's component.
 
@@ -227,11 +231,12 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("m"))
-        up = both.join(least, both["u"] == least["at"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # The lookups spread a node with very many neighbours.
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("m")), label)
+        up = left_lookup(both.where("v > u"), least, {"at": F.col("u")}, BROADCAST).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         up = stored(up, label)
-        low = up.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), "m")
-        down = up.join(low, up["u"] == low["at"]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
+        low = stored(up.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), "m"), label)
+        down = left_lookup(up, low, {"at": F.col("u")}, BROADCAST).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
         edges = stored(down.select("e.*").where("u <> v").distinct(), label)
 
 

@@ -4,9 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starmill.llm import minmax
 from starmill.llm.queries import QUERIES
+from starmill.operators.lookups import BroadcastBudget
 
 
 def _brute(rows, size, num, den):
@@ -94,3 +96,13 @@ def test_query_equals_all_pairs(spark, table):
     rows = [(r["doc_id"], r["text"]) for r in table("documents").collect()]
     got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op6_min_max_groups"](spark, "/root/testdata/sf0.001").collect()}
     assert got == _brute(rows, 3, 85, 100)
+
+
+@pytest.mark.parametrize("budget", [minmax.BROADCAST, BroadcastBudget(rows=0)])
+def test_a_hub_with_very_many_neighbours(spark, monkeypatch, budget):
+    """A star of 100,000 edges and a few chains; one node's neighbours need not meet in one task."""
+    monkeypatch.setattr(minmax, "BROADCAST", budget)
+    star = spark.range(100_000).selectExpr("id + 1000 AS u", "999L AS v")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(5, 1500)], "u long, v long")
+    got = {(r.root, r.n) for r in minmax.connected(star.unionByName(chain), "hub").groupBy("root").agg(F.count("*").alias("n")).collect()}
+    assert got == {(0, 100_000 + 1 + 19), (20, 19), (40, 19)}
