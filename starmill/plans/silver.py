@@ -5,6 +5,8 @@ Every step is one projection; only the keep-latest steps move rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from starmill import fixed_values as fixed
@@ -137,10 +139,10 @@ def latest_items(df: DataFrame) -> DataFrame:
     return latest_per_key(df, LINE, [F.col(SOURCE_FILE).desc_nulls_last()], undecided_by=[INGESTED_AT])
 
 
-def latest_arrivals(df: DataFrame) -> DataFrame:
+def latest_arrivals(df: DataFrame, keys: Sequence[str] = LINE) -> DataFrame:
     """One row per order line: the one from the file that arrived last, of equal times the last by name."""
     order = [F.col(c).desc_nulls_last() for c in (ARRIVED_AT, SOURCE_FILE)]
-    return latest_per_key(df, LINE, order, undecided_by=[INGESTED_AT])
+    return latest_per_key(df, keys, order, undecided_by=[INGESTED_AT])
 
 
 def item_parsers() -> dict:

@@ -539,6 +539,10 @@ _STATEMENTS = {
     "incremental_landing": """
         SELECT dt, order_ts, customer_id, order_id, item_seq, product_id, quantity, unit_price_currency, unit_price,
                discount_pct, tax_amount, channel, coupon_code, drop_number FROM latest_arrivals """,
+    "merged_lines": """
+        SELECT dt, order_ts, customer_id, order_id, item_seq, product_id, quantity, unit_price_currency, unit_price,
+               discount_pct, tax_amount, channel, coupon_code, drop_number FROM latest_arrivals """,
+    "check_grain_bucketed": _union(*_keys("fact", "gld_fact_order_items", "transaction_id", "seq_no")),
     "fx_as_of": """
         SELECT order_id, item_seq, unit_price_currency, CAST(total_amount AS DOUBLE) AS total_amount,
                CAST(total_amount_inr AS DOUBLE) AS total_amount_inr FROM rated_then """,

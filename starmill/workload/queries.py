@@ -38,9 +38,10 @@ from starmill.plans.contracts import (
 )
 from starmill.plans.refresh import Layers, advisory_report, amounts_held, full_refresh, publish_gold, stage_dimensions
 from starmill.session import scratch_path, written
+from starmill.sinks.buckets import BucketedTable
 from starmill.sinks.history import HistoryTable
 from starmill.sinks.tables import publish, published
-from starmill.sources.files import INGESTED_AT, REJECTED, SOURCE_FILE, scan_csv, with_audit
+from starmill.sources.files import ARRIVED_AT, INGESTED_AT, REJECTED, SOURCE_FILE, scan_csv, with_audit
 from starmill.sources.literals import rate_lookup, region_lookup
 from starmill.streaming.landing import Landing, land_new_files
 from starmill.workload import raw
@@ -569,6 +570,12 @@ def _dying(publish, before: bool):
     return run
 
 
+def _drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items with the number of the drop that brings them, by the month that names their file."""
+    number = (F.substring("batch", 6, 2).cast("int") % 3 + 1).alias("drop_number")
+    return written(spark, raw.order_items(spark, sf_dir).select("*", number), "drops")
+
+
 @query
 def incremental_landing(spark, sf_dir):
     """Three drops landed as they arrive, with two runs that die on the way: each line's last arrival.
@@ -576,8 +583,7 @@ def incremental_landing(spark, sf_dir):
     Drops do not follow the months that name their files.
     """
     inbox, landing = scratch_path(spark, "inbox"), Landing(scratch_path(spark, "landed"), RAW["order_items"])
-    number = (F.substring("batch", 6, 2).cast("int") % 3 + 1).alias("drop_number")
-    rows = written(spark, raw.order_items(spark, sf_dir).select("*", number), "drops")
+    rows = _drops(spark, sf_dir)
     files = f"{inbox}/*/*/*.csv"
     for drop in (1, 2, 3):
         raw.drop_files(rows.where(F.col("drop_number") == drop).drop("drop_number"), f"{inbox}/{drop}", minute=drop)
@@ -589,6 +595,25 @@ def incremental_landing(spark, sf_dir):
     return silver.latest_arrivals(landing.read(spark)).select(*RAW["order_items"].names, arrived)
 
 
+@query
+def merged_lines(spark, sf_dir):
+    """The last arrival of each line again, by merging the drops into a stored table; one comes twice."""
+    kinds = T.StructType([*RAW["order_items"].fields, *[T.StructField(n, T.StringType()) for n in (SOURCE_FILE, INGESTED_AT)], T.StructField(ARRIVED_AT, T.IntegerType())])
+    table = BucketedTable(scratch_path(spark, "lines"), kinds, LINE, 16, silver.latest_arrivals)
+    rows = _drops(spark, sf_dir).withColumnsRenamed({"batch": SOURCE_FILE, "drop_number": ARRIVED_AT}).withColumn(INGESTED_AT, F.lit("now"))
+    for drop in (1, 2, 2, 3):
+        table.merge(rows.where(F.col(ARRIVED_AT) == drop))
+    return table.read(spark).select(*RAW["order_items"].names, F.col(ARRIVED_AT).alias("drop_number"))
+
+
+@query
+def check_grain_bucketed(spark, sf_dir):
+    """Grain and key nullity of a fact that is stored by line: the keys stay where they are."""
+    database = new_database(spark, "buckets")
+    publish(fact(spark, sf_dir), database, FACT, buckets=(8, FACT.grain))
+    return key_report(spark.table(f"{database}.{FACT.name}"), FACT.name, FACT.grain)
+
+
 def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates that change on some days of each month, moved up and down by the day."""
     day = F.col("o_orderdate").cast("date").alias("valid_from")
