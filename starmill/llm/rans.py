@@ -20,54 +20,51 @@ gives no segments; columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import accumulate, islice
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starmill.llm.bpe import byte_letters
-from starmill.llm.common import arrow_map, int_lists
+from starmill.llm.common import ROWS_AT_ONCE, arrow_map, int_lists
 from starmill.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
 SCALE = 20  # bits of the shared table: frequencies add up to 2**SCALE
 LOW = np.uint64(1 << 31)  # lower end of a lane's state
-LANES, STEPS = 2048, 128  # lanes of a block; steps of a stretch between two kept states
+LANES, STEPS = 4096, 128  # lanes of a block; steps of a stretch between two kept states
 BLOCK = LANES * STEPS * 2
-SEGMENT = 1 << 18  # ids after which a segment is closed, at the end of a document
-WORDS, PIECES_KEPT = 400_000, 600_000  # entries of a worker's caches before they start anew
-# Control characters that Python takes for white space and Unicode does not.
-ODD = "\x1c\x1d\x1e\x1f"
+SEGMENT = BLOCK  # ids after which a segment is closed, at the end of a document
+WORDS = 400_000  # entries of a worker's cache beyond which its older half goes
+# Control characters that Python takes for white space and Unicode does not, and the one that closes a piece here.
+ODD = "\x1c\x1d\x1e\x1f\x00"
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
-def _halve(cache: dict) -> None:
-    """Drop the older half of a cache's entries."""
-    for key in list(islice(cache, len(cache) // 2)):
-        del cache[key]
-
-
 class WordTokens(dict):
-    """Ids of a text by the tokenizers library, which sees each distinct piece once.
+    """Ids of a text as the tokenizers library gives them, with each distinct word encoded once.
 
     The vocabulary's rules drop white space and never join across it, so the ids of a text are
-    those of its words in turn.  This maps words to packed ids: a new word is normalized, cut
-    into pieces, and each new piece goes through the library's merges.  Below ``LATIN`` no two
-    characters combine, so normalizing only lower-cases; other words pass the library's
-    normalizer.  Words with a special token, and texts with odd control characters, go through
-    the library whole.  The caches are bounded.
+    those of its words in turn.  This maps words to packed ids.  New words of a batch are
+    normalized and cut into pieces, and all new pieces go through the vocabulary's merges at once:
+    a piece is closed by a NUL, whose merges with the byte before it come first and stand for the
+    vocabulary's word ends.  Below ``LATIN`` no two characters combine, so normalizing only
+    lower-cases; other words pass the library's normalizer.  Words with a special token, and texts
+    with odd control characters, go through the library whole.  The cache is bounded.
     """
 
     LATIN = "\u0250"
@@ -77,49 +74,59 @@ class WordTokens(dict):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.merges = self.library.model
-        self.letters = dict(enumerate(byte_letters()))
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.marks = {s[0] for s in self.special}
-        self.pieces: dict[str, bytes] = {}
+        back = {c: b for b, c in enumerate(byte_letters())}
+        suffix = json.loads(self.library.to_str())["model"]["end_of_word_suffix"]
+        ranks, self.closes = {}, np.zeros(self.library.get_vocab_size(with_added_tokens=True), bool)
+        for text, token in self.library.get_vocab(with_added_tokens=False).items():
+            closed = text.endswith(suffix)
+            ranks[bytes(map(back.__getitem__, text.removesuffix(suffix) if closed else text)) + (b"\0" if closed else b"")] = token
+            self.closes[token] = closed
+        self.merges = tiktoken.Encoding("pieces", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            text = piece.encode().decode("latin-1").translate(self.letters)
-            found = array("I", [t.id for t in self.merges.tokenize(text)]).tobytes()
-            if len(piece) <= 64:
-                if len(self.pieces) >= PIECES_KEPT:
-                    _halve(self.pieces)
-                self.pieces[piece] = found
-        return found
-
-    def __missing__(self, word: str) -> bytes:
-        if not self.marks.isdisjoint(word) and any(s in word for s in self.special):
-            return self._whole(word)
+    def _pieces(self, word: str) -> list[str]:
         text = word.lower() if word.isascii() or max(word) < self.LATIN else self.library.normalizer.normalize_str(word)
         if text.isalpha():  # one piece, by the first letter rule
-            found = self.pieces.get(text) or self._piece(text)
-        elif text[-1] in ".," and text[:-1].isalpha():
-            found = (self.pieces.get(text[:-1]) or self._piece(text[:-1])) + self._piece(text[-1])
-        else:
-            found = b"".join(map(self._piece, PIECES.findall(text)))
-        if len(word) <= 64:
-            if len(self) >= WORDS:
-                _halve(self)
-            self[word] = found
-        return found
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text as 32-bit integers."""
-        if not text:
-            return b""
-        if any(c in text for c in ODD):
-            return self._whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+            return [text]
+        if text[-1] in ".," and text[:-1].isalpha():
+            return [text[:-1], text[-1]]
+        return PIECES.findall(text)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words, which hold no odd character."""
+        plain, counts, pieces = [], [], []
+        for word in words:
+            if not self.marks.isdisjoint(word) and any(s in word for s in self.special):
+                self[word] = self._whole(word)
+                continue
+            own = self._pieces(word)
+            plain.append(word)
+            counts.append(len(own))
+            pieces += own
+        if pieces:
+            ids = self.merges.encode_to_numpy("\0".join(pieces) + "\0", disallowed_special=())
+            ends = np.r_[0, np.flatnonzero(self.closes[ids]) + 1] * 4
+            cuts, packed = ends[np.r_[0, np.cumsum(counts)]].tolist(), ids.astype(np.uint32).tobytes()
+            self.update(zip(plain, map(packed.__getitem__, map(slice, cuts, cuts[1:])), strict=False))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of many texts as 32-bit integers."""
+        if len(self) > WORDS:  # the older half goes
+            for word in list(islice(self, len(self) // 2)):
+                del self[word]
+        odd = [t is not None and any(c in t for c in ODD) for t in texts]
+        split = [[] if not t or o else t.split() for t, o in zip(texts, odd, strict=True)]
+        new = list(set(chain.from_iterable(split)).difference(self))
+        self._learn(new)
+        out = [self._whole(t) if o else b"".join(map(self.__getitem__, words)) for t, o, words in zip(texts, odd, split, strict=True)]
+        for word in new:
+            if len(word) > 64:
+                del self[word]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -158,16 +165,18 @@ class Coder:
         words: list[np.ndarray] = []
         counts = np.zeros(steps, np.int64)
         x = np.full(lanes, LOW, np.uint64)
-        scale, half = np.uint64(SCALE), np.uint64(32)
+        whole, half = np.uint64(1 << SCALE), np.uint64(32)
         for s in range(steps - 1, -1, -1):
             f = freq[s]
-            full = x >= limit[s]
-            out = x[full].astype(np.uint32)
-            words.append(out)
+            full = np.flatnonzero(x >= limit[s])
+            out = x[full]
+            words.append(out.astype(np.uint32))
             counts[s] = len(out)
-            x = np.where(full, x >> half, x)
+            x[full] = out >> half
             q = x // f
-            x = (q << scale) + (x - q * f) + first[s]
+            # The quotient moves up by the scale, the remainder stays: x + q * (2**SCALE - f).
+            x += q * (whole - f)
+            x += first[s]
             if s % STEPS == 0:
                 states[s // STEPS] = x
         stream = np.concatenate(words[::-1])
@@ -189,17 +198,21 @@ class Coder:
         steps = -(-n // lanes)
         out = np.empty((stretches, min(STEPS, steps), lanes), np.uint32)
         mask, scale, half = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32)
+        borders = np.arange(stretches + 1) * lanes
         for s in range(out.shape[1]):
             # The last stretch may be shorter; it then runs on over words that are not its own.
             slot = x & mask
             got = self.symbol[slot]
             out[:, s] = got
-            x = self.frequency[got] * (x >> scale) + slot - self.first[got]
-            low = x < LOW
-            rank = np.cumsum(low, axis=1)
-            word = stream[np.minimum(places[:, None] + rank - 1, size)]
-            x = np.where(low, (x << half) | word, x)
-            places += rank[:, -1]
+            x >>= scale
+            x *= self.frequency[got]
+            x += slot
+            x -= self.first[got]
+            low = np.flatnonzero(x.reshape(-1) < LOW)  # by stretch, then by lane
+            taken = np.diff(np.searchsorted(low, borders))
+            word = np.arange(len(low)) + np.repeat(places - (np.cumsum(taken) - taken), taken)
+            x.reshape(-1)[low] = (x.reshape(-1)[low] << half) | stream[np.minimum(word, size)]
+            places += taken
         ids = out.reshape(-1)[:n] if stretches == 1 else out.reshape(stretches * out.shape[1] * lanes)[:n]
         if zlib.crc32(np.ascontiguousarray(ids, "<u4")) != crc:
             raise ValueError("checksum of a block does not fit its ids")
@@ -269,10 +282,9 @@ def _segments(docs: DataFrame, path: str, end: int, symbols: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(x, kinds, strict=True)], names=names)
 
         for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                batch = whole.slice(first, 500)
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    ids = tokens.encode(text)
+            for first in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(first, ROWS_AT_ONCE)
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode_all(batch.column("text").to_pylist()), strict=True):
                     doc_ids.append(doc_id)
                     parts += [ids, stop]
                     lengths.append(len(ids) // 4 + 1)

@@ -26,18 +26,28 @@ def test_words_in_turn_equal_the_library_on_whole_texts():
     letters = [*"aaBé É'st \n\t\r\x1c\x85 　中١1½<|>!.́ſΣσK😀Ǻİ", "<|endoftext|>", "<|startoftext|>", "'ll", "가", "ᄀ", "ᅡ", "word ", "Word, "]
     texts = ["".join(draw.choices(letters, k=draw.randint(0, 16))) for _ in range(3000)]
     tokens = rans.WordTokens(PATH)
-    for text in texts:
-        assert np.frombuffer(tokens.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    for text, ids in zip(texts, tokens.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert tokens.encode_all([None, "", "  "]) == [b""] * 3
 
 
-def test_small_caches_change_nothing(monkeypatch):
+def test_merges_equal_the_library_on_every_token_and_on_random_words():
+    draw, library, tokens = random.Random(7), _library(), rans.WordTokens(PATH)
+    words = {library.id_to_token(i).removesuffix("</w>") for i in range(512, 49_406)}
+    words |= {"".join(draw.choices(draw.choice(["etaoinshrdlu", "abcdefghijklmnopqrstuvwxyz", "éèüßñaeiou", "анпроет", "日本語"]), k=draw.randint(1, 24))) for _ in range(60_000)}
+    words = sorted(w for w in words if w.strip())
+    for word, ids in zip(words, tokens.encode_all(words), strict=True):
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(word, add_special_tokens=False).ids, word
+
+
+def test_a_small_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(rans, "WORDS", 3)
-    monkeypatch.setattr(rans, "PIECES_KEPT", 2)
     draw, library, tokens = random.Random(3), _library(), rans.WordTokens(PATH)
     for _ in range(50):
-        text = " ".join(draw.choices(["a", "bc", "Bc,", "d.", "'s", "x1y", "é"], k=12))
-        assert np.frombuffer(tokens.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
-        assert len(tokens) <= 3 and len(tokens.pieces) <= 2
+        text = " ".join(draw.choices(["a", "bc", "Bc,", "d.", "'s", "x1y", "é", "l" * 70], k=12))
+        (ids,) = tokens.encode_all([text])
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(tokens) <= 3 + 8 and "l" * 70 not in tokens
 
 
 @pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 2047, 2048, 2049, 300_000, rans.BLOCK, rans.BLOCK + 1])
