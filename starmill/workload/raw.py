@@ -200,9 +200,19 @@ RELATIONS = {
 _written: dict[tuple, str] = {}
 
 
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the test tables' files, so that changed tables are derived anew."""
+    jvm, found = spark.sparkContext._jvm, []
+    for pattern in (f"{sf_dir}/*.parquet", f"{sf_dir}/*.parquet/*"):
+        at = jvm.org.apache.hadoop.fs.Path(pattern)
+        files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in files.globStatus(at) or []]
+    return tuple(sorted(found))
+
+
 def _once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
-    """The folder a writer filled, filled on first use per session and scale."""
-    wanted = (spark.conf.get("spark.app.id", ""), sf_dir, label)
+    """The folder a writer filled, filled on first use per session and state of the tables."""
+    wanted = (spark.conf.get("spark.app.id", ""), _state(spark, sf_dir), label)
     if wanted not in _written:
         path = scratch_path(spark, label)
         write(path)
