@@ -546,6 +546,10 @@ _STATEMENTS = {
     "fx_as_of": """
         SELECT order_id, item_seq, unit_price_currency, CAST(total_amount AS DOUBLE) AS total_amount,
                CAST(total_amount_inr AS DOUBLE) AS total_amount_inr FROM rated_then """,
+    "dim_customers_seeded": "SELECT * FROM customers_dim ",
+    "fx_as_of_seeded": """
+        SELECT order_id, item_seq, unit_price_currency, CAST(total_amount AS DOUBLE) AS total_amount,
+               CAST(total_amount_inr AS DOUBLE) AS total_amount_inr FROM rated_then """,
     "fx_as_of_shuffled": """
         SELECT order_id, item_seq, unit_price_currency, CAST(total_amount AS DOUBLE) AS total_amount,
                CAST(total_amount_inr AS DOUBLE) AS total_amount_inr FROM rated_then """,

@@ -43,6 +43,7 @@ from starmill.sinks.history import HistoryTable
 from starmill.sinks.tables import publish, published
 from starmill.sources.files import ARRIVED_AT, INGESTED_AT, REJECTED, SOURCE_FILE, scan_csv, with_audit
 from starmill.sources.literals import rate_lookup, region_lookup
+from starmill.sources.seeds import rate_seed, region_seed
 from starmill.streaming.landing import Landing, land_new_files
 from starmill.workload import raw
 
@@ -751,3 +752,20 @@ def _visible(spark: SparkSession, layers: Layers, refresh: int) -> DataFrame:
         for name, df in together.items()
     ]
     return written(spark, combined(*lines), f"visible-{refresh}")
+
+
+@query
+def dim_customers_seeded(spark, sf_dir):
+    """The customer dimension with regions from a seed file instead of code."""
+    folder = scratch_path(spark, "seeds")
+    regions(spark).coalesce(1).write.option("header", True).csv(folder)
+    return gold.dim_customers(clean(spark, sf_dir, "customers"), region_seed(spark, f"{folder}/*.csv"))
+
+
+@query
+def fx_as_of_seeded(spark, sf_dir):
+    """Rupee amounts by a history of rates that is kept as files."""
+    folder = scratch_path(spark, "seeds")
+    rate_history(spark, sf_dir).write.option("header", True).csv(folder)
+    converted = gold.with_reporting_amount(measured_items(spark, sf_dir), rate_seed(spark, f"{folder}/*.csv", dated=True))
+    return as_doubles(converted.select(*LINE, "unit_price_currency", "total_amount", "total_amount_inr"))
