@@ -621,7 +621,8 @@ def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = raw.table(spark, sf_dir, "orders").select(day).distinct().where(F.day("valid_from").isin(1, 11, 21))
     percent = F.expr("CAST(80 + (dayofyear(valid_from) * 7 + ascii(currency)) % 41 AS DECIMAL(3,0))")
     moved = (F.col("inr_rate") * percent * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(12,6)")
-    changing = days.join(F.broadcast(rates(spark))).withColumn("inr_rate", moved)
+    each = F.array(*[F.struct(F.lit(c).alias("currency"), F.lit(r).cast("decimal(12,6)").alias("inr_rate")) for c, r in fixed.INR_PER_UNIT.items()])
+    changing = days.select("valid_from", F.inline(each)).withColumn("inr_rate", moved)
     return changing.where("currency <> 'SGD' OR valid_from >= DATE'1995-01-01'").select("currency", "valid_from", "inr_rate")
 
 
@@ -744,13 +745,13 @@ def one_switch(spark, sf_dir):
 
 def _visible(spark: SparkSession, layers: Layers, refresh: int) -> DataFrame:
     """Rows of each gold table by its own name, and as the one record of the switch names it."""
-    together = published(spark, layers.gold)
-    lines = [
-        spark.table(f"{layers.gold}.{name}").agg(F.count(F.lit(1)).alias("row_count"))
-        .join(df.agg(F.count(F.lit(1)).alias("rows_together")))
-        .select(F.lit(refresh).alias("refresh"), F.lit(name).alias("table_name"), "row_count", "rows_together")
-        for name, df in together.items()
-    ]
+    lines = []
+    for name, together in published(spark, layers.gold).items():
+        sides = spark.table(f"{layers.gold}.{name}").select(F.lit(0).alias("side")).unionByName(together.select(F.lit(1).alias("side")))
+        lines.append(
+            sides.agg(F.count_if(F.col("side") == 0).alias("row_count"), F.count_if(F.col("side") == 1).alias("rows_together"))
+            .select(F.lit(refresh).alias("refresh"), F.lit(name).alias("table_name"), "row_count", "rows_together")
+        )
     return written(spark, combined(*lines), f"visible-{refresh}")
 
 
