@@ -266,9 +266,32 @@ def decode(tokens: DataFrame, ids: str = "ids", text: str = "decoded", path: str
     return arrow_map(tokens, make, _schema(tokens, text, "string"))
 
 
+def round_trip(docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", path: str | None = None) -> DataFrame:
+    """``docs`` with the ids of each text and the text that they decode to, in one pass.
+
+    The ids are decoded where they were made, so only one worker a task holds the vocabulary.
+    """
+    path, docs = path or public_tokenizers.path(VOCABULARY), docs.drop(ids, decoded)
+
+    def make():
+        words = vocabulary(path)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [words.encode(t) for t in batch.column(text).to_pylist()]
+            offsets = np.zeros(len(found) + 1, np.int32)
+            np.cumsum([len(b) // 4 for b in found], out=offsets[1:])
+            back = [words.decode(np.frombuffer(b, np.int32)).decode("utf-8", "replace") for b in found]
+            with_ids = _added(batch, ids, int_lists(np.frombuffer(b"".join(found), np.int32), offsets))
+            return _added(with_ids, decoded, pa.array(back, pa.string()))
+
+        return step
+
+    return arrow_map(docs, make, f"{_schema(docs, ids, 'array<int>')}, `{decoded}` string")
+
+
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: number of tokens, digest of the ids, digest of the decoded text."""
-    done = decode(encode(docs.select("doc_id", "text"), path=path).drop("text"), path=path)
+    done = round_trip(docs.select("doc_id", "text"), path=path)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -47,6 +47,8 @@ def test_edges(docs_of, edges):
     assert len(rows) == len(edges) and sum(r["n_tokens"] == 0 for r in rows) == 3
     named = bpe.decode(bpe.encode(docs_of(edges))).collect()  # a column ids is replaced
     assert all(r["decoded"] == (r["text"] or "") and r["key"] == b"x" for r in named)
+    at_once = bpe.round_trip(docs_of(edges)).collect()
+    assert sorted(map(str, at_once)) == sorted(map(str, named))
     assert bpe.digests(docs_of([])).collect() == []
 
 
