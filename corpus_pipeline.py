@@ -37,7 +37,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding gives its text back."""
-    done = bpe.decode(bpe.encode(docs.select("doc_id", "text")))
+    done = bpe.round_trip(docs.select("doc_id", "text"))
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("restored"))
 
 
