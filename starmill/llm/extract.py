@@ -4,36 +4,42 @@ A page is cut into leaf blocks: runs of text between block-level tags.  Each blo
 by its ancestor tags, their classes and ids, and by its text; the chain labels blocks as main
 text or not, and the best labelling is found by Viterbi.
 
-It is fitted on at most ``SAMPLE`` pages, chosen by hash of their id.  Their labels come from
-their own semantic markup: blocks in an article and in nothing that is never main text.  Since
-other pages mark the same parts by other tags and classes, every labelled page is also laid out
-anew (``LAYOUTS`` times) with other wrappers and with comments, notices, sidebars and forms.
+It is fitted on whole pages, in order of a hash of their id: at most ``SAMPLE`` of them and, after
+the first, at most ``LETTERS`` characters.  Their labels come from their own semantic markup:
+blocks in an article and in nothing that is never main text.  A class counts by its head word, so
+``share-price`` is a price; an article's own header belongs to it.  Since other pages mark the same
+parts by other tags and classes, every labelled page is also laid out anew (``LAYOUTS`` times)
+with other wrappers and with comments, notices, sidebars and forms.
 
-How it scales: each page is read, cut and labelled where it lies; nothing is shuffled, and the
-weights that are broadcast are bounded by the sample.
+How it scales: each page is read, cut and labelled where it lies, in time linear in its length
+however deep its tags are nested; nothing is shuffled, and the weights that are broadcast are
+bounded by the sample.
 
 Defined results: a NULL or empty page has an empty text; broken markup is read as far as it
-goes, as browsers do for unclosed tags; a page without main blocks has an empty text; repeated
-rows are treated alike; without pages to learn from the built-in layouts alone are learned.
+goes, as browsers do for unclosed tags; a ``>`` in a quoted attribute ends no tag; what follows a
+``<`` that no ``>`` ends is text; a page without main blocks has an empty text; repeated rows are
+treated alike; without pages to learn from the built-in layouts alone are learned.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import random
 import re
+from collections import Counter, defaultdict
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import arrow_map
 
 SAMPLE = 300  # pages used for fitting, at most
-LONGEST = 200_000  # characters of a page used for fitting
-BLOCKS = 100  # blocks of a page used for fitting
+LETTERS = 20_000_000  # characters of all pages used for fitting, at most
 LAYOUTS = 2
 STEPS, RATE, RIDGE = 150, 0.1, 2e-4
 
@@ -45,7 +51,8 @@ _SKIPPED = frozenset("script style title noscript template svg math iframe objec
 # Opening one of these closes an open one of the same group.
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = frozenset("ul ol dl table div section article body aside nav main form header footer".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|[^<]+|<", re.S)
+# A quoted value follows a "="; other quotes are plain characters.
+_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)>""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 # What markup says is never main text, by tag or by a word of a class or id.
@@ -55,20 +62,69 @@ _NEVER = frozenset(
 _MAIN = frozenset("article main content post entry story".split())
 
 
+# Words that only say what kind of box a class names; the word before them is its head.
+_BOX = frozenset("area bar block body bottom box container content group inner item items left links list main nav outer right row section site text title top widget wrap wrapper".split())
+
+
+class Node:
+    """An open element: what it adds to its ancestors."""
+
+    __slots__ = ("parent", "tag", "names", "fresh", "main", "never")
+
+    def __init__(self, parent: Node | None, tag: str, classes: Iterable[str], known: Container[str]):
+        self.parent, self.tag = parent, tag
+        words = [_WORD.findall(c.lower()) for c in classes]
+        self.names = (tag, *("." + w for c in words for w in c))
+        self.fresh = tuple(n for n in dict.fromkeys(self.names) if n not in known)  # not among the ancestors' names
+        main, never = (parent.main, parent.never) if parent else (False, False)
+        heads = {tag, *(next((w for w in reversed(c) if w not in _BOX), c[-1]) for c in words if c)}
+        if main:
+            heads.discard("header")  # an article's own
+        self.main = main or not _MAIN.isdisjoint({tag, *(w for c in words for w in c)})
+        self.never = never or not _NEVER.isdisjoint(heads)
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]  # tags and names of the ancestors, outermost first
+    node: Node | None  # the innermost element
     text: str
     linked: int = 0  # characters inside links
 
+    def nodes(self) -> Iterator[Node]:
+        node = self.node
+        while node is not None:
+            yield node
+            node = node.parent
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Tags and names of the ancestors, outermost first."""
+        return tuple(x for node in reversed(list(self.nodes())) for x in node.names)
+
+
+def placed(path: tuple[str, ...], text: str, linked: int = 0) -> Block:
+    """A block inside elements that are given as a path."""
+    node, known, i = None, set(), 0
+    while i < len(path):
+        j = i + 1
+        while j < len(path) and path[j][0] == ".":
+            j += 1
+        node = Node(node, path[i], path[i + 1 : j], known)
+        known |= set(node.names)
+        i = j
+    return Block(node, text, linked)
+
 
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order, character references decoded, white space folded."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Node] = []
+    places: dict[str, list[int]] = defaultdict(list)  # where a tag is open
+    scopes: list[int] = []
+    known: Counter[str] = Counter()  # names of open elements
     parts: list[str] = []
-    linked, links, at, path = 0, 0, 0, ()
+    linked, at, last = 0, 0, page.rfind(">")
 
     def flush() -> None:
         nonlocal linked
@@ -76,68 +132,89 @@ def blocks(page: str | None) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append(Block(path, text, linked))
+                out.append(Block(stack[-1] if stack else None, text, linked))
             parts.clear()
         linked = 0
 
     def cut(n: int) -> None:
-        nonlocal links, path
-        for tag, _ in stack[n:]:
-            links -= tag == "a"
+        for node in reversed(stack[n:]):
+            places[node.tag].pop()
+            if node.tag in _SCOPES:
+                scopes.pop()
+            for name in node.fresh:
+                del known[name]
         del stack[n:]
-        path = tuple(x for _, names in stack for x in names)
 
-    match = _TOKEN.match
+    def add(text: str) -> None:
+        nonlocal linked
+        parts.append(text)
+        if places["a"]:
+            linked += len(text)
+
     while at < len(page):
-        m = match(page, at)
-        at = m.end()
-        tag = m.group(2)
-        if tag is None:
-            text = m.group()
-            if text[0] != "<" or len(text) == 1:
-                parts.append(text)
-                if links:
-                    linked += len(text)
+        start = page.find("<", at)
+        if start != at:
+            add(page[at:] if start < 0 else page[at:start])
+            if start < 0:
+                break
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = len(page) if end < 0 else end + 3
+            continue
+        if start > last:  # nothing after this ends a tag
+            add(page[start:])
+            break
+        m = _TAG.match(page, start)
+        if m is None:
+            first = page[start + 1 : start + 2]
+            if first in ("!", "?") or first == "/" and not page[start + 2 : start + 3].isalpha():
+                at = page.find(">", start) + 1
+            elif first.isascii() and first.isalpha() or first == "/":
+                add(page[start:])  # its end, if any, is inside a quoted value
+                break
+            else:
+                add("<")
+                at = start + 1
             continue
-        tag = tag.lower()
+        at, tag = m.end(), m.group(2).lower()
         if tag in _BLOCK:
             flush()
         if m.group(1):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    cut(i)
-                    break
+            if places[tag]:
+                cut(places[tag][-1])
             continue
         if tag in _SKIPPED:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = _closing(tag).search(page, at)
+            at = page.find(">", end.end()) + 1 if end and end.end() <= last else len(page)
             continue
         if tag in _VOID:
             continue
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in _CLOSES.get(tag, ()):
-                cut(i)
-                break
-            if stack[i][0] in _SCOPES:
-                break
-        names = [tag]
-        if "=" in m.group(3):
-            for n in _NAMES.findall(m.group(3)):
-                names += ["." + w for w in _WORD.findall("".join(n).lower())]
-        stack.append((tag, tuple(names)))
-        path += tuple(names)
-        links += tag == "a"
+        # The innermost element that this tag closes, if no scope lies between.
+        closed = max((places[t][-1] for t in _CLOSES.get(tag, ()) if places[t]), default=-1)
+        if closed > (scopes[-1] if scopes else -1):
+            cut(closed)
+        classes = [c for n in _NAMES.findall(m.group(3)) for c in "".join(n).split()] if "=" in m.group(3) else []
+        node = Node(stack[-1] if stack else None, tag, classes, known)
+        known.update(dict.fromkeys(node.fresh, 1))
+        places[tag].append(len(stack))
+        if tag in _SCOPES:
+            scopes.append(len(stack))
+        stack.append(node)
     flush()
     return out
 
 
-def described(block: Block, i: int, n: int) -> list[str]:
-    """Features of a block: ancestors by tag and by name, shape of the text, place in the page."""
-    out = sorted({"in " + x for x in block.path})
-    own = next((x for x in reversed(block.path) if x[0] != "."), "")
+@functools.cache
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\b", re.I)
+
+
+def own_features(block: Block, i: int, n: int) -> list[str]:
+    """Features of a block besides its ancestors: shape of the text, place in the page."""
+    own = block.node.tag if block.node else ""
     words = block.text.count(" ") + 1
     link = 0 if not block.linked else 1 if block.linked * 2 < len(block.text) else 2
-    out += ["bias", f"own {own}", f"words {min(words.bit_length(), 8)}", f"links {link}", f"stop {block.text[-1] in '.!?…'}"]
+    out = ["bias", f"own {own}", f"words {min(words.bit_length(), 8)}", f"links {link}", f"stop {block.text[-1] in '.!?…'}"]
     if block.text[0] in "©℗®":
         out.append("rights")
     if i == 0 or i == n - 1:
@@ -145,13 +222,14 @@ def described(block: Block, i: int, n: int) -> list[str]:
     return out
 
 
+def described(block: Block, i: int, n: int) -> list[str]:
+    """All features of a block: ancestors by tag and by name, and its own."""
+    return sorted("in " + x for node in block.nodes() for x in node.fresh) + own_features(block, i, n)
+
+
 def labels(page: list[Block]) -> list[int]:
     """Labels by semantic markup: inside main text and inside nothing that never is."""
-    out = []
-    for b in page:
-        names = {x.lstrip(".") for x in b.path}
-        out.append(int(bool(names & _MAIN) and not names & _NEVER))
-    return out
+    return [int(b.node is not None and b.node.main and not b.node.never) for b in page]
 
 
 @dataclass
@@ -166,10 +244,23 @@ class Chain:
         if not page:
             return []
         weight, (a, b) = self.weights.get, self.pairs
+        sums: dict[int, float] = {}  # of an element and its ancestors, each worked out once
+
+        def inside(node: Node | None) -> float:
+            way = []
+            while node is not None and id(node) not in sums:
+                way.append(node)
+                node = node.parent
+            total = sums[id(node)] if node is not None else 0.0
+            for node in reversed(way):
+                total += sum(weight("in " + x, 0.0) for x in node.fresh)
+                sums[id(node)] = total
+            return total
+
         back: list[tuple[int, int]] = []
         zero = one = 0.0
         for i, block in enumerate(page):
-            e = sum(weight(f, 0.0) for f in described(block, i, len(page)))
+            e = inside(block.node) + sum(weight(f, 0.0) for f in own_features(block, i, len(page)))
             if i == 0:
                 zero, one = 0.0, e
                 continue
@@ -182,29 +273,28 @@ class Chain:
         return out[::-1]
 
 
-def fit(pages: list[tuple[list[Block], list[int]]]) -> Chain:
-    """Maximum likelihood with a ridge, by scaled gradient steps over all pages at once."""
-    pages = [(b[:BLOCKS], y[:BLOCKS]) for b, y in pages if b]
-    names: dict[str, int] = {}
-    cell, where = [], []
-    length = max(len(b) for b, _ in pages)
-    gold = np.zeros((len(pages), length))
-    real = np.zeros((len(pages), length), bool)
-    for p, (page, y) in enumerate(pages):
-        for i, block in enumerate(page):
-            for f in described(block, i, len(page)):
-                cell.append(names.setdefault(f, len(names)))
-                where.append(p * length + i)
-            gold[p, i], real[p, i] = y[i], True
-    cells, places = np.array(cell), np.array(where)
-    theta = np.zeros(len(names) + 4)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    both = real[:, 1:] & real[:, :-1]
-    seen = np.array([((gold[:, :-1] == x) & (gold[:, 1:] == y) & both).sum() for x in (0, 1) for y in (0, 1)])
-    total = real.sum()
-    for step in range(1, STEPS + 1):
-        e = np.bincount(places, weights=theta[cells], minlength=gold.size).reshape(gold.shape)
-        t = theta[-4:].reshape(2, 2)
+class _Group:
+    """Pages of similar length, padded to the longest."""
+
+    def __init__(self, pages: list[tuple[list[Block], list[int]]], names: dict[str, int]):
+        shape = len(pages), max(len(b) for b, _ in pages)
+        self.gold, self.real = np.zeros(shape), np.zeros(shape, bool)
+        cell, where = [], []
+        for p, (page, y) in enumerate(pages):
+            for i, block in enumerate(page):
+                own = [names.setdefault(f, len(names)) for f in described(block, i, len(page))]
+                cell += own
+                where += [p * shape[1] + i] * len(own)
+                self.gold[p, i], self.real[p, i] = y[i], True
+        self.cells, self.places = np.array(cell), np.array(where)
+        both = self.real[:, 1:] & self.real[:, :-1]
+        self.seen = np.array([((self.gold[:, :-1] == x) & (self.gold[:, 1:] == y) & both).sum() for x in (0, 1) for y in (0, 1)])
+
+    def gradient(self, theta: np.ndarray) -> np.ndarray:
+        """Expected minus observed counts, by forward and backward sums."""
+        gold, real = self.gold, self.real
+        e = np.bincount(self.places, weights=theta[self.cells], minlength=gold.size).reshape(gold.shape)
+        t, length = theta[-4:].reshape(2, 2), gold.shape[1]
         scores = np.stack([np.zeros_like(e), e], axis=2)
         fwd = np.zeros_like(scores)
         fwd[:, 0] = scores[:, 0]
@@ -222,9 +312,24 @@ def fit(pages: list[tuple[list[Block], list[int]]]) -> Chain:
             expected += pair[real[:, i + 1]].sum(axis=0).reshape(-1)
         main = np.where(real, np.exp(fwd[:, :, 1] + bwd[:, :, 1] - z[:, None]), 0)
         grad = np.empty_like(theta)
-        grad[:-4] = np.bincount(cells, weights=(main - gold).reshape(-1)[places], minlength=len(names)) / total
-        grad[-4:] = (expected - seen) / total
-        grad += RIDGE * theta
+        grad[:-4] = np.bincount(self.cells, weights=(main - gold).reshape(-1)[self.places], minlength=len(theta) - 4)
+        grad[-4:] = expected - self.seen
+        return grad
+
+
+def fit(pages: list[tuple[list[Block], list[int]]]) -> Chain:
+    """Maximum likelihood with a ridge, by scaled gradient steps over all pages at once."""
+    by_length: dict[int, list] = defaultdict(list)
+    for b, y in pages:
+        if b:
+            by_length[len(b).bit_length()].append((b, y))
+    names: dict[str, int] = {}
+    groups = [_Group(some, names) for _, some in sorted(by_length.items())]
+    total = sum(g.real.sum() for g in groups)
+    theta = np.zeros(len(names) + 4)
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    for step in range(1, STEPS + 1):
+        grad = sum(g.gradient(theta) for g in groups) / total + RIDGE * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     t = theta[-4:].tolist()
@@ -254,7 +359,7 @@ def layout(page: list[Block], gold: list[int], other: list[str], draw: random.Ra
         path = root + inside + draw.choice(_WRAPPERS[kind])
         for t in texts:
             if t:
-                out.append(Block(path + ((tag,) if tag else ()) + (("a",) if linked else ()), t, len(t) if linked else 0))
+                out.append(placed(path + ((tag,) if tag else ()) + (("a",) if linked else ()), t, len(t) if linked else 0))
                 y.append(int(kind == "main"))
 
     def some(k: int) -> list[str]:
@@ -273,8 +378,8 @@ def layout(page: list[Block], gold: list[int], other: list[str], draw: random.Ra
     main, inner = root + draw.choice(_WRAPPERS["main"]), draw.random() < 0.4
     texts = [b for b, g in zip(page, gold, strict=True) if g]
     for i, b in enumerate(texts):
-        own = next((x for x in reversed(b.path) if x[0] != "."), "p")
-        out.append(Block(main + (own if own in ("p", "h1", "h2", "h3", "li", "td", "pre") else "p",), b.text, b.linked))
+        own = b.node.tag if b.node else "p"
+        out.append(placed(main + (own if own in ("p", "h1", "h2", "h3", "li", "td", "pre") else "p",), b.text, b.linked))
         y.append(1)
         if inner and i == len(texts) // 2:
             add(draw.choice(["advert", "sidebar", "form", "notice"]), some(1), "p", inside=main[len(root) :])
@@ -285,19 +390,23 @@ def layout(page: list[Block], gold: list[int], other: list[str], draw: random.Ra
 
 
 _BUILT_IN = [
-    Block(("html", "body", "nav", "ul", "li", "a"), "Home", 4),
-    Block(("html", "body", "article", "h1"), "A heading of the page"),
-    Block(("html", "body", "article", "p"), "A paragraph of main text, with a few sentences. It ends here."),
-    Block(("html", "body", "footer"), "© The owners of the page"),
+    placed(("html", "body", "nav", "ul", "li", "a"), "Home", 4),
+    placed(("html", "body", "article", "h1"), "A heading of the page"),
+    placed(("html", "body", "article", "p"), "A paragraph of main text, with a few sentences. It ends here."),
+    placed(("html", "body", "footer"), "© The owners of the page"),
 ]
 
 
-def train(pages: DataFrame, sample: int = SAMPLE) -> Chain:
-    """Fit on at most ``sample`` pages with main text by their markup."""
+def train(pages: DataFrame, sample: int = SAMPLE, letters: int = LETTERS) -> Chain:
+    """Fit on at most ``sample`` whole pages with main text by their markup."""
     total = max(1, pages.count())
     share = min(1 << 30, int((1 << 30) * sample / total))
-    picked = pages.where((F.pmod(F.xxhash64("page_id", F.lit(3)), F.lit(1 << 30)) < share) & (F.length("html") < LONGEST))
-    cut = [blocks(r["html"]) for r in picked.select("page_id", "html").orderBy("page_id", "html").limit(sample).collect()]
+    place = F.pmod(F.xxhash64("page_id", F.lit(3)), F.lit(1 << 30))
+    first = pages.where(place < share).select("html", F.length("html").alias("n"), place.alias("place")).orderBy("place", "n", "html").limit(sample)
+    before = F.sum(F.coalesce("n", F.lit(0))).over(Window.orderBy("place", "n", "html").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # At most ``sample`` rows; the first page counts whatever its length.
+    kept = first.withColumn("sum", before).where((F.col("sum") <= letters) | (F.col("sum") == F.col("n")))
+    cut = [blocks(r["html"]) for r in kept.select("html").collect()]
     known = [(b, labels(b)) for b in [_BUILT_IN, *cut]]
     known = [(b, y) for b, y in known if any(y)]
     draw = random.Random(4)

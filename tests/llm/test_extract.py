@@ -4,6 +4,9 @@ import html
 import itertools
 import random
 import re
+import time
+
+import numpy as np
 
 from starmill.llm import extract
 from starmill.llm.queries import QUERIES
@@ -30,6 +33,106 @@ def test_any_text_is_cut_without_failing():
     assert len(extract.blocks("<p>word " * 20_000)) == 20_000
 
 
+def test_quoted_marks_end_no_tag():
+    for page, text in (
+        ('<article><p title="a > b">Hi there</p></article>', "Hi there"), ("<article><p a=1 title = 'x>y' b>Hi</p>", "Hi"),
+        ('<article><p title="open>Hi</p>', "Hi"), ("<article><p don't>Hi isn't</p>", "Hi isn't"), ("<article>1 < 2 <b>x</b> <", "1 < 2 x <"),
+        ("<article>a <b c", "a <b c"), ("<article>x<!-- > -->y<?php 1 ?>z</ >", "xyz"), ("<article>a<script>'</p>'</SCRIPT >b", "ab"), ("<article>a<style>b", "a"),
+    ):
+        assert " ".join(b.text for b in extract.blocks(page)) == text, page
+
+
+def test_labels_by_head_word_and_own_header():
+    page = "<article><header><h1>Head</h1></header><p class=share-price>12.50</p><div class='comment-list'>No</div><p class=cookie-recipe>Bake</p><footer>By us</footer></article><div class=site-header>Top</div>"
+    cut = extract.blocks(page)
+    assert [(b.text, y) for b, y in zip(cut, extract.labels(cut), strict=True)] == [("Head", 1), ("12.50", 1), ("No", 0), ("Bake", 1), ("By us", 0), ("Top", 0)]
+
+
+def test_long_and_deep_pages_take_linear_time():
+    pages = ["<div>x" * 50_000, "<a <a " * 50_000, "<p x='>" * 30_000, "<!x" * 50_000, "<script></script" * 30_000 + ">", "<span>" * 50_000 + "</p>" * 50_000,
+             "<li><ul>" + "<span>" * 30_000 + "<li>x</li>" * 30_000, "<div class=a><b>" * 30_000 + "x", '<p x=">" ' * 30_000, "".join(f"<div class=c{i}>x" for i in range(20_000))]
+    chain = extract.Chain({"bias": 1.0, "in div": 0.5})
+    for page in pages:
+        start = time.perf_counter()
+        cut = extract.blocks(page)
+        assert len(chain.label(cut)) == len(cut)
+        assert time.perf_counter() - start < 3, page[:30]
+    assert len(extract.blocks(pages[0])) == 50_000
+
+
+def test_elements_are_tracked_like_a_plain_stack():
+    """Which elements are open, against a stack that is searched for every tag."""
+    draw = random.Random(12)
+    tags = ["p", "li", "ul", "td", "tr", "table", "div", "b", "a", "option", "section"]
+    for _ in range(300):
+        page, stack, want = [], [], []
+        for i in range(30):
+            tag = draw.choice(tags)
+            if draw.random() < 0.3:
+                page.append(f"</{tag}>")
+                if tag in stack:
+                    del stack[len(stack) - 1 - stack[::-1].index(tag) :]
+            else:
+                page.append(f"<{tag}>")
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k] in extract._CLOSES.get(tag, ()):
+                        del stack[k:]
+                        break
+                    if stack[k] in extract._SCOPES:
+                        break
+                stack.append(tag)
+            page.append(f"<h1>w{i}</h1>")
+            want.append((f"w{i}", (*stack, "h1")))
+        assert [(b.text, b.path) for b in extract.blocks("".join(page))] == want
+
+
+def test_fit_reads_whole_pages(monkeypatch):
+    """Footers after hundreds of blocks are learned, in pages of very different length."""
+    page = lambda n: extract.blocks("<article>" + "<p>Some words that end here.</p>" * n + "</article><div class=footer>All rights</div>")
+    cut = [(b, extract.labels(b)) for b in map(page, (1, 3, 50, 400))]
+    chain = extract.fit(cut)
+    assert all(chain.label(b) == y for b, y in cut) and chain.weights["last"] < 0
+
+
+def test_gradient_of_the_chain_equals_finite_differences():
+    cut = [(b, extract.labels(b)) for b in map(extract.blocks, ("<nav>a</nav><article><p>b c.</p></article>", "<article>x</article><footer>y</footer><p>z</p>"))]
+    names = {}
+    group = extract._Group(cut, names)
+    theta = np.random.default_rng(2).normal(size=len(names) + 4)
+
+    def loss(t):
+        """Negative log-likelihood over all labellings."""
+        out = 0.0
+        for page, y in cut:
+            def score(z, page=page):
+                own = sum(t[names[f]] for i, b in enumerate(page) if z[i] for f in extract.described(b, i, len(page)))
+                return own + sum(t[len(names) + 2 * a + b] for a, b in itertools.pairwise(z))
+            out += np.logaddexp.reduce([score(z) for z in itertools.product((0, 1), repeat=len(page))]) - score(y)
+        return out
+
+    grad = group.gradient(theta)
+    for k in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[k] = 1e-6
+        assert abs((loss(theta + step) - loss(theta - step)) / 2e-6 - grad[k]) < 1e-5
+
+
+def test_held_out_wrappers(table, monkeypatch):
+    """Learned without one kind of wrapper for each part of a page, judged on pages that have only those."""
+    pages = [r["html"] for r in table("pages").orderBy("page_id").collect()]
+    whole = extract._WRAPPERS
+    monkeypatch.setattr(extract, "_WRAPPERS", {k: v[1:] for k, v in whole.items()})
+    chain, cut, texts = _learned(pages[: len(pages) // 2])
+    monkeypatch.setattr(extract, "_WRAPPERS", {k: v[:1] for k, v in whole.items()})
+    draw, wrong, total = random.Random(2), 0, 0
+    for page, y in [(extract.blocks(p), extract.labels(extract.blocks(p))) for p in pages[len(pages) // 2 :]]:
+        laid, gold = extract.layout(page, y, texts, draw)
+        wrong += sum(a != b for a, b in zip(chain.label(laid), gold, strict=True))
+        total += len(gold)
+    print(f"wrong on held-out wrappers: {wrong / total:.3f}")
+    assert wrong / total < 0.15
+
+
 def test_viterbi_equals_all_labellings():
     page = extract.blocks("<nav>a</nav><p>b c.</p><div class=ad>d</div><p>e</p><footer>f</footer>")
     draw = random.Random(1)
