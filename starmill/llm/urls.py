@@ -2,13 +2,16 @@
 
 Hosts glue words together.  A unigram model splits each host label into the words that are most
 probable together (Viterbi); a multinomial naive Bayes model then scores the words of host and
-path.  It learns from the URLs that a rule decides.
+path.  It learns from the URLs that a rule decides.  The labels and path parts that rules are
+made of are left out, in learning and in scoring: they would only teach the rules once more.
 
 How it scales: the word model is counted over all page texts, but never gathered: the pieces of
-the distinct host labels (at most ``LONGEST`` letters each) are joined with the word counts, so
-each label gets the counts it needs.  Naive Bayes counts go to ``BUCKETS`` hashed buckets, a
-fixed bound for what is broadcast.  Rules are matched by the suffixes of the host, so their
-number does not matter: they are joined by host suffix, and the longest fitting one wins.
+the distinct host labels are joined with the word counts, so each label gets the counts it needs.
+Words of more than ``LONGEST`` letters are not in the word model, so a label has pieces in
+proportion to its length; labels themselves are read whole.  Naive Bayes counts go to ``BUCKETS``
+hashed buckets, a fixed bound for what is broadcast.  Rules are joined by host suffix, and the
+longest fitting one wins; they are what is broadcast, up to a measured size.  What belongs to a
+host or a place is looked up by joins that spread frequent keys.
 
 Defined results: a NULL URL or one without ``://`` has empty host and path; ties between classes
 go to ``allow``; a class without examples never wins; repeated rows get equal verdicts; among
@@ -28,12 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import arrow_map, stored
+from starmill.operators.lookups import BroadcastBudget, left_lookup
 
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-LONGEST = 20  # letters of a word
-LABEL = 63  # letters of a host label, by the rules of domain names
+LONGEST = 20  # letters of a word of the word model
 BUCKETS = 1 << 16
-PAGE_LETTERS = 1 << 16
+BROADCAST = BroadcastBudget(rows=20_000, bytes=2 << 20)  # the largest lookup that is sent to every executor
 _WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -54,8 +57,10 @@ def located(pages: DataFrame) -> DataFrame:
 
 def ruled(urls: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """``urls`` with the longest fitting ``rule`` and its ``ruling``; NULL where none fits."""
-    spark = urls.sparkSession
-    table = spark.createDataFrame([(r, v, r.split("/", 1)[0], "/" + r.split("/", 1)[1]) for v, r in rules], "rule string, ruling string, rule_host string, rule_path string").distinct()
+    kinds = "rule string, ruling string, rule_host string, rule_path string"
+    table = urls.sparkSession.createDataFrame(sorted({(r, v, r.split("/", 1)[0], "/" + r.split("/", 1)[1]) for v, r in rules}), kinds)
+    if BROADCAST.admits(table):
+        table = F.broadcast(table)
     parts = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
     places = urls.select("host", "path").distinct()
@@ -67,7 +72,13 @@ def ruled(urls: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFram
         .agg(F.max(F.struct(F.length("rule"), F.length("rule_host"), "rule", "ruling")).alias("best"))
         .select("host", "path", "best.rule", "best.ruling")
     )
-    return urls.join(fits, ["host", "path"], "left")
+    return left_lookup(urls, fits, {"host": F.col("host"), "path": F.col("path")}, BROADCAST)
+
+
+def parts_of(rules: Sequence[tuple[str, str]]) -> tuple[list[str], list[str]]:
+    """The host labels and the path words that rules are made of."""
+    hosts, paths = zip(*(r.split("/", 1) for _, r in rules), strict=True) if rules else ((), ())
+    return sorted({x for h in hosts for x in h.split(".")}), sorted({w for p in paths for w in _WORDS.findall(p.lower())})
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
@@ -112,10 +123,13 @@ def split_word(label: str, counts: dict[str, int], total: int) -> list[str]:
     return out[::-1]
 
 
-def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """``host`` and its ``words``, in order; the last label, which names no site, stays whole."""
-    labels = hosts.select("host").distinct().select("host", F.posexplode(F.split("host", r"\.")).alias("i", "label"), F.size(F.split("host", r"\.")).alias("labels"))
-    names = labels.select(F.col("label").substr(1, LABEL).alias("name")).distinct().where("name RLIKE '[a-z]'")
+def segmented(hosts: DataFrame, counts: DataFrame, ruled_labels: Sequence[str] = ()) -> DataFrame:
+    """``host``, its ``words`` in order, and ``own``, those of labels that no rule is made of.
+
+    The last label, which names no site, stays whole.
+    """
+    labels = hosts.select("host").distinct().select("host", F.posexplode(F.split("host", r"\.")).alias("i", "name"), F.size(F.split("host", r"\.")).alias("labels"))
+    names = labels.select("name").distinct().where("name RLIKE '[a-z]'")
     letters = F.char_length("name")
     pieces = (
         names.withColumn("start", F.explode(F.sequence(F.lit(1), letters)))
@@ -138,24 +152,26 @@ def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
         return step
 
     split = arrow_map(known, make, "name string, split array<string>")
-    whole = F.when((F.col("i") == F.col("labels") - 1) | F.col("split").isNull(), F.array("label")).otherwise(F.col("split"))
-    rows = labels.withColumn("name", F.col("label").substr(1, LABEL)).join(split, "name", "left").select("host", "i", whole.alias("split"))
-    return rows.groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("i", "split"))), lambda x: x["split"])).alias("words"))
+    whole = F.when((F.col("i") == F.col("labels") - 1) | F.col("split").isNull(), F.array("name")).otherwise(F.col("split"))
+    rows = left_lookup(labels, split, {"name": F.col("name")}, BROADCAST).select("host", F.struct("i", whole.alias("split"), (~F.col("name").isin(list(ruled_labels))).alias("own")).alias("label"))
+    by_host = rows.groupBy("host").agg(F.array_sort(F.collect_list("label")).alias("all"))
+    words = lambda labels: F.flatten(F.transform(labels, lambda x: x["split"]))
+    return by_host.select("host", words(F.col("all")).alias("words"), words(F.filter("all", lambda x: x["own"])).alias("own"))
 
 
-def marks(words: list[str] | None, path: str) -> list[int]:
+def marks(words: list[str] | None, path: str, ruled_words: frozenset[str] = frozenset()) -> list[int]:
     """Buckets of the words of a host and a path; numbers count by their length only."""
     out = [f"h {w}" for w in words or [] if w]
-    out += [f"p {w}" if w[0].isalpha() else f"p #{len(w)}" for w in _WORDS.findall(path.lower())]
+    out += [f"p {w}" if w[0].isalpha() else f"p #{len(w)}" for w in _WORDS.findall(path.lower()) if w not in ruled_words]
     return [xxhash.xxh3_64_intdigest(w) % BUCKETS for w in out]
 
 
-def _with_marks(rows: DataFrame) -> DataFrame:
-    """Columns ``host``, ``path``, ``words`` and what else is there, with ``marks``."""
+def _with_marks(rows: DataFrame, ruled_words: frozenset[str]) -> DataFrame:
+    """Columns ``own``, ``path`` and what else is there, with ``marks``."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [marks(w, p) for w, p in zip(batch.column("words").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+            found = [marks(w, p, ruled_words) for w, p in zip(batch.column("own").to_pylist(), batch.column("path").to_pylist(), strict=True)]
             return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, "marks"])
 
         return step
@@ -182,8 +198,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
     urls = located(pages)
     places = stored(ruled(urls.select("host", "path").distinct(), rules), "url-places")
     counts = stored(word_counts(pages), "url-words")
-    words = stored(segmented(places, counts), "url-hosts")
-    marked = stored(_with_marks(urls.join(places, ["host", "path"]).join(words, "host", "left").select("page_id", "host", "path", "rule", "ruling", "words")), "url-marks")
+    ruled_labels, ruled_words = parts_of(rules)
+    words = stored(segmented(places, counts, ruled_labels), "url-hosts")
+    looked_up = left_lookup(urls.drop("url"), places, {"host": F.col("host"), "path": F.col("path")}, BROADCAST)
+    looked_up = left_lookup(looked_up, words, {"host": F.col("host")}, BROADCAST).select("page_id", "host", "path", "rule", "ruling", "words", "own")
+    marked = stored(_with_marks(looked_up, frozenset(ruled_words)), "url-marks")
     odds, prior = train(marked)
     shared = pages.sparkSession.sparkContext.broadcast((odds, prior))
 

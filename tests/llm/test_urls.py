@@ -74,6 +74,49 @@ def test_naive_bayes_learns_from_the_rules(spark):
     assert got[1000] == "block" and got[1001] == "allow"
 
 
+def test_parts_of_rules_are_no_evidence(spark):
+    """With rules that only their own words tell apart, undecided URLs get the larger class."""
+    rows = [(i, f"http://a{'bcd'[i % 3]}.{'com' if i % 3 else 'net'}/{'x' if i % 3 else 'es'}/{i}", "") for i in range(300)]
+    rows += [(1000 + i, f"http://z.{end}/{part}/1", "") for i, (end, part) in enumerate([("net", "en"), ("example", "es"), ("org", "fr")])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in urls.judge(pages, urls.RULES[:1] + urls.RULES[3:]).collect()}
+    assert {got[i]["verdict"] for i in (1000, 1001, 1002)} == {"allow"} and len({round(got[i]["block_odds"], 9) for i in (1000, 1001, 1002)}) == 1
+    assert urls.parts_of(urls.RULES) == (["com", "example", "net", "www"], ["en", "es", "fr"])
+
+
+def test_long_labels_are_read_whole(spark):
+    word, page = "k" * 70, "casino garden"
+    rows = [(i, f"http://{word}{'casino' if i % 2 else 'garden'}.{'net' if i % 2 else 'com'}/{'es' if i % 2 else 'x'}/{i}", page) for i in range(100)]
+    rows += [(1000, f"http://{word}casino.org/", page), (1001, f"http://{word}garden.org/", page)]
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1000]["words"][-2] == "casino" and got[1000]["verdict"] == "block" and got[1001]["verdict"] == "allow"
+
+
+def test_rules_are_broadcast_and_not_hosts(spark, tmp_path):
+    spark.range(1000).selectExpr("concat('h', id, '.com') AS host", "'/' AS path").write.parquet(f"{tmp_path}/hosts")
+    plan = urls.ruled(spark.read.parquet(f"{tmp_path}/hosts"))._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "rule_host" in line and "Join" in line)
+    assert "BroadcastHashJoin" in join and "BuildRight" in join
+
+
+def test_held_out_hosts_beat_the_larger_class(spark, table):
+    """Learned from half of the ruled hosts of the table, with words that occur in both halves."""
+    draw, topics = random.Random(6), {"block": ["casino", "bets", "pills"], "allow": ["garden", "news", "school"]}
+    rows, truth, page = [], {}, " ".join(sum(topics.values(), [])) + " city best my"
+    for i in range(800):
+        kind = draw.choice(["block", "allow", "allow"])
+        words = [draw.choice(topics[kind if draw.random() < 0.9 else draw.choice(list(topics))]), draw.choice(["city", "best", "my"])]
+        held_out = i % 2
+        end = "org" if held_out else "net" if kind == "block" else "com"
+        rows.append((i, f"http://{''.join(draw.sample(words, 2))}{i % 37}.{end}/{'es' if kind == 'block' else 'de'}/", page))
+        if held_out:
+            truth[i] = kind
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    right = sum(got[i] == kind for i, kind in truth.items()) / len(truth)
+    larger = max(sum(k == kind for k in truth.values()) for kind in topics) / len(truth)
+    assert right > larger + 0.15 and right > 0.85
+
+
 def test_query_equals_brute_force(spark, table):
     got = {r["page_id"]: r for r in QUERIES["op1_url_words"](spark, "/root/testdata/sf0.001").collect()}
     for r in table("pages").collect():
@@ -81,3 +124,8 @@ def test_query_equals_brute_force(spark, table):
         found = got.pop(r["page_id"])
         assert (found["host"], found["path"], found["rule"]) == (host, path, rule) and found["verdict"] == (verdict or found["verdict"])
     assert not got
+
+
+def test_verdicts_vary_where_no_rule_decides(spark):
+    rows = QUERIES["op1_url_words"](spark, "/root/testdata/sf0.01").where("rule IS NULL").groupBy("verdict").count().collect()
+    assert {r["verdict"] for r in rows} == {"allow", "block"}
