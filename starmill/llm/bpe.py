@@ -17,6 +17,7 @@ import json
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -36,7 +37,7 @@ PIECES = regex.compile(
 )
 # Where a blank is followed by white space or the end, cutting at blanks could split a piece.
 UNSAFE = regex.compile(rf" (?:[{SPACE}]|\Z)")
-CACHED = 150_000  # entries of a worker's cache before it starts anew; only speed depends on it
+CACHED = 150_000  # entries of a worker's cache before its older half goes; only speed depends on it
 
 
 def byte_letters() -> list[str]:
@@ -52,6 +53,12 @@ def byte_letters() -> list[str]:
     return letters
 
 
+def _halve(cache: dict) -> None:
+    """Drop the older half of a cache."""
+    for key in list(islice(cache, len(cache) // 2)):
+        del cache[key]
+
+
 class _AfterBlank(dict):
     """Packed ids of words that follow a blank, found once each; bounded."""
 
@@ -63,7 +70,7 @@ class _AfterBlank(dict):
         found = self.encode(" " + word)
         if len(word) <= 64:
             if len(self) >= CACHED:
-                self.clear()
+                _halve(self)
             self[word] = found
         return found
 
@@ -91,6 +98,8 @@ class Vocabulary:
             self.parts[token] = (ids[left], ids[right])
             self.merged[ids[left], ids[right]] = token
         self.ids = ids
+        if not all(c in ids for c in letters):
+            raise ValueError("the vocabulary must hold every single byte")
         self.automaton = ahocorasick.Automaton()
         self.length = [0] * size
         for text, token in ids.items():
@@ -148,44 +157,53 @@ class Vocabulary:
         whole = self.ids.get(text)
         if whole is not None:
             return [whole]
-        longest = [-1] * (len(text) + 1)
-        for end, (token, n) in self.automaton.iter(text):
-            longest[end + 1 - n] = token  # matches come by their end: the last one is the longest
-        length, shorter, stay_apart = self.length, self.shorter, self.stay_apart
-        open_at = bytearray(b"\1") * (len(text) + 1)
+        n, longest_from = len(text), self.automaton.iter_long
+        longest = [-1] * n
+        for end, (token, size) in longest_from(text):  # one after the other, from the start
+            longest[end + 1 - size] = token
+        length, shorter, apart = self.length, self.shorter, self.apart
+        closed: set[int] = set()  # places that were given up
         out: list[int] = []
-        at, token = 0, longest[0]
-        while token != -1:
-            end = at + length[token]
-            if open_at[end] and (not out or stay_apart(out[-1], token)):
+        at, last, token = 0, -1, longest[0]
+        while True:
+            fits = True
+            if last >= 0:
+                fits = apart.get((last, token))
+                if fits is None:
+                    fits = self.stay_apart(last, token)
+            if fits and at + length[token] not in closed:
                 out.append(token)
-                at = end
-                token = longest[at]
-            elif shorter[token] != -1:
-                token = shorter[token]
-            else:
-                open_at[at] = 0
-                if not out:
-                    raise ValueError("the vocabulary cannot spell this text")
+                at += length[token]
+                if at == n:
+                    return out
+                last, token = token, longest[at]
+                if token < 0:  # off the way of longest matches
+                    token = longest[at] = next(longest_from(text, at))[1][0]
+                continue
+            token = shorter[token]
+            while token < 0:
+                closed.add(at)
                 token = out.pop()
                 at -= length[token]
-        return out
+                token = shorter[token]
+            last = out[-1] if out else -1
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
             found = array("i", self.encode_piece(piece)).tobytes()
             if len(piece) <= 64:
-                if len(self.pieces) > CACHED:
-                    self.pieces.clear()
+                if len(self.pieces) >= CACHED:
+                    _halve(self.pieces)
                 self.pieces[piece] = found
         return found
 
     def _word(self, word: str) -> bytes:
+        """A word with or without the blank before it."""
         if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-            return self._piece(word)
+            return array("i", self.encode_piece(word)).tobytes()
         if word[1:-1].isalpha() and word[0] == " " and word[-1] in ".,":
-            return self._piece(word[:-1]) + self._piece(word[-1])
+            return self.after_blank[word[1:-1]] + self._piece(word[-1])
         return b"".join(map(self._piece, PIECES.findall(word)))
 
     def _plain(self, text: str) -> bytes:
