@@ -112,7 +112,8 @@ class Vocabulary:
                 if text[:n] in ids:
                     self.shorter[token] = ids[text[:n]]
                     break
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: list[dict[int, bool]] = [{} for _ in range(size)]  # known answers by left token
+        self.known = 0
         self.spelled = [b""] * size
         back = {c: b for b, c in enumerate(letters)}
         for text, token in ids.items():
@@ -128,11 +129,14 @@ class Vocabulary:
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether merging would leave ``left`` and ``right`` as neighbours."""
-        known = self.apart.get((left, right))
+        known = self.apart[left].get(right)
         if known is None:
-            if len(self.apart) > CACHED:
-                self.apart.clear()
-            known = self.apart[left, right] = self._compatible(left, right)
+            if self.known >= CACHED:
+                self.known = 0
+                for answers in self.apart:
+                    answers.clear()
+            self.known += 1
+            known = self.apart[left][right] = self._compatible(left, right)
         return known
 
     def _compatible(self, left: int, right: int) -> bool:
@@ -168,7 +172,7 @@ class Vocabulary:
         while True:
             fits = True
             if last >= 0:
-                fits = apart.get((last, token))
+                fits = apart[last].get(token)
                 if fits is None:
                     fits = self.stay_apart(last, token)
             if fits and at + length[token] not in closed:
