@@ -21,16 +21,18 @@ gives no segments; columns other than ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, islice
+from itertools import accumulate, islice
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark import TaskContext
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starmill.llm.bpe import byte_letters
-from starmill.llm.common import ROWS_AT_ONCE, arrow_map, int_lists
+from starmill.llm.common import arrow_map, int_lists
 from starmill.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -50,8 +52,10 @@ LANES, STEPS = 4096, 128  # lanes of a block; steps of a stretch between two kep
 BLOCK = LANES * STEPS * 2
 SEGMENT = BLOCK  # ids after which a segment is closed, at the end of a document
 WORDS = 400_000  # entries of a worker's cache beyond which its older half goes
+LETTERS = 8 << 20  # bytes of text that are encoded together
 # Control characters that Python takes for white space and Unicode does not, and the one that closes a piece here.
-ODD = "\x1c\x1d\x1e\x1f\x00"
+ODD = r"[\x00\x1c-\x1f]"
+BEYOND = re.compile("[^\x00-\u024f]")
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
@@ -62,13 +66,11 @@ class WordTokens(dict):
     those of its words in turn.  This maps words to packed ids.  New words of a batch are
     normalized and cut into pieces, and all new pieces go through the vocabulary's merges at once:
     a piece is closed by a NUL, whose merges with the byte before it come first and stand for the
-    vocabulary's word ends.  Below ``LATIN`` no two characters combine, so normalizing only
-    lower-cases; other words pass the library's normalizer.  Words with a special token, and texts
+    vocabulary's word ends.  Up to U+024F no two characters combine, so normalizing only
+    lower-cases; words with others pass the library's normalizer.  Words with a special token, and texts
     with odd control characters, go through the library whole.  The cache is bounded.
     """
 
-    LATIN = "\u0250"
-
     def __init__(self, path: str):
         super().__init__()
         self.library = Tokenizer.from_file(path)
@@ -88,44 +90,70 @@ class WordTokens(dict):
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _pieces(self, word: str) -> list[str]:
-        text = word.lower() if word.isascii() or max(word) < self.LATIN else self.library.normalizer.normalize_str(word)
-        if text.isalpha():  # one piece, by the first letter rule
-            return [text]
-        if text[-1] in ".," and text[:-1].isalpha():
-            return [text[:-1], text[-1]]
-        return PIECES.findall(text)
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words, which hold no odd character."""
-        plain, counts, pieces = [], [], []
-        for word in words:
-            if not self.marks.isdisjoint(word) and any(s in word for s in self.special):
-                self[word] = self._whole(word)
-                continue
-            own = self._pieces(word)
-            plain.append(word)
-            counts.append(len(own))
-            pieces += own
-        if pieces:
-            ids = self.merges.encode_to_numpy("\0".join(pieces) + "\0", disallowed_special=())
-            ends = np.r_[0, np.flatnonzero(self.closes[ids]) + 1] * 4
-            cuts, packed = ends[np.r_[0, np.cumsum(counts)]].tolist(), ids.astype(np.uint32).tobytes()
-            self.update(zip(plain, map(packed.__getitem__, map(slice, cuts, cuts[1:])), strict=False))
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of many texts as 32-bit integers."""
+    def _lowered(self, words: list[str]) -> list[str]:
+        """Words after normalizing; white space parts them, so that they are lower-cased together."""
+        together = "\n".join(words)
+        if not BEYOND.search(together):
+            return together.lower().split("\n")
+        return [self.library.normalizer.normalize_str(w) if BEYOND.search(w) else w.lower() for w in words]
+
+    def _learn(self, words: list[str]) -> pa.LargeBinaryArray:
+        """Packed ids of new words, which hold no odd character."""
+        together = "\n".join(words)
+        special = [i for i, w in enumerate(words) if any(s in w for s in self.special)] if any(m in together for m in self.marks) else []
+        plain = [w for w in words if not any(s in w for s in self.special)] if special else words
+        counts, pieces = [], []
+        for text in self._lowered(plain) if plain else []:
+            if text.isalpha():  # one piece, by the first letter rule
+                pieces.append(text)
+                counts.append(1)
+            elif text[-1] in ".," and text[:-1].isalpha():
+                pieces += (text[:-1], text[-1])
+                counts.append(2)
+            else:
+                own = PIECES.findall(text)
+                pieces += own
+                counts.append(len(own))
+        ids = self.merges.encode_to_numpy("\0".join(pieces) + "\0", disallowed_special=()) if pieces else np.zeros(0, np.uint32)
+        ends = np.r_[0, np.flatnonzero(self.closes[ids]) + 1] * 4
+        cuts = ends[np.r_[0, np.cumsum(counts, dtype=np.int64)]]
+        out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(plain), [None, pa.py_buffer(cuts), pa.py_buffer(ids.astype(np.uint32))])
+        if special:
+            place = np.argsort(np.r_[np.setdiff1d(np.arange(len(words)), special), special], kind="stable")
+            out = pa.concat_arrays([out, pa.array([self._whole(words[i]) for i in special], pa.large_binary())]).take(pa.array(place))
+        return out
+
+    def encode_all(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Ids of many texts as 32-bit integers.
+
+        Arrow splits the texts and numbers their distinct words, so that each word of a batch is
+        looked up once; the packed ids are then laid out by those numbers.  Words that a batch
+        holds more than once stay in the cache.
+        """
         if len(self) > WORDS:  # the older half goes
             for word in list(islice(self, len(self) // 2)):
                 del self[word]
-        odd = [t is not None and any(c in t for c in ODD) for t in texts]
-        split = [[] if not t or o else t.split() for t, o in zip(texts, odd, strict=True)]
-        new = list(set(chain.from_iterable(split)).difference(self))
-        self._learn(new)
-        out = [self._whole(t) if o else b"".join(map(self.__getitem__, words)) for t, o, words in zip(texts, odd, split, strict=True)]
-        for word in new:
-            if len(word) > 64:
-                del self[word]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(texts, ODD).fill_null(False)
+        split = pc.utf8_split_whitespace(pc.if_else(odd, "", texts.fill_null("")))
+        numbered = split.flatten().dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = [b"" if not w else self.get(w) for w in words]
+        missing = np.array([i for i, ids in enumerate(known) if ids is None], np.int64)
+        new = [words[i] for i in missing.tolist()]
+        learnt = self._learn(new)
+        # Words that were known keep their numbers; NULL stands at the numbers of new ones.
+        place = np.arange(len(words))
+        place[missing] = len(words) + np.arange(len(new))
+        at = numbered.indices.to_numpy()
+        packed = pa.concat_arrays([pa.array(known, pa.large_binary()), learnt]).take(pa.array(place[at]))
+        ends = np.frombuffer(packed.buffers()[1], np.int64, len(packed) + 1) if len(packed) else np.zeros(1, np.int64)
+        cuts, ids = ends[split.offsets.to_numpy()].tolist(), packed.buffers()[2]
+        out = [ids[a:b].to_pybytes() if b > a else b"" for a, b in zip(cuts, cuts[1:], strict=False)]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._whole(texts[i].as_py())
+        often = np.flatnonzero(np.bincount(at, minlength=len(words))[missing] > 1)
+        self.update((w, b) for w, b in zip([new[i] for i in often.tolist()], learnt.take(pa.array(often)).to_numpy(zero_copy_only=False).tolist(), strict=True) if len(w) <= 64)
         return out
 
 
@@ -259,6 +287,13 @@ def _longs(rows: list[list[int | None]]) -> pa.Array:
     return pa.array(rows, pa.list_(pa.int64()))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``LETTERS`` bytes of text each; a longer text is a run with its neighbours at most."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // LETTERS)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
+
 def _segments(docs: DataFrame, path: str, end: int, symbols: int) -> DataFrame:
     """Texts, already in order, as runs of ids; each partition numbers its own.
 
@@ -282,9 +317,8 @@ def _segments(docs: DataFrame, path: str, end: int, symbols: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(x, kinds, strict=True)], names=names)
 
         for whole in batches:
-            for first in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(first, ROWS_AT_ONCE)
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode_all(batch.column("text").to_pylist()), strict=True):
+            for batch in _slices(whole):
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode_all(batch.column("text")), strict=True):
                     doc_ids.append(doc_id)
                     parts += [ids, stop]
                     lengths.append(len(ids) // 4 + 1)

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -50,6 +51,21 @@ def test_a_small_cache_changes_nothing(monkeypatch):
         assert len(tokens) <= 3 + 8 and "l" * 70 not in tokens
 
 
+def test_runs_of_rows_hold_every_row_once_and_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr(rans, "LETTERS", 40)
+    draw, library = random.Random(5), _library()
+    words = ["a", "Bc,", "<|endoftext|>", "x<|startoftext|>y", "\x1c", "\x00b", "é", "Σς", " ", "l" * 70]
+    texts = [draw.choice([None, "", " ".join(draw.choices(words, k=draw.randint(1, 30)))]) for _ in range(200)]
+    tokens, seen, runs = rans.WordTokens(PATH), [], 0
+    for run in rans._slices(pa.RecordBatch.from_pydict({"text": pa.array(["out", *texts], pa.string())}).slice(1)):
+        runs += 1
+        for text, ids in zip(run.column("text").to_pylist(), tokens.encode_all(run.column("text")), strict=True):
+            seen.append(text)
+            assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+    assert seen == texts and runs > 50
+    assert not list(rans._slices(pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())})))
+
+
 @pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 2047, 2048, 2049, 300_000, rans.BLOCK, rans.BLOCK + 1])
 def test_blocks_come_back(n):
     ids = np.random.default_rng(n).zipf(1.3, n).clip(max=49_407).astype(np.uint32)
