@@ -1,5 +1,7 @@
 """Publication: repeatable, refused on drift, invisible when a check fails."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from pyspark.sql import functions as F, types as T
@@ -129,3 +131,27 @@ def test_lines_that_do_not_fit_are_kept_whole(spark, database, tmp_path):
     assert sorted(r[REJECTED] for r in rejects.collect()) == sorted(["2", "3,3,more", "x,4", '"6,6'])
     assert sorted((r.id or -1, r.grp or -1) for r in table.collect()) == [(-1, -1), (-1, 4), (-1, 7), (1, 1), (2, -1), (3, 3), (5, 5)]
     assert all(r["_source_file"].endswith("things.csv") for r in rejects.collect())
+
+
+def test_writers_at_once_lose_no_record(spark, tmp_path):
+    folder, writers, each = f"{tmp_path}/records", 8, 12
+
+    def write(writer: int) -> list[int]:
+        records, taken = Records(spark, folder), []
+        while len(taken) < each:
+            last = records.latest() or {"number": -1, "seen": []}
+            try:
+                records.add(last["number"] + 1, {"seen": [*last["seen"], writer]})
+                taken.append(last["number"] + 1)
+            except FileExistsError:
+                continue
+        return taken
+
+    with ThreadPoolExecutor(writers) as pool:
+        taken = list(pool.map(write, range(writers)))
+    records = Records(spark, folder)
+    assert sorted(n for own in taken for n in own) == records.numbers() == list(range(writers * each))
+    by = {n: w for w, own in enumerate(taken) for n in own}
+    for n in records.numbers():
+        assert records.get(n)["seen"] == [by[m] for m in range(n + 1)]
+    assert {p.name for p in tmp_path.joinpath("records").iterdir()} == {f"{n:020d}.json" for n in by}
