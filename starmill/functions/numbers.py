@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 PRICE = "decimal(27,10)"
 PERCENT = "decimal(13,8)"
 AMOUNT = "decimal(24,2)"
+WRITTEN = "decimal(38,18)"  # digits of a text that ``exactly`` compares
 
 
 def to_whole(text: Column) -> Column:
@@ -29,6 +30,16 @@ def to_amount(text: Column) -> Column:
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
+def exactly(text: Column, kind: str) -> Column:
+    """Whether the decimal that amounts are computed with is the number that the text has.
+
+    A double has about 16 digits and the decimal ``kind`` a fixed number of places; longer numbers
+    are rounded.  NULL for text without a number; digits past the 18th place do not count.
+    """
+    number = to_amount(text)
+    return F.when(number.isNotNull(), number.try_cast(kind).try_cast(WRITTEN).eqNullSafe(text.try_cast(WRITTEN)))
+
+
 def size_or_zero(number: Column) -> Column:
     """Absolute value, NULL as 0."""
     return F.coalesce(F.abs(number), F.lit(0))

@@ -167,6 +167,18 @@ def parse_report(raw: DataFrame, table: str, parsers: Mapping[str, Column]) -> D
     return report_rows(raw.agg(*totals), *lines)
 
 
+def exact_totals(table: str, exact: Mapping[str, Column]) -> tuple[list[Column], list[Column]]:
+    """Aggregates that count parsed values which are not ``exact``, and report lines made of them."""
+    totals = [_total((~value).cast("long")).alias(f"rounded_{name}") for name, value in exact.items()]
+    return totals, [report_line(table, f"parses_exactly({n})", F.col("rows"), F.col(f"rounded_{n}")) for n in exact]
+
+
+def exact_report(raw: DataFrame, table: str, exact: Mapping[str, Column]) -> DataFrame:
+    """Source values that are rounded before anything is computed with them, per column, in one pass."""
+    totals, lines = exact_totals(table, exact)
+    return report_rows(raw.agg(F.count(F.lit(1)).alias("rows"), *totals), *lines)
+
+
 def _exact(df: DataFrame, measure: str) -> Column:
     """The measure as a decimal: at its own scale, or a double at ten places."""
     kind = df.schema[measure].dataType

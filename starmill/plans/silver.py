@@ -145,19 +145,32 @@ def latest_arrivals(df: DataFrame, keys: Sequence[str] = LINE) -> DataFrame:
     return latest_per_key(df, keys, order, undecided_by=[INGESTED_AT])
 
 
+def amount_texts() -> dict:
+    """Raw order-item amounts without symbols, and the decimal that each is computed with."""
+    return {
+        "unit_price": (text.without_characters(F.col("unit_price"), fixed.PRICE_SYMBOL), numbers.PRICE),
+        "discount_pct": (text.without_characters(F.col("discount_pct"), fixed.PERCENT_SYMBOL), numbers.PERCENT),
+        "tax_amount": (text.without_pattern(F.col("tax_amount"), fixed.NOT_AMOUNT), numbers.PRICE),
+    }
+
+
 def item_parsers() -> dict:
     """Raw order-item column to its parsed expression; also what the parse check tests."""
+    amounts = {name: numbers.to_amount(written) for name, (written, _) in amount_texts().items()}
     return {
         "quantity": numbers.to_whole(text.recode(F.col("quantity"), fixed.QUANTITY_WORDS)),
-        "unit_price": numbers.to_amount(text.without_characters(F.col("unit_price"), fixed.PRICE_SYMBOL)),
-        "discount_pct": numbers.to_amount(text.without_characters(F.col("discount_pct"), fixed.PERCENT_SYMBOL)),
-        "tax_amount": numbers.to_amount(text.without_pattern(F.col("tax_amount"), fixed.NOT_AMOUNT)),
+        **amounts,
         "dt": dates.to_day(F.col("dt"), fixed.ORDER_DATE_LAYOUT),
         "order_ts": dates.to_moment(F.col("order_ts"), *fixed.ORDER_TIME_LAYOUTS),
         "item_seq": numbers.to_whole(F.col("item_seq")),
     }
 
 
+def item_exactness() -> dict:
+    """Raw order-item amount to whether it enters the amounts with every digit it was written with."""
+    return {name: numbers.exactly(written, kind) for name, (written, kind) in amount_texts().items()}
+
+
 def _parsed(df: DataFrame, *names: str) -> DataFrame:
     parsers = item_parsers()
     return df.withColumns({name: parsers[name] for name in names})

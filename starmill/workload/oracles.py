@@ -43,9 +43,10 @@ _QUANTITY = (
     "TRY_CAST(CASE quantity WHEN 'One' THEN '1' WHEN 'Two' THEN '2' WHEN 'Three' THEN '3' ELSE quantity END"
     " AS INTEGER)"
 )
-_PRICE = "TRY_CAST(replace(unit_price, '$', '') AS DOUBLE)"
-_PERCENT = "TRY_CAST(replace(discount_pct, '%', '') AS DOUBLE)"
-_TAX = r"TRY_CAST(regexp_replace(tax_amount, '[^0-9.\-]', '', 'g') AS DOUBLE)"
+_PRICE_TEXT = "replace(unit_price, '$', '')"
+_PERCENT_TEXT = "replace(discount_pct, '%', '')"
+_TAX_TEXT = r"regexp_replace(tax_amount, '[^0-9.\-]', '', 'g')"
+_PRICE, _PERCENT, _TAX = (f"TRY_CAST({written} AS DOUBLE)" for written in (_PRICE_TEXT, _PERCENT_TEXT, _TAX_TEXT))
 _ORDER_TIME = (
     "coalesce(try_strptime(order_ts, '%Y-%m-%d %H:%M:%S'), try_strptime(order_ts, '%d-%m-%Y %H:%M'))"
 )
@@ -342,6 +343,12 @@ def _parses(column: str, parsed: str) -> str:
         count(*) FILTER (WHERE trim({column}) <> '' AND {parsed} IS NULL) AS violations FROM raw_items """
 
 
+def _parses_exactly(column: str, written: str, number: str, kind: str) -> str:
+    return f"""SELECT 'brz_order_items' AS table_name, 'parses_exactly({column})' AS check_name, count(*) AS row_count,
+        count(*) FILTER (WHERE {number} IS NOT NULL AND TRY_CAST({_decimal(number, kind)} AS DECIMAL(38,18))
+                         IS DISTINCT FROM TRY_CAST({written} AS DECIMAL(38,18))) AS violations FROM raw_items """
+
+
 def _union(*statements: str) -> str:
     return "\nUNION ALL ".join(statements)
 
@@ -523,6 +530,11 @@ _STATEMENTS = {
            count(*) FILTER (WHERE quantity IS NOT NULL AND unit_price IS NOT NULL AND discount_percent IS NOT NULL
                             AND tax_amount IS NOT NULL AND total_amount IS NULL) FROM fact """,
     ),
+    "exact_amounts": _union(
+        _parses_exactly("unit_price", _PRICE_TEXT, _PRICE, "27,10"),
+        _parses_exactly("discount_pct", _PERCENT_TEXT, _PERCENT, "13,8"),
+        _parses_exactly("tax_amount", _TAX_TEXT, _TAX, "27,10"),
+    ),
     "schema_contract": _union(
         "SELECT 'gld_dim_customers' AS table_name, 'schema' AS check_name, count(*) AS row_count, 0 AS violations"
         " FROM customers_dim ",

@@ -19,6 +19,7 @@ from starmill.operators.quality import (
     QualityError,
     Reference,
     combined,
+    exact_report,
     held_report,
     key_report,
     reconciliation_report,
@@ -475,6 +476,12 @@ def dq_report(spark, sf_dir):
     )
 
 
+@query
+def exact_amounts(spark, sf_dir):
+    """Amounts of order items that are rounded before anything is computed with them."""
+    return exact_report(raw.bronze(spark, sf_dir, "order_items"), BRONZE["order_items"].name, silver.item_exactness())
+
+
 @query
 def schema_contract(spark, sf_dir):
     """The customer dimension against its contract, then a drifted copy of it."""

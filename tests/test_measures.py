@@ -3,9 +3,10 @@
 from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from starmill import fixed_values as fixed
-from starmill.functions.numbers import held, with_revenue
+from starmill.functions.numbers import PRICE, exactly, held, with_revenue
 from starmill.plans import gold
 from starmill.sources.literals import rate_lookup
 
@@ -40,6 +41,28 @@ def test_large_amounts_are_exact_or_reported(spark):
     assert sorted(r[0] for r in rows.select(held(*names, "total_amount")).collect()) == [False, True, True]
 
 
+def _exactly(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "place int, written string")
+    return [r[0] for r in df.orderBy("place").select(exactly(F.col("written"), PRICE)).collect()]
+
+
+def test_rounded_amounts_are_told_apart(spark):
+    kept = ["0", "12.5", "-7.0000000001", "99999999999999999", "1e3", "0.10000000000000000000"]
+    rounded = ["7.00000000001", "98765432109950.120625", "123456789012345.678", "1e18", "12345678.1234567890123"]
+    neither = [None, "", "x", "NaN", "1e999"]
+    assert _exactly(spark, kept) == [True] * 3 + [False] + [True] * 2  # a double has no 17 nines
+    assert _exactly(spark, rounded) == [False] * 5
+    assert _exactly(spark, neither) == [None] * 5
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10**16, 10**16), st.integers(0, 16)), min_size=1, max_size=60))
+def test_rounding_equals_exact_decimal_arithmetic(spark, numbers):
+    texts = [str(Decimal(digits).scaleb(-places)) for digits, places in numbers]
+    used = [Decimal(repr(float(t))).quantize(Decimal("1e-10"), ROUND_HALF_UP) for t in texts]
+    assert _exactly(spark, texts) == [u == Decimal(t) for u, t in zip(used, texts, strict=True)]
+
+
 def test_half_cents_round_up_exactly(spark):
     # As doubles, 1.005 * 1 rounds down and 0.145 * 100 is inexact.
     assert _measures(spark, (1, 1.005, 0.0, 0.0))[0][0] == 1.01

@@ -12,6 +12,7 @@ from starmill.operators.quality import (
     Reference,
     combined,
     enforce,
+    exact_report,
     key_report,
     parse_report,
     reconciliation,
@@ -65,6 +66,15 @@ def test_unparsed_values_are_counted_and_blanks_are_not(spark):
     assert _lines(parse_report(df, "t", parsers)) == {"parses(quantity)": (5, 2)}
 
 
+def test_rounded_values_are_counted(spark):
+    rows = [("$1.5", "2.123456789%", "Tax 3"), ("98765432109950.120625", "2.12345678", "-4.25"), (None, "x", "n.a.")]
+    df = spark.createDataFrame(rows, "unit_price string, discount_pct string, tax_amount string")
+    expected = {"unit_price": (3, 1), "discount_pct": (3, 1), "tax_amount": (3, 0)}
+    found = _lines(exact_report(df, "t", silver.item_exactness()))
+    assert found == {f"parses_exactly({name})": counts for name, counts in expected.items()}
+    assert {v for _, v in _lines(exact_report(df.limit(0), "t", silver.item_exactness())).values()} == {0}
+
+
 def test_reconciliation(spark):
     before = spark.createDataFrame([(1.10,), (2.20,), (None,)], "amount double")
     assert reconciliation(before, before, "amount").collect() == [(3, Decimal("3.30"), 1, 3, Decimal("3.30"), 1)]

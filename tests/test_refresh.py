@@ -149,6 +149,18 @@ def test_parses_are_counted_from_the_table_when_tasks_were_repeated(spark, files
     assert key(refresh_items(spark, layers)) == key(plain) and {r.row_count for r in plain} == {4}
 
 
+def _items(spark, files, layers):
+    refresh_bronze(spark, files, layers, ["order_items"])
+    return refresh_items(spark, layers)
+
+
+def test_a_refresh_counts_rounded_amounts(spark, files, layers):
+    found = {line["check_name"]: line["violations"] for line in _items(spark, files, layers)}
+    assert {n: v for n, v in found.items() if n.startswith("parses_exactly")} == {
+        f"parses_exactly({n})": 0 for n in ("unit_price", "discount_pct", "tax_amount")
+    }
+
+
 def test_the_fact_needs_its_dimensions(spark, layers):
     with pytest.raises(LookupError, match="gld_dim_products"):
         refresh_fact(spark, layers)
