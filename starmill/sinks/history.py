@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from starmill.operators.history import advance, history_schema, interval_report, opened
 from starmill.operators.quality import enforce, key_report
 from starmill.operators.schema import require_schema
-from starmill.sinks.records import Records
+from starmill.sinks.records import Records, remove, subfolders
 
 
 @dataclass(frozen=True)
@@ -75,5 +75,26 @@ class HistoryTable:
         frame = self._read(spark, [last["current"]]) if last else self.read(spark)
         return frame.select(*[F.col(c) for c in self.snapshot.names])
 
+    def drop_superseded(self, spark: SparkSession, keep: int = 1) -> int:
+        """Delete folders that neither the last record nor the ``keep`` before it name; returns their number.
+
+        What the last day started from stays, so that its snapshot can be applied again.  Not to be
+        called while a snapshot is applied.
+        """
+        records = Records(spark, f"{self.root}/records")
+        kept = [records.get(n) for n in records.numbers()[-1 - keep :]]
+        if kept and kept[-1]["before"] is not None:
+            kept.append(records.get(kept[-1]["before"]))
+        # A snapshot's two folders share their name; its ended rows count longer than its current ones.
+        named = {"current": [r["current"] for r in kept], "ended": [f for r in kept for f in r["ended"]]}
+        gone = 0
+        for part, folders in named.items():
+            names = {f.rsplit("/", 1)[-1] for f in folders}
+            for name in subfolders(spark, f"{self.root}/{part}"):
+                if name not in names:
+                    remove(spark, f"{self.root}/{part}/{name}")
+                    gone += 1
+        return gone
+
     def _read(self, spark: SparkSession, folders: list[str]) -> DataFrame:
         return spark.read.schema(history_schema(self.snapshot)).parquet(*folders)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from starmill.sinks.records import Records
+from starmill.sinks.records import Records, remove, subfolders
 from starmill.sources.files import ARRIVED_AT, INGESTED_AT, SOURCE_FILE, stream_csv, with_arrival
 
 _BATCH, _ATTEMPT = "__batch", "__attempt"
@@ -61,6 +61,21 @@ class Landing:
         rows = spark.read.schema(self.stored).parquet(f"{self.root}/rows")
         return rows.join(counted, [_BATCH, _ATTEMPT], "left_semi").drop(_BATCH, _ATTEMPT)
 
+    def drop_superseded(self, spark: SparkSession) -> int:
+        """Delete the rows of attempts that will never count; returns the number of attempts.
+
+        A batch without a record keeps its attempts: its run may be about to record one.
+        """
+        records, rows, gone = self.records(spark), f"{self.root}/rows", 0
+        for batch in subfolders(spark, rows):
+            number, attempts = int(batch.removeprefix(f"{_BATCH}=")), subfolders(spark, f"{rows}/{batch}")
+            if len(attempts) > 1 and records.holds(number):
+                counts = f"{_ATTEMPT}={records.get(number)[_ATTEMPT]}"
+                for attempt in [a for a in attempts if a != counts]:
+                    remove(spark, f"{rows}/{batch}/{attempt}")
+                    gone += 1
+        return gone
+
 
 def land_new_files(
     spark: SparkSession,

@@ -11,6 +11,7 @@ from starmill.operators.lookups import DEFAULT_BUDGET, BroadcastBudget
 from starmill.operators.quality import QualityError
 from starmill.operators.schema import SchemaDrift
 from starmill.sinks.history import HistoryTable
+from starmill.sinks.records import subfolders
 
 SNAPSHOT = T.StructType().add("id", "string").add("city", "string").add("size", "integer")
 DAYS = [date(2024, 1, 1) + timedelta(30 * i) for i in range(6)]
@@ -88,6 +89,27 @@ def test_a_run_that_dies_changes_nothing(spark, table, monkeypatch):
     assert versions(table.read(spark)) == before
 
 
+@pytest.mark.parametrize("keep", [0, 1])
+def test_folders_that_no_record_needs_are_deleted(spark, table, monkeypatch, keep):
+    states = snapshots()
+    wrong = {k: ("wrong", 9) for k in states[1]}
+    assert table.drop_superseded(spark, keep) == 0
+    for day, state in ((DAYS[0], states[0]), (DAYS[1], states[1]), (DAYS[2], wrong), (DAYS[2], states[2])):
+        table.apply(frame(spark, state), day)
+    with monkeypatch.context() as patch:
+        patch.setattr("starmill.sinks.records.Records.add", lambda *_: (_ for _ in ()).throw(OSError("died")))
+        with pytest.raises(OSError):
+            table.apply(frame(spark, states[3]), DAYS[3])
+    before, folders = versions(table.read(spark)), lambda: [subfolders(spark, f"{table.root}/{p}") for p in ("current", "ended")]
+    assert [len(f) for f in folders()] == [5, 4]
+    # Needed: the last record's current rows and two sets of ended ones, and what its day started from.
+    left = {0: [2, 2], 1: [3, 3]}[keep]
+    assert table.drop_superseded(spark, keep) == 9 - sum(left) and [len(f) for f in folders()] == left
+    assert table.drop_superseded(spark, keep) == 0 and versions(table.read(spark)) == before
+    table.apply(frame(spark, states[2]), DAYS[2])  # starts from the day before, whose rows must still be there
+    assert versions(table.read(spark)) == before
+
+
 def test_broken_intervals_are_counted(spark):
     rows = [("a", DAYS[0], DAYS[2], False), ("a", DAYS[1], None, True), ("b", DAYS[1], DAYS[1], False), ("c", DAYS[0], None, False)]
     df = spark.createDataFrame(rows, f"id string, {BEGAN} date, {ENDED} date, {IS_CURRENT} boolean")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starmill.plans import silver
 from starmill.plans.contracts import RAW
-from starmill.sinks.records import Records
+from starmill.sinks.records import Records, subfolders
 from starmill.sources.files import ARRIVED_AT, INGESTED_AT, SOURCE_FILE, scan_csv
 from starmill.streaming.landing import Landing, land_new_files
 
@@ -72,6 +72,24 @@ def test_a_batch_counts_once(spark, landing):
     assert landed(spark, landing) == [("a", "one")] * 2
 
 
+def test_attempts_that_never_count_are_deleted(spark, landing):
+    assert landing.drop_superseded(spark) == 0
+    rows = spark.createDataFrame([("a", "one")], SCHEMA).selectExpr(
+        "*", f"'f' AS {SOURCE_FILE}", f"current_timestamp() AS {INGESTED_AT}", f"current_timestamp() AS {ARRIVED_AT}"
+    )
+    for number, lost in ((0, 2), (1, 0), (2, 1)):
+        for attempt in range(lost):
+            rows.write.parquet(f"{landing.root}/rows/__batch={number}/__attempt=lost{attempt}")
+        if number < 2:
+            landing.publish(rows, number)
+    for deleted in (2, 0):
+        assert landing.drop_superseded(spark) == deleted
+        assert landed(spark, landing) == [("a", "one")] * 2
+    assert subfolders(spark, f"{landing.root}/rows/__batch=2") == ["__attempt=lost0"]  # its run may still record it
+    landing.publish(rows, 2)
+    assert landing.drop_superseded(spark) == 1 and landed(spark, landing) == [("a", "one")] * 3
+
+
 def test_a_micro_batch_is_bounded(spark, tmp_path, landing):
     for i in range(5):
         drop(tmp_path / "inbox", f"{i}.csv", f"{i},x")
