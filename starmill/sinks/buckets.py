@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starmill.operators.lookups import shuffle_partitions
+from starmill.session import STORED
 from starmill.sinks.records import Records
 
 BUCKET, _SHARE = "__bucket", "__share"
@@ -55,7 +56,7 @@ class BucketedTable:
         place = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         new = self.latest(batch.select(*self.schema.names), self.keys).withColumn(BUCKET, place)
         folder = f"{self.root}/rows/{uuid.uuid4().hex}"
-        new.write.parquet(f"{folder}-batch")
+        new.write.options(**STORED).parquet(f"{folder}-batch")
         new = spark.read.schema(new.schema).parquet(f"{folder}-batch")
         touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())  # ``buckets`` rows at most
         if not touched:
@@ -65,7 +66,7 @@ class BucketedTable:
         share = F.pmod(F.shiftright(F.xxhash64(*self.keys), 32), F.lit(shares)).cast("int")
         both = new.unionByName(stored.withColumn(BUCKET, place)).withColumn(_SHARE, share)
         spread = both.repartition(len(touched) * shares, BUCKET, _SHARE)
-        self.latest(spread, [BUCKET, _SHARE, *self.keys]).drop(_SHARE).write.partitionBy(BUCKET).parquet(folder)
+        self.latest(spread, [BUCKET, _SHARE, *self.keys]).drop(_SHARE).write.options(**STORED).partitionBy(BUCKET).parquet(folder)
         records.add(last["number"] + 1, {"folders": {**last["folders"], **{str(b): f"{folder}/{BUCKET}={b}" for b in touched}}})
         return Merge(len(touched), self.buckets)
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from starmill.operators.history import advance, history_schema, interval_report, opened
 from starmill.operators.quality import enforce, key_report
 from starmill.operators.schema import require_schema
+from starmill.session import STORED
 from starmill.sinks.records import Records, remove, subfolders
 
 
@@ -48,12 +49,12 @@ class HistoryTable:
         mark = uuid.uuid4().hex
         folders = {"current": f"{self.root}/current/{since}-{mark}", "ended": f"{self.root}/ended/{since}-{mark}"}
         if last is None:
-            opened(rows, self.key, since).write.parquet(folders["current"])
+            opened(rows, self.key, since).write.options(**STORED).parquet(folders["current"])
             past = []
         else:
             ended, current = advance(self._read(spark, [last["current"]]), rows, self.key, since)
-            ended.write.parquet(folders["ended"])
-            current.write.parquet(folders["current"])
+            ended.write.options(**STORED).parquet(folders["ended"])
+            current.write.options(**STORED).parquet(folders["current"])
             past = [*last["ended"], folders["ended"]]
         lines += enforce(interval_report(self._read(spark, [folders["current"], *past]), self.name, self.key))
         records.add(

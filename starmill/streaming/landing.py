@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starmill.session import STORED
 from starmill.sinks.records import Records, remove, subfolders
 from starmill.sources.files import ARRIVED_AT, INGESTED_AT, SOURCE_FILE, stream_csv, with_arrival
 
@@ -44,7 +45,7 @@ class Landing:
         if records.holds(batch_id):
             return
         attempt = uuid.uuid4().hex
-        batch.write.parquet(f"{self.root}/rows/{_BATCH}={batch_id}/{_ATTEMPT}={attempt}")
+        batch.write.options(**STORED).parquet(f"{self.root}/rows/{_BATCH}={batch_id}/{_ATTEMPT}={attempt}")
         try:
             records.add(batch_id, {_ATTEMPT: attempt})
         except FileExistsError:

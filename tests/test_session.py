@@ -5,7 +5,9 @@ import os
 import pytest
 
 from starmill import session
+from starmill.plans.contracts import Contract
 from starmill.session import drop_scratch, scratch_path, written
+from starmill.sinks.tables import publish
 
 
 def test_scratch_is_dropped_on_request(spark, monkeypatch):
@@ -25,3 +27,13 @@ def test_a_cluster_must_name_its_folder(master):
 
     with pytest.raises(RuntimeError):
         scratch_path(Session(), "x")
+
+
+def test_intermediates_and_tables_are_stored_compactly(spark, database):
+    rows = spark.range(10).selectExpr("CAST(id AS STRING) AS category_code", "'a' AS category_name")
+    kept = session.written(spark, rows, "kept")
+    assert kept.count() == 10 and all(name.endswith(".zstd.parquet") for name in kept.inputFiles())
+    contract = Contract("codes", rows.schema)
+    publish(rows, database, contract)
+    table = spark.table(f"{database}.codes")
+    assert table.count() == 10 and all(name.endswith(".zstd.parquet") for name in table.inputFiles())
