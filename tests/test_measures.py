@@ -6,6 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from starmill import fixed_values as fixed
+from starmill.functions import numbers
 from starmill.functions.numbers import PRICE, exactly, held, with_revenue
 from starmill.plans import gold
 from starmill.sources.literals import rate_lookup
@@ -113,3 +114,15 @@ def test_reporting_currency(spark, rows):
         ("A", Decimal("882.90")), ("B", Decimal("10.00")), ("C", None), ("D", None), ("E", None),
     ]
     assert "currency" not in converted.columns
+
+
+def test_short_numbers_are_exact_as_the_decimals_say(spark):
+    texts = ["0", "-0.00", "12345", "99999.99999999", "-12345.12345678", "1.5", "00012.50", "123456.5", "1.123456789", "1e3", " 1.5 ", "1.", ".5", "12a", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in (numbers.PRICE, numbers.PERCENT):
+        number = numbers.to_amount(F.col("t"))
+        plain = number.try_cast(kind).try_cast(numbers.WRITTEN).eqNullSafe(F.col("t").try_cast(numbers.WRITTEN))
+        got = rows.select("t", numbers.exactly(F.col("t"), kind), F.when(number.isNotNull(), plain)).collect()
+        assert [r[1] for r in got] == [r[2] for r in got]
+    short = [r["t"] for r in rows.where(F.col("t").rlike(numbers.SHORT)).collect()]
+    assert short == texts[:7]
