@@ -37,3 +37,13 @@ def test_intermediates_and_tables_are_stored_compactly(spark, database):
     publish(rows, database, contract)
     table = spark.table(f"{database}.codes")
     assert table.count() == 10 and all(name.endswith(".zstd.parquet") for name in table.inputFiles())
+
+
+def test_keys_in_order_are_stored_as_differences(spark, tmp_path):
+    rows = spark.range(0, 300_000, numPartitions=1).selectExpr("CAST(1000000000 + 7 * id AS STRING) AS order_id", "7 * id AS number")
+    sizes = []
+    for name, options in (("stored", session.STORED), ("plain", {"compression": "zstd"})):
+        rows.write.options(**options).parquet(f"{tmp_path}/{name}")
+        assert spark.read.parquet(f"{tmp_path}/{name}").exceptAll(rows).isEmpty()
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet")))
+    assert sizes[0] < sizes[1] / 2
