@@ -4,6 +4,8 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from starmill import session
 from starmill.plans.contracts import Contract
 from starmill.session import drop_scratch, scratch_path, written
@@ -39,6 +41,25 @@ def test_intermediates_and_tables_are_stored_compactly(spark, database):
     assert table.count() == 10 and all(name.endswith(".zstd.parquet") for name in table.inputFiles())
 
 
+def _most_rows(df) -> int:
+    """Rows of the fullest task that reads ``df``."""
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_a_task_reads_little_more_than_its_split(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", {})
+    rows = spark.range(0, 1_200_000, numPartitions=1).selectExpr("id", "sha2(CAST(id AS STRING), 256) AS text")
+    stored = written(spark, rows, "digests")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 << 20))
+    try:
+        assert len(stored.inputFiles()) == 1 and stored.count() == 1_200_000
+        assert _most_rows(stored) < 800_000  # a file of one row group went to one task whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert drop_scratch(spark) == 1
+
+
 def test_keys_in_order_are_stored_as_differences(spark, tmp_path):
     rows = spark.range(0, 300_000, numPartitions=1).selectExpr("CAST(1000000000 + 7 * id AS STRING) AS order_id", "7 * id AS number")
     sizes = []

@@ -2,6 +2,8 @@
 
 import shutil
 
+import pyarrow.parquet as pq
+
 from starmill.workload import raw
 
 TABLES = "/root/testdata/sf0.001"
@@ -59,3 +61,11 @@ def test_lines_are_moved_to_their_batch_before_they_become_text(spark, tmp_path)
     rows = raw.item_texts(raw.by_batch(raw.order_lines(spark, str(tmp_path))))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(batch" in plan and "lpad" not in plan[plan.index("hashpartitioning(batch") :]
+
+
+def test_bronze_items_are_stored_in_row_groups_that_scans_can_divide(spark, monkeypatch):
+    monkeypatch.setattr(raw, "_written", {})
+    monkeypatch.setattr(raw, "ROW_GROUPS", {"parquet.block.size": str(32 << 10)})
+    stored = raw.bronze(spark, TABLES, "order_items")
+    groups = [pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in stored.inputFiles()]
+    assert stored.count() > 5_000 and min(groups) > 1
