@@ -11,6 +11,8 @@ How it scales: there are at most ``ROUTES`` routing objects, so only they are br
 vectors of one are cut into nodes of about ``NODE`` vectors, so a very common vector fills many
 nodes.  Queries travel in blocks.  A first look at one node per query gives a threshold; then a
 query goes only to routing objects that can beat it, and a node returns only what reaches it.
+Blocks and nodes meet in a shuffle: a query goes to many nodes, so its blocks are many times as
+large as the file they come from, by which Spark would choose to broadcast them.
 
 Defined results: vectors that are NULL, empty or hold NULL or non-finite components take no
 part, nor do rows with a NULL id; shorter vectors count as filled up with zeros; equal rows
@@ -233,6 +235,12 @@ _QUERY_KINDS = [pa.binary(), pa.int64(), pa.binary(), pa.float64(), pa.float64()
 _BLOCK_SCHEMA = "route int, slot int, uid array<binary>, vec_id array<bigint>, v array<binary>, least array<double>, distance array<double>"
 
 
+def meet(blocks: DataFrame, nodes: DataFrame, place: str) -> DataFrame:
+    """Each block of queries with the nodes of its place, in a sorted merge: a task holds the nodes of
+    one place at a time and neither side whole, and nothing passes through the driver."""
+    return blocks.join(nodes.hint("merge"), ["route", place])
+
+
 def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
     """For every row whose id is divisible by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score``."""
     spark = vectors.sparkSession
@@ -320,7 +328,7 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
 
         return _blocks(batches, places, _QUERY, _QUERY_KINDS)
 
-    looked = queries.mapInArrow(first_place, _BLOCK_SCHEMA).withColumnRenamed("slot", "chunk").join(nodes, ["route", "chunk"])
+    looked = meet(queries.mapInArrow(first_place, _BLOCK_SCHEMA).withColumnRenamed("slot", "chunk"), nodes, "chunk")
     reached = visit(looked, k).groupBy("uid").agg(F.count("*").alias("n"), F.min("score").alias("low"))
     bounded = queries.join(reached, "uid", "left").select("uid", "vec_id", "v", F.when(F.col("n") >= k, F.col("low").cast("double")).otherwise(F.lit(float("-inf"))).alias("least"))
     bounded = stored(bounded, "mtree-bounds")
@@ -342,7 +350,7 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
         return _blocks(batches, places, _QUERY, _QUERY_KINDS)
 
     slotted = nodes.withColumn("slot", F.pmod(F.col("chunk"), slots[F.col("route")]).cast("int"))
-    every_hit = visit(bounded.mapInArrow(all_places, _BLOCK_SCHEMA).join(slotted, ["route", "slot"]), k)
+    every_hit = visit(meet(bounded.mapInArrow(all_places, _BLOCK_SCHEMA), slotted, "slot"), k)
     # The rank limit works inside each task before the exchange, so no list grows with the table.
     order = Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("vec_id"))
     best = every_hit.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

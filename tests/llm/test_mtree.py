@@ -101,3 +101,14 @@ def test_query_equals_brute_force(spark, table):
     rows = [(r["vec_id"], r["embedding"]) for r in table("embeddings").collect()]
     got = {tuple(r) for r in QUERIES["op10_m_tree_top_k"](spark, "/root/testdata/sf0.001").collect()}
     assert got == _brute(rows, 20, 20)
+
+
+def test_blocks_of_queries_and_nodes_are_never_broadcast(spark, monkeypatch):
+    """Blocks are many times as large as the file they are made from, so a broadcast of them fills the driver."""
+    plans, stored = [], mtree.stored
+    note = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(mtree, "stored", lambda df, label: (note(df), stored(df, label))[1])
+    draw = np.random.default_rng(7)
+    note(mtree.nearest(_frame(spark, [(i, draw.normal(size=8).tolist()) for i in range(300)]), 20, 5))
+    joins = [line for plan in plans for line in plan.splitlines() if "Join [route" in line]
+    assert len(joins) == 2 and all("SortMergeJoin" in line for line in joins)
