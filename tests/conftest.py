@@ -1,5 +1,6 @@
 import os
 import sys
+import time
 
 import pytest
 
@@ -32,3 +33,23 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is not None, str(v)) for v in r])
 
     return collect
+
+
+@pytest.fixture
+def shuffles_left(spark):
+    """Shuffle files on the session's disks that were not there before the test, after some time to delete them."""
+
+    def found():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = found()
+
+    def left():
+        ends = time.monotonic() + 5
+        while found() - before and time.monotonic() < ends:
+            time.sleep(0.2)
+        return found() - before
+
+    return left

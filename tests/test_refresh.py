@@ -173,3 +173,8 @@ def test_columns_bind_by_position_and_lineage_is_kept(spark, tmp_path):
     got = sorted((r.category_code or "", r.category_name, r._source_file.rsplit("/", 1)[1]) for r in scan.collect())
     assert got == [("", None, "one.csv"), ("A", " padded ", "one.csv"), ("B", "1", "two.csv")]
     assert scan.select("_ingested_at").distinct().count() == 1
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, files, layers, shuffles_left):
+    full_refresh(spark, files, layers)
+    assert not shuffles_left()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starmill import session
 from starmill.plans.contracts import Contract
-from starmill.session import drop_scratch, scratch_path, written
+from starmill.session import SHUFFLES_GO, drop_scratch, scratch_path, shuffles_dropped, written
 from starmill.sinks.tables import publish
 
 
@@ -68,3 +68,15 @@ def test_keys_in_order_are_stored_as_differences(spark, tmp_path):
         assert spark.read.parquet(f"{tmp_path}/{name}").exceptAll(rows).isEmpty()
         sizes.append(sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet")))
     assert sizes[0] < sizes[1] / 2
+
+
+def test_shuffle_files_go_with_their_action(spark, tmp_path, shuffles_left):
+    was = spark.conf.get(SHUFFLES_GO)
+    with pytest.raises(RuntimeError), shuffles_dropped(spark):
+        with shuffles_dropped(spark):
+            counts = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+            counts.write.parquet(f"{tmp_path}/counts")
+        assert spark.conf.get(SHUFFLES_GO) == "true" and not shuffles_left()
+        raise RuntimeError
+    assert spark.conf.get(SHUFFLES_GO) == was
+    assert sorted(counts.collect()) == sorted(spark.read.parquet(f"{tmp_path}/counts").collect())

@@ -69,3 +69,13 @@ def test_bronze_items_are_stored_in_row_groups_that_scans_can_divide(spark, monk
     stored = raw.bronze(spark, TABLES, "order_items")
     groups = [pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in stored.inputFiles()]
     assert stored.count() > 5_000 and min(groups) > 1
+
+
+def test_landing_files_are_packed_and_leave_no_shuffle_files(spark, tmp_path, shuffles_left):
+    _lines(spark, tmp_path)
+    files = raw.landing(spark, str(tmp_path), "order_items")
+    assert not shuffles_left()
+    landed = spark.read.option("header", True).csv(files)
+    assert landed.count() == 3
+    for name in landed.inputFiles():
+        assert open(name.removeprefix("file://"), "rb").read(2) == b"\x1f\x8b"
