@@ -15,8 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starmill.operators.lookups import shuffle_partitions
-from starmill.session import STORED
-from starmill.sinks.records import Records
+from starmill.session import STORED, shuffles_dropped
+from starmill.sinks.records import Records, remove
 
 BUCKET, _SHARE = "__bucket", "__share"
 
@@ -50,7 +50,12 @@ class BucketedTable:
         touched buckets and the batch then meet by bucket, in the one exchange that also lays out
         the files: the bucket is part of the key, so keep-latest needs no other.  A bucket is divided
         among tasks by another part of the hash, so that tasks stay small however few the buckets.
+        What only the merge itself reads, its exchanges and the reduced batch, goes with it.
         """
+        with shuffles_dropped(batch.sparkSession):
+            return self._merge(batch)
+
+    def _merge(self, batch: DataFrame) -> Merge:
         spark, records = batch.sparkSession, self._records(batch.sparkSession)
         last = records.latest() or {"number": -1, "folders": {}}
         place = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -60,6 +65,7 @@ class BucketedTable:
         new = spark.read.schema(new.schema).parquet(f"{folder}-batch")
         touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())  # ``buckets`` rows at most
         if not touched:
+            remove(spark, f"{folder}-batch")
             return Merge(0, self.buckets)
         stored = self._read(spark, [last["folders"][str(b)] for b in touched if str(b) in last["folders"]])
         shares = math.ceil(shuffle_partitions(spark) / len(touched))
@@ -68,6 +74,7 @@ class BucketedTable:
         spread = both.repartition(len(touched) * shares, BUCKET, _SHARE)
         self.latest(spread, [BUCKET, _SHARE, *self.keys]).drop(_SHARE).write.options(**STORED).partitionBy(BUCKET).parquet(folder)
         records.add(last["number"] + 1, {"folders": {**last["folders"], **{str(b): f"{folder}/{BUCKET}={b}" for b in touched}}})
+        remove(spark, f"{folder}-batch")
         return Merge(len(touched), self.buckets)
 
     def read(self, spark: SparkSession) -> DataFrame:

@@ -9,7 +9,9 @@ from starmill.operators.dedup import latest_per_key
 from starmill.operators.quality import key_report
 from starmill.plans.contracts import FACT, Contract
 from starmill.sinks.buckets import BucketedTable
+from starmill.sinks.records import subfolders
 from starmill.sinks.tables import publish
+from starmill.workload import queries
 
 SCHEMA = T.StructType().add("order_id", "string").add("item_seq", "string").add("at", "integer").add("value", "string")
 KEYS = ("order_id", "item_seq")
@@ -117,3 +119,21 @@ def test_few_buckets_are_divided_among_tasks(spark, tmp_path):
     stored = table.read(spark)
     assert len(stored.inputFiles()) > 2
     assert sorted(map(tuple, stored.collect())) == [(k, 1 if k < 250 else 2) for k in range(750)]
+
+
+def test_a_merge_leaves_only_rows(spark, table, shuffles_left):
+    """Its exchanges and the reduced batch go with it, also when nothing was to be merged."""
+    for rows in ([("o1", "1", 1, "old"), ("o2", "1", 1, "old")], [], [("o1", "1", 2, "new")]):
+        table.merge(spark.createDataFrame(rows, SCHEMA))
+    folders = set(subfolders(spark, f"{table.root}/rows"))
+    assert not shuffles_left() and not [f for f in folders if f.endswith("-batch")]
+    assert sorted(r.value for r in table.read(spark).collect()) == ["new", "old"]
+
+
+def test_the_merging_query_keeps_one_state(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(queries, "BucketedTable", lambda *a: tables.append(BucketedTable(*a)) or tables[-1])
+    queries.QUERIES["merged_lines"](spark, "/root/testdata/sf0.001")
+    root = tables[0].root
+    kept = sum(len(subfolders(spark, f"{root}/rows/{run}")) for run in subfolders(spark, f"{root}/rows"))
+    assert kept == 16
